@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import (
     is_valid,
-    nan_to_null,
     parsed_timestamp,
     record_hash,
 )
@@ -23,7 +22,6 @@ from clickloom.schemas import (
     GOLD_ROW_BOUNDS,
     LABEL,
     LANDED_EVENT,
-    ONLINE_FIELDS,
     RAW_EVENT,
     RAW_ROW_BOUNDS,
 )
@@ -56,8 +54,9 @@ def _fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vw_user_session_summary(spark: SparkSession, sf: str) -> DataFrame:
+    fact = data.session_events(spark, sf).withColumn("event_date", F.to_date("event_timestamp"))
     return warehouse.vw_user_session_summary(
-        _fact(spark, sf),
+        fact,
         warehouse.dim_user(data.users(spark, sf)),
         warehouse.dim_date(data.base_events(spark, sf)),
         warehouse.dim_product(data.catalog(spark, sf)),
@@ -167,17 +166,20 @@ def filter_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fill_missing(spark: SparkSession, sf: str) -> DataFrame:
-    filled = features.fill_missing(_features_with_gaps(spark, sf))
+    per_product = data.events_per_product(spark, sf)
+    priced = per_product.where(~F.col("category_code").startswith("economy."))
+    median = exact_median(priced, "price", weight="events")
+    filled = features.fill_missing(_features_with_gaps(spark, sf), median)
     return filled.select("event_id", *FEATURE_COLUMNS, LABEL)
 
 
 def price_median(spark: SparkSession, sf: str) -> DataFrame:
-    events = data.raw_events(spark, sf, sessions=False)
-    return exact_median(events, "price", "median_price")
+    events = data.events_per_product(spark, sf)
+    return exact_median(events, "price", "median_price", weight="events")
 
 
 def price_range(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.price_range(data.raw_events(spark, sf, sessions=False))
+    return quality.price_range(data.events_per_product(spark, sf))
 
 
 def parse_timestamps(spark: SparkSession, sf: str) -> DataFrame:
@@ -296,8 +298,12 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
 # -- online features --------------------------------------------------------
 
 
+def _latest(spark: SparkSession, sf: str) -> DataFrame:
+    return features.latest_features(data.raw_events(spark, sf), purchase_type=data.PURCHASE_TYPE)
+
+
 def online_features(spark: SparkSession, sf: str) -> DataFrame:
-    return features.online_features(_features(spark, sf), ["event_timestamp", "event_id"])
+    return features.as_online(_latest(spark, sf))
 
 
 def stream_online_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,7 +322,7 @@ def stream_online_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def numeric_default(spark: SparkSession, sf: str) -> DataFrame:
-    online = features.online_features(_features(spark, sf), ["event_timestamp", "event_id"])
+    online = features.as_online(_latest(spark, sf))
     return lookup.numeric_features(online).select("feature_key", *FEATURE_COLUMNS)
 
 
@@ -393,12 +399,7 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
 def _shop_features(spark: SparkSession, sf: str) -> DataFrame:
     """Features of what was viewed, clicked or bought; other keys are missing."""
     shop = data.raw_events(spark, sf).where(F.col("event_type").isin("view", "click", "purchase"))
-    frame = features.event_features(shop, data.PURCHASE_TYPE)
-    newest = upsert.latest_per_key(
-        frame.select(*FEATURE_KEY_COLUMNS, *FEATURE_COLUMNS, "event_timestamp", "event_id"),
-        FEATURE_KEY_COLUMNS,
-        ["event_timestamp", "event_id"],
-    )
+    newest = features.latest_features(shop, purchase_type=data.PURCHASE_TYPE)
     return lookup.numeric_features(newest)
 
 

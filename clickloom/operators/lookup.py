@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import number_or_zero
+from clickloom.operators.skew import shuffled_apart
 from clickloom.schemas import FEATURE_COLUMNS, FEATURE_KEY_COLUMNS
 
 
@@ -17,16 +18,16 @@ def feature_lookup(requests: DataFrame, features: DataFrame) -> DataFrame:
     by a window, so a huge request never lands in one task.
     """
     keys = FEATURE_KEY_COLUMNS
-    stored = features.withColumn("found", F.lit(True))
+    stored = shuffled_apart(features.withColumn("found", F.lit(True)))
     failed = (
-        requests.join(features.select(*keys), keys, "left_anti")
+        requests.join(stored.select(*keys), keys, "left_anti")
         .select("request_id")
         .distinct()
         .withColumn("failed", F.lit(True))
     )
     return (
         requests.join(stored, keys, "left")
-        .join(failed, "request_id", "left")
+        .join(shuffled_apart(failed), "request_id", "left")
         .withColumn("found", F.coalesce("found", F.lit(False)))
         .withColumn("batch_ok", F.col("failed").isNull())
         .drop("failed")

@@ -9,19 +9,22 @@ from clickloom.functions.columns import nan_to_null
 from clickloom.operators.ordered import running_totals
 
 
-def exact_median(df: DataFrame, column: str, name: str = "median") -> DataFrame:
+def exact_median(
+    df: DataFrame, column: str, name: str = "median", weight: str | None = None
+) -> DataFrame:
     """One row with the interpolated median; nulls and NaN do not count.
 
     Spark's own `median` merges every distinct value into one task's hash map.
     Here the values are counted per distinct value, ranked by running totals,
     and only the one or two values at the middle ranks leave the cluster's tasks.
+    With `weight`, a row stands for that many rows.
     """
     value = nan_to_null(F.col(column).cast("double"))
     counts = (
-        df.select(value.alias("v"))
+        df.select(value.alias("v"), (F.col(weight) if weight else F.lit(1)).alias("n"))
         .where(F.col("v").isNotNull())
         .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     ranked = running_totals(counts, ["v"], ["n"])
     total = ranked.agg(F.sum("n")).scalar()

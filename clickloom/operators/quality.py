@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import is_valid
 from clickloom.schemas import MAX_DUPLICATES, MAX_SECONDS, MAX_TOTAL, MIN_TOTAL
 
 
@@ -27,12 +28,16 @@ def row_count_check(df: DataFrame, suite: str, bounds: tuple[int, int]) -> DataF
 def load_metrics(
     events: DataFrame, valid: str = "valid", record: str = "record_hash"
 ) -> DataFrame:
-    """(metric, value): total, valid, invalid and duplicate records."""
+    """(metric, value): total, valid, invalid and duplicate records.
+
+    `record` is a hash in hex; its bytes, half as long, are what is shuffled.
+    """
+    content = F.unhex(record)
     one_row = events.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(F.col(valid)).alias("valid_records"),
         F.count_if(~F.col(valid)).alias("invalid_records"),
-        (F.count(record) - F.count_distinct(record)).alias("duplicate_records"),
+        (F.count(record) - F.count_distinct(content)).alias("duplicate_records"),
     )
     names = ["total_records", "valid_records", "invalid_records", "duplicate_records"]
     return one_row.unpivot([], names, "metric", "value")
@@ -105,7 +110,5 @@ def price_range(df: DataFrame, column: str = "price") -> DataFrame:
 
 def split_valid(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with every required column, and the rows to quarantine."""
-    from clickloom.functions.columns import is_valid
-
     flag = is_valid(required)
     return df.where(flag), df.where(~flag)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import wall_seconds
+from clickloom.operators.skew import shuffled_apart
 
 SESSION_GAP_SECONDS = 6 * 3600
 
@@ -77,15 +78,15 @@ def sessionize(
 def with_session_counts(events: DataFrame, session: str = "user_session") -> DataFrame:
     """`events_in_session` for events that already carry a session.
 
-    Counting first combines on the map side, and a join, unlike a window, lets
-    AQE split a session that holds much of the table.
+    Counting first combines on the map side, and a join, unlike a window, can
+    be split where a session holds much of the table.
     """
     counts = (
         events.where(F.col(session).isNotNull())
         .groupBy(session)
         .agg(F.count(F.lit(1)).alias("events_in_session"))
     )
-    return events.join(counts, session, "left")
+    return events.join(shuffled_apart(counts), session, "left")
 
 
 def _slot(ts: str, gap_seconds: int):

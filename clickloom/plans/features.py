@@ -16,6 +16,7 @@ from clickloom.functions.columns import (
 from clickloom.operators.encode import fill_categories
 from clickloom.operators.median import exact_median
 from clickloom.operators.sessions import with_session_counts
+from clickloom.operators.skew import shuffled_apart
 from clickloom.operators.upsert import latest_per_key
 from clickloom.schemas import (
     FEATURE_COLUMNS,
@@ -27,21 +28,47 @@ from clickloom.schemas import (
 
 
 def event_features(events: DataFrame, purchase_type: str = "purchase") -> DataFrame:
-    """Weekday, category levels, session activity and the purchase label.
+    """Weekday, category levels, session activity and the purchase label."""
+    events = _with_activity(events)
+    return _with_features(events, purchases(events, purchase_type))
 
-    The label is whether the session bought the product. It comes from the few
-    purchase rows, joined back, not from a window over (session, product).
+
+def latest_features(
+    events: DataFrame,
+    order: Sequence[str] = ("event_timestamp", "event_id"),
+    purchase_type: str = "purchase",
+) -> DataFrame:
+    """The features of the newest event per (user, product, session).
+
+    Activity and label belong to the session, not to the event, so the newest
+    events are picked first and only those few rows are joined with the label.
+    """
+    events = _with_activity(events)
+    newest = latest_per_key(events, FEATURE_KEY_COLUMNS, order)
+    return _with_features(newest, purchases(events, purchase_type))
+
+
+def purchases(events: DataFrame, purchase_type: str) -> DataFrame:
+    """The (session, product) pairs that ended in a purchase.
+
+    Read from the purchase rows alone; a window over session and product would
+    order every event instead.
     """
-    if "events_in_session" not in events.columns:
-        events = with_session_counts(events)
-    bought = (
+    return (
         events.where(F.col("event_type") == purchase_type)
         .select("user_session", "product_id")
         .distinct()
         .withColumn("bought", F.lit(1))
     )
+
+
+def _with_activity(events: DataFrame) -> DataFrame:
+    return events if "events_in_session" in events.columns else with_session_counts(events)
+
+
+def _with_features(events: DataFrame, bought: DataFrame) -> DataFrame:
     level1, level2 = category_head_tail(F.col("category_code"))
-    return events.join(bought, ["user_session", "product_id"], "left").select(
+    return events.join(shuffled_apart(bought), ["user_session", "product_id"], "left").select(
         "event_id",
         "event_timestamp",
         "user_id",
@@ -84,23 +111,18 @@ def filter_features(features: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     return features.select(*[c for c in features.columns if c not in left_out], LABEL)
 
 
-def fill_missing(features: DataFrame) -> DataFrame:
-    """Missing categories become 'unknown', a missing price the median price."""
-    middle = exact_median(features, "price").scalar()
+def fill_missing(features: DataFrame, median: DataFrame | None = None) -> DataFrame:
+    """Missing categories become 'unknown', a missing price the median price,
+    which may be given as a one-row frame."""
+    middle = (exact_median(features, "price") if median is None else median).scalar()
     price = F.coalesce(nan_to_null(F.col("price").cast("double")), middle)
     return fill_categories(features).withColumn("price", price)
 
 
-def online_features(features: DataFrame, order: Sequence[str] = ("event_timestamp",)) -> DataFrame:
-    """The keyed table scoring reads: latest row per key, every field as text."""
-    keep = list(dict.fromkeys([*FEATURE_KEY_COLUMNS, *ONLINE_FIELDS, *order]))
-    newest = latest_per_key(features.select(*keep), FEATURE_KEY_COLUMNS, order)
-    return as_online(newest)
-
-
-def as_online(rows: DataFrame) -> DataFrame:
+def as_online(latest: DataFrame) -> DataFrame:
+    """The keyed table scoring reads: one row per key, every field as text."""
     key = feature_key(*[F.col(c) for c in FEATURE_KEY_COLUMNS])
-    return rows.select(
+    return latest.select(
         key.alias("feature_key"),
         *[F.col(c).cast("string").alias(c) for c in ONLINE_FIELDS],
     ).where(F.col("feature_key").isNotNull())

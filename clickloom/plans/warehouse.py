@@ -63,10 +63,11 @@ def vw_user_session_summary(
     The dimensions only filter (their keys are unique), so they are semi joins,
     placed where few rows are left: days on the scan, products after the rows of
     a session and product are folded, which also settles the distinct count and
-    defuses a hot product, and users on the finished sessions.
+    defuses a hot product, and users on the finished sessions. Only the calendar
+    is broadcast by force; its days bound its size.
     """
     per_product = (
-        fact.join(dim_date, "event_date", "left_semi")
+        fact.join(F.broadcast(dim_date.select("event_date")), "event_date", "left_semi")
         .groupBy("user_id", "user_session", "product_id")
         .agg(
             F.count(F.lit(1)).alias("n"),

@@ -7,13 +7,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings the jobs are tuned for. All are Spark's own switches: AQE
-# sizes the reduce side from what the shuffle really wrote and splits skewed
-# join partitions; broadcasts stay behind Catalyst's size check.
+# Settings the jobs are tuned for. AQE sizes the reduce side from what the
+# shuffle really wrote and splits skewed join partitions, also where an
+# aggregation after the join then needs a shuffle of its own; broadcasts stay
+# behind Catalyst's size check.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": "10m",
@@ -41,6 +43,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def handle_skew(spark: SparkSession) -> None:
+    """Turns on skew handling in a session somebody else built."""
+    for key, value in RECOMMENDED.items():
+        if key.startswith("spark.sql.adaptive.") and value == "true":
+            spark.conf.set(key, value)
+
+
 def object_store_options(
     endpoint: str, path_style: bool = True, ssl: bool = True
 ) -> dict[str, str]:

@@ -30,7 +30,9 @@ def kafka_notifications(
     )
 
 
-def notified_paths(messages: DataFrame, value: str = "value") -> DataFrame:
+def notified_paths(
+    messages: DataFrame, value: str = "value", scheme: str = OBJECT_SCHEME
+) -> DataFrame:
     """Object paths named by binary JSON messages.
 
     Null, malformed and key-less messages and empty keys drop out.
@@ -39,5 +41,5 @@ def notified_paths(messages: DataFrame, value: str = "value") -> DataFrame:
         messages.select(F.from_json(F.col(value).cast("string"), NOTIFICATION).alias("message"))
         .select(F.col("message.Key").alias("key"))
         .where(F.col("key").isNotNull() & (F.col("key") != ""))
-        .select(F.concat(F.lit(OBJECT_SCHEME), "key").alias("s3_path"))
+        .select(F.concat(F.lit(scheme), "key").alias("s3_path"))
     )

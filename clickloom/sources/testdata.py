@@ -47,6 +47,15 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog with the number of events of each product, for what depends
+    on the product alone: a hot product is one row before it meets the catalog."""
+    counts = (
+        base_events(spark, sf_dir).groupBy("product_id").agg(F.count(F.lit(1)).alias("events"))
+    )
+    return counts.join(catalog(spark, sf_dir), "product_id", "left")
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
 

@@ -9,7 +9,7 @@ winning. A batch that fails raises: it is not committed and will be retried.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +18,7 @@ from clickloom.operators.upsert import latest_per_key
 from clickloom.plans.features import as_online
 from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_EVENT
 from clickloom.sources.files import scan_json
+from clickloom.sources.notifications import OBJECT_SCHEME, notified_paths
 from clickloom.streaming.landing import quarantined, usable
 
 # Fixed value: how often a micro-batch starts.
@@ -80,23 +81,27 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_features(spark: SparkSession, path: str, target: str) -> None:
-    """Folds all batches into one at `target`, readable like the original."""
-    write_batch(read_features(spark, path), 0, target)
+    """Folds all batches into one below `target`, where a stream that resumes
+    from its checkpoint may go on writing: its batch numbers are never negative."""
+    write_batch(read_features(spark, path), -1, target)
 
 
-def load_notified(
-    spark: SparkSession, paths: DataFrame, per_read: int = 10_000
-) -> Sequence[DataFrame]:
-    """Events of the objects a micro-batch of notifications names.
+def notified_batch_writer(
+    write: Callable[[DataFrame, int], None], scheme: str = OBJECT_SCHEME
+) -> Callable[[DataFrame, int], None]:
+    """Per-batch step for a stream of notifications: load the named objects and
+    hand them to `write`.
 
-    Paths come over in pieces of `per_read`, so the driver never holds more,
-    and each piece is one distributed read.
+    The paths come to the driver, as a file scan is planned there. The cap per
+    trigger on the notification source bounds them; the rest follows in the
+    next batches. Where nothing else needs the notifications, streaming the
+    landing folder itself is cheaper.
     """
-    piece: list[str] = []
-    for row in paths.select("s3_path").distinct().toLocalIterator():
-        piece.append(row.s3_path)
-        if len(piece) == per_read:
-            yield scan_json(spark, piece, keep_corrupt=True)
-            piece = []
-    if piece:
-        yield scan_json(spark, piece, keep_corrupt=True)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        paths = notified_paths(batch, scheme=scheme).distinct()
+        named = [row.s3_path for row in paths.collect()]
+        if named:
+            write(scan_json(batch.sparkSession, named, keep_corrupt=True), batch_id)
+
+    return run
