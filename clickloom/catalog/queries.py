@@ -476,14 +476,19 @@ def latest_model_file(spark: SparkSession, sf: str) -> DataFrame:
     return training.latest_model_file(events.select(name.alias("file_name")).distinct())
 
 
+def training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Filled and encoded features with a `held_out` flag, from a stored feature
+    table: mapping, median and encoding each read it, the joins run once."""
+    path = scratch_path(spark, "features")
+    _features(spark, sf).select("event_id", *FEATURE_COLUMNS, LABEL).write.parquet(path)
+    frame = features.fill_missing(spark.read.parquet(path))
+    encoded = encode.encode_categories(frame, _mapping(frame))
+    return encoded.withColumn("held_out", features.in_test_set(["event_id"]))
+
+
 def train_purchase_model(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted trees learned on four fifths of the events, measured on the rest."""
-    frame = features.fill_missing(_features(spark, sf))
-    encoded = encode.encode_categories(frame, _mapping(frame))
-    path = scratch_path(spark, "training")
-    flagged = encoded.withColumn("held_out", features.in_test_set(["event_id"]))
-    flagged.select(*FEATURE_COLUMNS, LABEL, "held_out").write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = training_rows(spark, sf)
     params = {"max_depth": 3, "num_boost_round": 5}
     model = training.train(rows, params, validation="held_out")
     return training.evaluate(model, rows.where("held_out"))

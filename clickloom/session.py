@@ -19,6 +19,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -67,7 +68,8 @@ def object_store_options(
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the cluster's shared checkpoint folder, removed when
+    the application ends.
 
     Only a local session may fall back on this machine's temporary folder.
     """
@@ -78,4 +80,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         base = tempfile.mkdtemp(prefix="clickloom-")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/clickloom/{label}-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/clickloom-{context.applicationId}"
+    _remove_at_end(spark, own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
+
+
+def _remove_at_end(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
