@@ -17,8 +17,19 @@ CART_TYPES = ("click", "purchase")
 PURCHASE_TYPE = "purchase"
 
 
+# The columns read from each table. A given schema spares the job
+# that would read file footers to find one.
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+    "value double, props string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, "
+    "p_retailprice double",
+    "customer": "c_custkey long",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,26 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from clickloom.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "clickloom-tests",
+        master="local[8]",
+        shuffle_partitions=8,
+        extra={
+            "spark.driver.memory": "4g",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
