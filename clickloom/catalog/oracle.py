@@ -167,6 +167,13 @@ _TRIALS = " UNION ALL ".join(
     )
 )
 
+_RATE = """
+        SELECT m - to_minutes(CAST(back AS BIGINT)) AS window_start, event_type,
+               count(*) / 300.0::DOUBLE AS rate
+        FROM (SELECT date_trunc('minute', ts) AS m, event_type FROM events),
+             (SELECT unnest(range(5)) AS back)
+        GROUP BY ALL"""
+
 _CATEGORIES = """
     SELECT e.event_id, p.brand, isodow(e.ts) - 1 AS event_weekday,
            split_part(p.category_code, '.', 1) AS category_code_level1,
@@ -320,7 +327,8 @@ ORACLE: dict[str, str] = {
         FROM raw""",
     "row_to_json": _with("feat")
     + """
-        SELECT CAST(event_id AS VARCHAR) AS event_id,
+        SELECT row_number() OVER (ORDER BY event_id) AS row_id,
+               CAST(event_id AS VARCHAR) AS event_id,
                strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
                CAST(user_id AS VARCHAR) AS user_id, CAST(product_id AS VARCHAR) AS product_id,
                user_session, CAST(price AS VARCHAR) AS price, brand, category_code_level1,
@@ -391,12 +399,8 @@ ORACLE: dict[str, str] = {
         SELECT batch_ok AS success, count(DISTINCT request_id) AS n, count(*) AS keys,
                round(sum(CASE WHEN batch_ok THEN z / (1 + z) END), 4) AS score_total
         FROM answers GROUP BY batch_ok""",
-    "request_rate_5m": """
-        SELECT m - to_minutes(CAST(back AS BIGINT)) AS window_start, event_type,
-               count(*) / 300.0::DOUBLE AS rate
-        FROM (SELECT date_trunc('minute', ts) AS m, event_type FROM events),
-             (SELECT unnest(range(5)) AS back)
-        GROUP BY ALL""",
+    "request_rate_5m": _RATE,
+    "stream_request_rate_5m": _RATE,
     "classification_metrics": _with("feat")
     + """
         , scored AS (SELECT is_purchased AS y, z / (1 + z) AS p FROM (

@@ -14,6 +14,7 @@ from clickloom.functions.columns import (
 )
 from clickloom.operators import encode, lookup, metrics, quality, sessions, upsert
 from clickloom.operators.median import exact_median
+from clickloom.operators.ordered import number_rows
 from clickloom.plans import features, scoring, training, warehouse
 from clickloom.schemas import (
     CATEGORICAL_COLUMNS,
@@ -258,10 +259,10 @@ def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 def row_to_json(spark: SparkSession, sf: str) -> DataFrame:
     """Each feature row as a JSON document; fields are read back one by one."""
-    rows = _features(spark, sf).select("event_id", *LANDED_EVENT.fieldNames())
-    documents = files.to_documents(rows)
     names = ["event_id", *LANDED_EVENT.fieldNames()]
-    return documents.select(F.json_tuple("value", *names).alias(*names))
+    numbered = number_rows(_features(spark, sf).select(*names), ["event_id"])
+    documents = files.to_documents(numbered, keep=["row_id"])
+    return documents.select("row_id", F.json_tuple("value", *names).alias(*names))
 
 
 def _landed(spark: SparkSession, sf: str, label: str, rows_per_file: int = 100_000) -> str:
@@ -427,6 +428,18 @@ def request_rate_5m(spark: SparkSession, sf: str) -> DataFrame:
     return rates.request_rate(events, "event_timestamp", "event_type")
 
 
+def stream_request_rate_5m(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream, counted as they arrive."""
+    stamp = F.col("ts").cast("timestamp")
+    events = data.stream(spark, sf, "events").select(stamp.alias("event_timestamp"), "event_type")
+    path = scratch_path(spark, "rates")
+    rates.count_stream(
+        events, "event_timestamp", "event_type", "1 hour", path, scratch_path(spark, "rate-stream")
+    ).awaitTermination()
+    rows = rates.read_rates(spark, path, "event_type")
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 # -- model ------------------------------------------------------------------
 
 
@@ -536,6 +549,7 @@ QUERIES: dict[str, Query] = {
         batch_score,
         scoring_status_counts,
         request_rate_5m,
+        stream_request_rate_5m,
         classification_metrics,
         best_trial,
         latest_model,

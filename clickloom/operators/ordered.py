@@ -48,3 +48,11 @@ def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str]) -
         .withColumns(before)
         .drop("slice", *[f"{v}_offset" for v in values])
     )
+
+
+def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
+    """Numbers rows from 1 in a unique order, without gaps."""
+    numbered = running_totals(df.withColumn("one", F.lit(1)), order, ["one"])
+    return numbered.withColumn(name, (F.col("one_before") + 1).cast("long")).drop(
+        "one", "one_before"
+    )

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.encode import encode_categories
 from clickloom.operators.lookup import feature_lookup, numeric_features
+from clickloom.plans.training import score
 from clickloom.schemas import FEATURE_COLUMNS, FEATURE_KEY_COLUMNS
 
 # Fixed value: the error of a request with an unknown key.
@@ -25,6 +27,13 @@ def linear_score(columns: dict[str, float] = LINEAR_WEIGHTS) -> Column:
     return z / (1 + z)
 
 
+def model_scorer(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
+    """Scores with a trained model: the purchase probability as `prediction`."""
+    return lambda inputs: score(model, inputs, "purchase_probability").withColumnRenamed(
+        "purchase_probability", "prediction"
+    )
+
+
 def encoded_features(features: DataFrame, mapping: DataFrame) -> DataFrame:
     """Stored features as the model was trained on: mapping first, then numbers."""
     return numeric_features(encode_categories(features, mapping))

@@ -88,6 +88,11 @@ def gbt_params(params: dict[str, float]) -> dict[str, object]:
     return translated
 
 
+def final_params(best: dict[str, float] | None, seed: int) -> dict[str, float]:
+    """The tuned parameters, or a sampled point where tuning gave none."""
+    return dict(best) if best else sample_params(seed)
+
+
 def train(
     frame: DataFrame,
     params: dict[str, float] | None = None,

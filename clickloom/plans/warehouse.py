@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import category_levels, price_tier, record_key
+from clickloom.functions.columns import (
+    category_levels,
+    is_valid,
+    price_tier,
+    record_hash,
+    record_key,
+)
 from clickloom.operators.sessions import with_session_counts
-from clickloom.schemas import FACT_EVENTS
-
+from clickloom.schemas import FACT_EVENTS, RAW_EVENT
+
+# What makes two raw events the same record.
+CONTENT_FIELDS = [
+    "event_time",
+    "event_type",
+    "product_id",
+    "category_id",
+    "category_code",
+    "brand",
+    "price",
+    "user_id",
+    "user_session",
+]
 RECORD_FIELDS = ["event_id", "event_timestamp", "event_type", "user_id", "product_id"]
 
 
@@ -43,6 +61,19 @@ def dim_date(events: DataFrame) -> DataFrame:
     )
 
 
+def raw_records(events: DataFrame, source: str) -> DataFrame:
+    """Raw events as they are stored: with hash, validity and where they came from."""
+    required = [f.name for f in RAW_EVENT.fields if not f.nullable and f.name in CONTENT_FIELDS]
+    return events.withColumns(
+        {
+            "processed_date": F.current_timestamp(),
+            "processing_pipeline": F.lit(source),
+            "valid": is_valid(required).cast("string"),
+            "record_hash": record_hash(CONTENT_FIELDS),
+        }
+    ).select(RAW_EVENT.fieldNames())
+
+
 def fact_events(events: DataFrame) -> DataFrame:
     if "events_in_session" not in events.columns:
         events = with_session_counts(events)

@@ -47,10 +47,16 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def to_documents(rows: DataFrame, timestamp: str = "event_timestamp") -> DataFrame:
-    """One JSON text per row, the timestamp written to the second."""
+def to_documents(
+    rows: DataFrame, timestamp: str = "event_timestamp", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One JSON text per row, the timestamp written to the second.
+
+    Columns in `keep`, such as a row number, stay beside the document.
+    """
     written = rows.withColumn(timestamp, F.date_format(timestamp, TIMESTAMP_TEXT))
-    return written.select(F.to_json(F.struct("*")).alias("value"))
+    fields = [c for c in rows.columns if c not in keep]
+    return written.select(*keep, F.to_json(F.struct(*fields)).alias("value"))
 
 
 def write_documents(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.operators.upsert import new_rows
@@ -41,17 +42,46 @@ def insert_new(
     keys: Sequence[str],
     order: Sequence[str],
     partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
 ) -> None:
     """Appends the rows whose key the table does not hold.
 
-    The write shuffles by partition column with the rebalance hint, so a day
-    gets few files, and a day holding much of the data several tasks.
+    With `partition_by`, where a record's key fixes its partition, only the
+    partitions the new rows belong to are read and compared.
     """
     table = spark.table(name)
-    added = new_rows(table, incoming, keys, order).select(*table.columns)
+    held = touched_partitions(table, incoming, partition_by) if partition_by else table
+    added = new_rows(held, incoming, keys, order).select(*table.columns)
+    laid_out(added, partition_by, sort_by).write.insertInto(name)
+
+
+def touched_partitions(
+    table: DataFrame, incoming: DataFrame, partition_by: Sequence[str]
+) -> DataFrame:
+    """The part of a partitioned table that rows of `incoming` could be in.
+
+    The incoming partition values, no more than the table has folders, become
+    literals of the scan's partition filter, so other partitions are not read.
+    """
+    values = incoming.agg(*[F.collect_set(c).alias(c) for c in partition_by]).first()
+    for column in partition_by:
+        table = table.where(F.col(column).isin(values[column]) | F.col(column).isNull())
+    return table
+
+
+def laid_out(
+    df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows arranged for a partitioned write.
+
+    The rebalance hint gives a partition few files, and one that holds much of
+    the data several tasks. Sorting inside files lets min/max skip row groups.
+    """
     if partition_by:
-        added = added.hint("rebalance", *partition_by)
-    added.write.insertInto(name)
+        df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    return df
 
 
 def scan_jdbc(

@@ -32,6 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table's files as a stream. Written as a pattern, the path may be one
+    file as well as a folder of files."""
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their product, before sessions and catalog."""
     return table(spark, sf_dir, "events").select(

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from clickloom.operators.upsert import latest_per_key
+from clickloom.streaming.features import write_batch
 
 # Window length and slide.
 WINDOW_MINUTES = 5
@@ -31,6 +35,27 @@ def request_rate(events: DataFrame, ts: str, by: str) -> DataFrame:
     )
 
 
+def count_stream(
+    events: DataFrame, ts: str, by: str, lateness: str, path: str, checkpoint: str
+) -> StreamingQuery:
+    """Keeps the rates of what has arrived so far below `path`, one folder per
+    batch with the windows it changed; handles what is there and stops."""
+    rates = stream_request_rate(events, ts, by, lateness)
+    return (
+        rates.writeStream.foreachBatch(lambda batch, n: write_batch(batch, n, path))
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_rates(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """The last rate written for each window."""
+    changes = spark.read.parquet(path)
+    return latest_per_key(changes, ["window_start", by], ["batch_id"]).drop("batch_id")
+
+
 def stream_request_rate(events: DataFrame, ts: str, by: str, lateness: str) -> DataFrame:
     """The same over a stream; windows older than the watermark are let go."""
     window = F.window(ts, f"{WINDOW_MINUTES} minutes", f"{SLIDE_MINUTES} minutes")

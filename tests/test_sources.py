@@ -4,8 +4,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.operators.ordered import number_rows
 from clickloom.plans import warehouse
-from clickloom.schemas import FACT_EVENTS, LANDED_EVENT
+from clickloom.schemas import FACT_EVENTS, LANDED_EVENT, RAW_EVENT
 from clickloom.session import object_store_options, scratch_path
 from clickloom.sources import files, tables
 
@@ -97,3 +98,45 @@ def test_no_keys_among_the_store_options():
 
 def test_scratch_paths_differ(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_only_touched_partitions_are_read(spark, tmp_path):
+    days = spark.range(40).select(
+        F.col("id").alias("event_key"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 20).cast("int")).alias("event_date"),
+    )
+    days.write.partitionBy("event_date").parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    incoming = days.where("event_date = DATE'2024-01-03'")
+    held = tables.touched_partitions(stored, incoming, ["event_date"])
+    assert {r.event_key for r in held.collect()} == {2, 22}
+    assert "DataFilters: []" in _plan(held) and "= 2024-01-03)" in _plan(held)
+
+
+def test_raw_records(spark):
+    row = ("2024-01-01", "view", 1, 2, "a.b", None, 3.0, 4, "s")
+    schema = (
+        "event_time string, event_type string, product_id long, category_id long, "
+        "category_code string, brand string, price double, user_id long, user_session string"
+    )
+    rows = [row, row, (*row[:6], None, *row[7:])]
+    found = warehouse.raw_records(spark.createDataFrame(rows, schema), "import")
+    assert found.columns == RAW_EVENT.fieldNames()
+    found = found.collect()
+    assert sorted(r.valid for r in found) == ["false", "true", "true"]
+    assert len({r.record_hash for r in found}) == 2
+    assert all(r.processed_date and r.processing_pipeline == "import" for r in found)
+
+
+def test_rows_are_numbered_from_one(spark):
+    df = spark.range(0, 500, 1, 9).select((F.col("id") * 3).alias("k"))
+    found = {r.k: r.row_id for r in number_rows(df, ["k"]).collect()}
+    assert found == {3 * i: i + 1 for i in range(500)}
+
+
+def test_documents_keep_the_row_number_beside_them(spark):
+    df = spark.createDataFrame(
+        [(1, datetime.datetime(2024, 1, 1), "x")], "row_id long, event_timestamp timestamp, brand string"
+    )
+    [row] = files.to_documents(df, keep=["row_id"]).collect()
+    assert row.row_id == 1 and json.loads(row.value).keys() == {"event_timestamp", "brand"}

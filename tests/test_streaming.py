@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from clickloom.operators.sessions import sessionize
 from clickloom.sources.notifications import notified_paths
 from clickloom.streaming import features as stream
-from clickloom.streaming.landing import landed_events
-from clickloom.streaming.rates import request_rate, stream_request_rate
+from clickloom.streaming.landing import copy_to_landing, landed_events
+from clickloom.streaming.rates import count_stream, read_rates, request_rate, stream_request_rate
 from clickloom.streaming.sessions import stream_sessions
 
 
@@ -197,3 +197,35 @@ def test_streamed_rate_agrees_with_the_table(spark, tmp_path):
     rows = rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).collect()
     assert {(r.window_start, r.rate) for r in rows} == batch
     assert max(r.rate for r in rows) == 6 / 300
+
+
+def test_documents_are_landed_once(spark, tmp_path):
+    source, landing = tmp_path / "source", str(tmp_path / "landing")
+    places = (str(source), landing, str(tmp_path / "check"))
+
+    def copied():
+        copy_to_landing(spark, *places, drain=True).awaitTermination()
+        return sorted(json.loads(r.value)["user_id"] for r in spark.read.text(landing).collect())
+
+    _land(source, "1", _event(user=1))
+    _land(source, "2", _event(user=2))
+    assert copied() == [1, 2]
+    assert copied() == [1, 2]
+    _land(source, "3", _event(user=3))
+    assert copied() == [1, 2, 3]
+
+
+def test_kept_rates_follow_the_last_batch(spark, tmp_path):
+    df = _times(spark, [0, 30, 90]).withColumn("kind", F.lit("view"))
+    folder, path, check = tmp_path / "in", str(tmp_path / "rates"), str(tmp_path / "check")
+    df.limit(2).coalesce(1).write.parquet(str(folder))
+    source = spark.readStream.schema(df.schema).parquet(str(folder)).withColumn(
+        "event_timestamp", F.col("event_timestamp").cast("timestamp")
+    )
+    for _ in range(2):
+        count_stream(source, "event_timestamp", "kind", "1 hour", path, check).awaitTermination()
+        df.where("event_id = 2").coalesce(1).write.mode("append").parquet(str(folder))
+    found = read_rates(spark, path, "kind")
+    found = found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    expected = request_rate(df, "event_timestamp", "kind")
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
