@@ -114,9 +114,13 @@ def filter_features(features: DataFrame, also: Sequence[str] = ()) -> DataFrame:
 def fill_missing(features: DataFrame, median: DataFrame | None = None) -> DataFrame:
     """Missing categories become 'unknown', a missing price the median price,
     which may be given as a one-row frame."""
+    return fill_price(fill_categories(features), median)
+
+
+def fill_price(features: DataFrame, median: DataFrame | None = None) -> DataFrame:
     middle = (exact_median(features, "price") if median is None else median).scalar()
     price = F.coalesce(nan_to_null(F.col("price").cast("double")), middle)
-    return fill_categories(features).withColumn("price", price)
+    return features.withColumn("price", price)
 
 
 def as_online(latest: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame
 from clickloom.operators.encode import (
     category_mapping,
     encode_categories,
+    fill_categories,
     load_mapping,
     save_mapping,
 )
 from clickloom.plans import training
-from clickloom.plans.features import training_projection
+from clickloom.plans.features import fill_price, training_projection
 from clickloom.schemas import LABEL
 
 
@@ -24,9 +25,13 @@ def train_and_register(
     trials: int = training.NUM_TRIALS,
     rounds: int = 1,
     seed: int = 42,
+    null_policy: str = "unseen",
 ) -> training.RunResult:
     """Encode, search, train, measure and register.
 
+    Missing categories are encoded as unseen, or with the null policy 'unknown'
+    as a category of that name. Missing prices become the median.
+
     `features` should be a stored table, as each step reads it. Mapping and
     model lie below `artifacts`/`run_id`; the registry row is appended only when
     both are there, so the registry never names a missing model. A failure is
@@ -35,7 +40,9 @@ def train_and_register(
     spark = features.sparkSession
     folder = f"{artifacts}/{run_id}"
     try:
-        frame = training_projection(features)
+        frame = fill_price(training_projection(features))
+        if null_policy == "unknown":
+            frame = fill_categories(frame)
         save_mapping(category_mapping(frame), f"{folder}/mapping")
         rows = encode_categories(frame, load_mapping(spark, f"{folder}/mapping"))
 

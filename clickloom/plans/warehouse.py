@@ -13,7 +13,9 @@ from clickloom.functions.columns import (
     record_key,
 )
 from clickloom.operators.sessions import with_session_counts
+from clickloom.operators.upsert import latest_per_key
 from clickloom.schemas import FACT_EVENTS, RAW_EVENT
+from clickloom.sources.tables import laid_out
 
 # What makes two raw events the same record.
 CONTENT_FIELDS = [
@@ -86,6 +88,27 @@ def fact_events(events: DataFrame) -> DataFrame:
     ).select(FACT_EVENTS.fieldNames())
 
 
+def write_star_schema(events: DataFrame, root: str) -> None:
+    """Writes fact and dimensions, taken from raw events, below `root`.
+
+    The fact is partitioned by day and sorted by session inside its files. Price
+    and brand of a product are those of its newest event.
+    """
+    products = latest_per_key(
+        events.where(F.col("product_id").isNotNull()).select(
+            "product_id", "brand", "price", "event_timestamp"
+        ),
+        ["product_id"],
+        ["event_timestamp"],
+    )
+    dim_user(events.where(F.col("user_id").isNotNull())).write.parquet(f"{root}/dim_user")
+    dim_product(products).write.parquet(f"{root}/dim_product")
+    dim_category(events).write.parquet(f"{root}/dim_category")
+    dim_date(events).write.parquet(f"{root}/dim_date")
+    fact = laid_out(fact_events(events), ["event_date"], ["user_session"])
+    fact.write.partitionBy("event_date").parquet(f"{root}/fact_events")
+
+
 def vw_user_session_summary(
     fact: DataFrame, dim_user: DataFrame, dim_date: DataFrame, dim_product: DataFrame
 ) -> DataFrame:

@@ -21,6 +21,15 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns as the types `schema` gives them; what does not fit is null.
+
+    For files whose columns come in any order: matched by name, others kept.
+    """
+    known = [f for f in schema.fields if f.name in rows.columns]
+    return rows.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in known})
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).csv(path)
 

@@ -19,7 +19,7 @@ def features(spark, tmp_path_factory):
         F.col("id").alias("user_id"), draw(1, 50).alias("product_id"),
         F.concat(F.lit("s"), "id").alias("user_session"),
         F.concat(F.lit("Brand#"), draw(2, 6)).alias("brand"),
-        draw(3, 100).cast("double").alias("price"), draw(4, 7).cast("int").alias("event_weekday"),
+        F.when(draw(8, 20) > 0, draw(3, 100).cast("double")).alias("price"), draw(4, 7).cast("int").alias("event_weekday"),
         F.when(draw(5, 3) > 0, "home").alias("category_code_level1"),
         F.concat(F.lit("c."), draw(6, 4)).alias("category_code_level2"),
         draw(7, 9).alias("activity_count"),
@@ -31,10 +31,14 @@ def features(spark, tmp_path_factory):
 def test_run(spark, features, tmp_path):
     registry, artifacts = str(tmp_path / "registry"), str(tmp_path / "artifacts")
     spark.createDataFrame([], training.REGISTRY).write.parquet(registry)
-    for run in ("r1", "r2"):
-        result = train_and_register(features, registry, artifacts, run, "2024-02-01", 2, 3)
+    for run, policy in (("r1", "unknown"), ("r2", "unseen")):
+        result = train_and_register(
+            features, registry, artifacts, run, "2024-02-01", 2, 3, null_policy=policy
+        )
         assert result.status == "success", result.error
         assert result.train_metrics["auc"] > 0.9
+    texts = {r.value for r in load_mapping(spark, f"{artifacts}/r1/mapping").collect()}
+    assert "unknown" in texts
     current = training.latest_model(spark.read.schema(training.REGISTRY).parquet(registry)).first()
     assert (current.version, current.model_uri) == (2, f"{artifacts}/r2/model")
 
