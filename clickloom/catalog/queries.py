@@ -209,14 +209,23 @@ def _category_frame(spark: SparkSession, sf: str) -> DataFrame:
     return features.category_columns(events)
 
 
+def _category_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Every combination of values once: they hang on the product and the day, so
+    the events are folded to those before they meet the catalog."""
+    day = F.date_trunc("day", "event_timestamp").cast("timestamp_ntz").alias("event_timestamp")
+    seen = data.base_events(spark, sf).select("product_id", day).distinct()
+    events = seen.join(data.catalog(spark, sf), "product_id", "left")
+    return features.category_columns(events.withColumn("event_id", F.lit(None)))
+
+
 def category_mapping(spark: SparkSession, sf: str) -> DataFrame:
-    return encode.category_mapping(_category_frame(spark, sf))
+    return encode.category_mapping(_category_values(spark, sf))
 
 
 def encode_categories(spark: SparkSession, sf: str) -> DataFrame:
     """The mapping is learned from events of all but two brands, so some are unseen."""
     frame = _category_frame(spark, sf)
-    seen = frame.where(~F.col("brand").isin("Brand#7", "Brand#13"))
+    seen = _category_values(spark, sf).where(~F.col("brand").isin("Brand#7", "Brand#13"))
     encoded = encode.encode_categories(frame, _mapping(seen))
     return encoded.select("event_id", *CATEGORICAL_COLUMNS)
 

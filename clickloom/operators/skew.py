@@ -14,5 +14,7 @@ def shuffled_apart(df: DataFrame) -> DataFrame:
     task. Coalescing to no fewer partitions moves no row but makes Spark forget
     the layout; the price is one shuffle of the aggregated side.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.coalesce(max(partitions, 2))
+    conf = df.sparkSession.conf
+    usual = conf.get("spark.sql.shuffle.partitions")
+    first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", usual)
+    return df.coalesce(max(int(usual), int(first), 2))
