@@ -26,7 +26,7 @@ from clickloom.schemas import (
     RAW_EVENT,
     RAW_ROW_BOUNDS,
 )
-from clickloom.session import scratch_path
+from clickloom.session import scratch_path, stored
 from clickloom.sources import files, notifications
 from clickloom.sources import testdata as data
 from clickloom.streaming import features as feature_stream
@@ -399,23 +399,25 @@ def load_alerts(spark: SparkSession, sf: str) -> DataFrame:
 # -- scoring ----------------------------------------------------------------
 
 
-def _requests(spark: SparkSession, sf: str) -> DataFrame:
-    """A user's day is one request for all products they met in it."""
-    events = data.session_events(spark, sf)
-    request = F.concat_ws("@", F.col("user_id").cast("string"), F.to_date("event_timestamp"))
-    return events.select(request.alias("request_id"), *FEATURE_KEY_COLUMNS).distinct()
+def _scoring_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Requests and features.
 
-
-def _shop_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Features of what was viewed, clicked or bought; other keys are missing."""
-    shop = data.raw_events(spark, sf).where(F.col("event_type").isin("view", "click", "purchase"))
+    A user's day is one request for all products they met in it. Features exist
+    for what was viewed, clicked or bought; other keys are missing.
+    """
+    events = data.raw_events(spark, sf)
+    request = F.concat_ws("@", F.col("user_id").cast("string"), F.to_date("event_timestamp"))
+    visits = data.session_events(spark, sf)
+    requests = visits.select(request.alias("request_id"), *FEATURE_KEY_COLUMNS).distinct()
+    shop = events.where(F.col("event_type").isin("view", "click", "purchase"))
     newest = features.latest_features(shop, purchase_type=data.PURCHASE_TYPE)
-    return lookup.numeric_features(newest)
+    known = lookup.numeric_features(newest).select(*FEATURE_KEY_COLUMNS, *FEATURE_COLUMNS)
+    return requests, known
 
 
 def feature_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    keys = _shop_features(spark, sf).select(*FEATURE_KEY_COLUMNS)
-    return lookup.feature_lookup(_requests(spark, sf), keys)
+    requests, known = _scoring_tables(spark, sf)
+    return lookup.feature_lookup(requests, known.select(*FEATURE_KEY_COLUMNS))
 
 
 def _linear(inputs: DataFrame) -> DataFrame:
@@ -423,12 +425,12 @@ def _linear(inputs: DataFrame) -> DataFrame:
 
 
 def batch_score(spark: SparkSession, sf: str) -> DataFrame:
-    scored = scoring.batch_score(_requests(spark, sf), _shop_features(spark, sf), _linear)
+    scored = scoring.batch_score(*_scoring_tables(spark, sf), _linear)
     return scored.withColumn("prediction", F.round("prediction", 9))
 
 
 def scoring_status_counts(spark: SparkSession, sf: str) -> DataFrame:
-    scored = scoring.batch_score(_requests(spark, sf), _shop_features(spark, sf), _linear)
+    scored = scoring.batch_score(*_scoring_tables(spark, sf), _linear)
     return scoring.status_counts(scored)
 
 
@@ -501,9 +503,8 @@ def latest_model_file(spark: SparkSession, sf: str) -> DataFrame:
 def training_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Filled and encoded features with a `held_out` flag, from a stored feature
     table: mapping, median and encoding each read it, the joins run once."""
-    path = scratch_path(spark, "features")
-    _features(spark, sf).select("event_id", *FEATURE_COLUMNS, LABEL).write.parquet(path)
-    frame = features.fill_missing(spark.read.parquet(path))
+    table = _features(spark, sf).select("event_id", *FEATURE_COLUMNS, LABEL)
+    frame = features.fill_missing(stored(table, "features"))
     encoded = encode.encode_categories(frame, _mapping(frame))
     return encoded.withColumn("held_out", features.in_test_set(["event_id"]))
 

@@ -27,9 +27,9 @@ def exact_median(
         .agg(F.sum("n").alias("n"))
     )
     ranked = running_totals(counts, ["v"], ["n"])
-    total = ranked.agg(F.sum("n")).scalar()
-    first, last = F.floor((total - 1) / 2), F.floor(total / 2)
-    covers = lambda rank: (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))
-    return ranked.where(covers(first) | covers(last)).agg(
+    start, end, total = F.col("n_before"), F.col("n_before") + F.col("n"), F.col("n_total")
+    # No more than half of the rows lie before the value, nor after it.
+    reaches_middle = (2 * start <= total) & (2 * end >= total)
+    return ranked.where(reaches_middle).agg(
         ((F.min("v") + F.max("v")) / 2).alias(name)
     )

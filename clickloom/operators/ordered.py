@@ -15,25 +15,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.session import scratch_path
+from clickloom.session import stored
 
 
 def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Adds `<value>_before`: the sum of each value over all earlier rows."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "slices")
-    (
-        df.repartitionByRange(*order)
-        .withColumn("slice", F.spark_partition_id())
-        .write.parquet(path)
-    )
-    sliced = spark.read.parquet(path)
-
-    slice_order = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    """Adds `<value>_before`, the sum of each value over all earlier rows, and
+    `<value>_total`, its sum over all rows."""
+    ranges = df.repartitionByRange(*order).withColumn("slice", F.spark_partition_id())
+    sliced = stored(ranges, "slices")
+
+    in_order = Window.orderBy("slice")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = sliced.groupBy("slice").agg(*[F.sum(v).alias(v) for v in values])
     offsets = offsets.select(
         "slice",
-        *[F.coalesce(F.sum(v).over(slice_order), F.lit(0)).alias(f"{v}_offset") for v in values],
+        *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"{v}_offset") for v in values],
+        *[F.sum(v).over(whole).alias(f"{v}_total") for v in values],
     )
     inside = (
         Window.partitionBy("slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -54,5 +52,5 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_id") -> Da
     """Numbers rows from 1 in a unique order, without gaps."""
     numbered = running_totals(df.withColumn("one", F.lit(1)), order, ["one"])
     return numbered.withColumn(name, (F.col("one_before") + 1).cast("long")).drop(
-        "one", "one_before"
+        "one", "one_before", "one_total"
     )

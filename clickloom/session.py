@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are tuned for. AQE sizes the reduce side from what the
 # shuffle really wrote and splits skewed join partitions, also where an
@@ -85,6 +85,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to the scratch folder and read back, for results read several
+    times: they are computed once, outlive any executor, and Catalyst knows
+    their size."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _remove_at_end(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
