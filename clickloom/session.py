@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,3 +102,18 @@ def _remove_at_end(spark: SparkSession, folder: str) -> None:
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path)
     files.deleteOnExit(path)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives the executors' Python this package, once per application, so that the
+    functions that run in tasks can be imported there."""
+    context = spark.sparkContext
+    if getattr(context, "_clickloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="clickloom-code-")) / "clickloom.zip"
+    with zipfile.ZipFile(archive, "w") as content:
+        for file in sorted(package.rglob("*.py")):
+            content.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(str(archive))  # Spark's own file server hands it out
+    context._clickloom_shipped = True
