@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickloom.llm import superminhash
+from clickloom.llm import bpe, factorisation, langid, lines, superminhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +17,51 @@ def superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def line_labelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return lines.measured(documents, lines.train(documents, _table(spark, sf_dir, "labels")))
+
+
+def factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    machine = factorisation.train(documents, labels.filter(~factorisation.held_out()))
+    scored = factorisation.scored(documents, machine)
+    return scored.select(
+        "doc_id",
+        factorisation.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= factorisation.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(documents: DataFrame) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    decoded = bpe.decode(bpe.encode(documents, path), path)
+    return decoded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = langid.train(documents.filter(~langid.held_out()))
+    found = langid.identify(documents, model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_superminhash": superminhash_dedup,
+    "op3_line_labelling": line_labelling,
+    "op4_factorisation_machine": factorisation_machine,
+    "op8_forced_boundary_bpe": forced_boundary_bpe,
+    "op10_hierarchical_language": hierarchical_language,
 }
 
 ORACLE: dict[str, str] = {}
