@@ -154,7 +154,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     )
     labelled = signed.select("doc_id", "n_shingles", "set_key").join(
-        shuffled_apart(named), "set_key", "left"
+        shuffled_apart(named).hint("merge"), "set_key", "left"
     )
     component = F.coalesce("component_id", "doc_id")
     return labelled.select(
@@ -189,13 +189,14 @@ def _bucket_members(classes: DataFrame) -> DataFrame:
         .agg(F.min("class_id").alias("hub"), F.count(F.lit(1)).alias("members"))
         .filter("members > 1")
     )
-    return rows.join(shuffled_apart(buckets), ["band", "key"])
+    return rows.join(shuffled_apart(buckets).hint("merge"), ["band", "key"])
 
 
 def _texts_of(documents: DataFrame, members: DataFrame) -> DataFrame:
     """Texts of the classes that have any candidate."""
     wanted = members.select(F.col("class_id").alias("doc_id")).distinct()
-    texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    # a shuffle at every size: what is broadcast while it is small would grow unevenly
+    texts = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
     return stored(texts, "texts")
 
 
@@ -223,7 +224,8 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 names=["left", "right", "left_size", "right_size", "common"],
             )
 
-    joined = pairs.join(left, "left").join(right, "right").select("left", "right", "left_text", "right_text")
+    joined = pairs.join(left.hint("merge"), "left").join(right.hint("merge"), "right")
+    joined = joined.select("left", "right", "left_text", "right_text")
     return joined.mapInArrow(
         run, "left long, right long, left_size long, right_size long, common long"
     )
