@@ -1,18 +1,54 @@
-"""The queries of the operators, by name, over whole tables, and their SQL."""
+"""The queries of the operators, by name, over whole tables."""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, factorisation, langid, lines, superminhash
+from clickloom.llm import (
+    bpe,
+    factorisation,
+    langid,
+    lines,
+    merkle,
+    mixing,
+    secrets,
+    superminhash,
+    syncmers,
+)
+from clickloom.llm.oracle import ORACLE  # noqa: F401
+from clickloom.llm.production import (
+    ALTERED,
+    DAMAGE,
+    LOST,
+    PERCENT,
+    TWICE,
+    WEIGHTS,
+    domain_of_source,
+    owner_and_repository,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    turn = F.pmod("page_id", F.lit(DAMAGE))
+    held = F.when(turn == ALTERED, F.concat(F.col("html"), F.lit("#"))).otherwise(F.col("html"))
+    replica = merkle.archived(pages, held).withColumn("turn", turn)
+    end = F.max(F.col("record_offset") + F.col("record_length"))
+    replica = replica.withColumn("end", end.over(Window.partitionBy("archive")))
+    second = replica.filter(F.col("turn") == TWICE).withColumn(
+        "record_offset", F.col("record_offset") + F.col("end")
+    )
+    left = replica.filter(~F.col("turn").eqNullSafe(F.lit(LOST)))
+    found = left.unionByName(second).drop("turn", "end")
+    return merkle.audit(merkle.archived(pages), found).drop("range_no")
+
+
 def superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +70,20 @@ def factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return secrets.reported(secrets.judged(documents, *owner_and_repository()))
+
+
+def hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return mixing.mixed(documents, domain_of_source(), PERCENT, WEIGHTS)
+
+
+def syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compared(_table(spark, sf_dir, "documents"))
+
+
 def forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(_table(spark, sf_dir, "documents"))
 
@@ -57,11 +107,13 @@ def hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_merkle_audit": merkle_audit,
     "op2_superminhash": superminhash_dedup,
     "op3_line_labelling": line_labelling,
     "op4_factorisation_machine": factorisation_machine,
+    "op5_secret_ownership": secret_ownership,
+    "op6_hierarchical_mixing": hierarchical_mixing,
+    "op7_closed_syncmers": syncmer_fingerprints,
     "op8_forced_boundary_bpe": forced_boundary_bpe,
     "op10_hierarchical_language": hierarchical_language,
 }
-
-ORACLE: dict[str, str] = {}
