@@ -13,6 +13,7 @@ from clickloom.llm import (
     lines,
     merkle,
     mixing,
+    repeats,
     secrets,
     superminhash,
     syncmers,
@@ -99,6 +100,12 @@ def bpe_digests(documents: DataFrame) -> DataFrame:
     )
 
 
+def fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    left = repeats.without_repeats(documents, lambda kept: F.sha2(kept.cast("binary"), 256))
+    return left.withColumnRenamed("kept", "kept_sha256")
+
+
 def hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     model = langid.train(documents.filter(~langid.held_out()))
@@ -115,5 +122,6 @@ QUERIES = {
     "op6_hierarchical_mixing": hierarchical_mixing,
     "op7_closed_syncmers": syncmer_fingerprints,
     "op8_forced_boundary_bpe": forced_boundary_bpe,
+    "op9_fixed_block_anchors": fixed_block_anchors,
     "op10_hierarchical_language": hierarchical_language,
 }
