@@ -17,6 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -223,6 +224,26 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def accepted(documents: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of `documents`, all columns, whose language is recognized; a missing
+    `lang` becomes the predicted one. Rows that identify() calls `und` go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model) if model is not None else None
+        for batch in batches:
+            for part, texts in slices(batch):
+                words = [words_of(t) if scorer is not None else [] for t in texts]
+                found = [scorer.model.predict(scorer.margins(w))[0] if w else None for w in words]
+                place = part.schema.get_field_index("lang")
+                lang = part.column(place)
+                filled = pc.coalesce(lang, pa.array(found, pa.string()).cast(lang.type))
+                columns = [filled if i == place else c for i, c in enumerate(part.columns)]
+                whole = pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+                yield whole.filter(pa.array([f is not None for f in found], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def held_out():
     """Rows that no model learns from; a row without doc_id is held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(True))
