@@ -23,54 +23,64 @@ def _bound(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def anchors(text: Column) -> Column:
-    """array<struct<position, hash>> of the text's closed syncmers, position in words.
-
-    A text of fewer than K words has its whole sequence as the only anchor, one
-    without words none.
-    """
+def _closed(text: Column, named) -> Column:
+    """Array of `named(position, hash)` for each closed syncmer of a text."""
     trimmed = F.btrim(text, F.lit(_SPACE))
     words = F.when(trimmed != "", F.split(trimmed, r"[\x20\x09-\x0D]+")).otherwise(
         F.array().cast("array<string>")
     )
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
 
-    def of(h: Column) -> Column:
-        n = F.size(h)
+    def of_words(h: Column) -> Column:
         inner = F.transform(
-            F.sequence(F.lit(0), n - S), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(S)])
+            F.sequence(F.lit(0), F.size(h) - S),
+            lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(S)]),
+        )
+
+        def of_inner(s: Column) -> Column:
+            def pick(first: Column, i: Column) -> Column:
+                last = F.get(s, i + _INNER - 1)
+                between = [F.get(s, i + j) for j in range(1, _INNER - 1)]
+                # one comparison decides most places; beyond the end it is null
+                opens, closes = first <= last, last <= first
+                for other in between:
+                    opens = (first <= other) & opens
+                for other in reversed(between):
+                    closes = (last <= other) & closes
+                # S-mers side by side make up the K-mer
+                whole = F.xxhash64(*[F.get(s, i + j) for j in range(0, K - S + 1, S)])
+                return F.when(last.isNotNull() & (opens | closes), named(i, whole))
+
+            return F.array_compact(F.transform(s, pick))
+
+        short = F.array(named(F.lit(0), F.xxhash64(h)))
+        return (
+            F.when(F.size(h) >= K, _bound(inner, of_inner))
+            .when(F.size(h) > 0, short)
+            .otherwise(F.slice(short, 1, 0))
         )
 
-        def edges(s: Column) -> Column:
-            def closed(i: Column) -> Column:
-                first, last = F.get(s, i), F.get(s, i + _INNER - 1)
-                return (first <= F.array_min(F.slice(s, i + 2, F.lit(_INNER - 1)))) | (
-                    last <= F.array_min(F.slice(s, i + 1, F.lit(_INNER - 1)))
-                )
+    return _bound(F.transform(words, lambda w: F.xxhash64(w)), of_words)
 
-            return F.transform(
-                F.filter(F.sequence(F.lit(0), n - K), closed),
-                lambda i: F.struct(
-                    i.alias("position"), F.xxhash64(F.slice(h, i + 1, F.lit(K))).alias("hash")
-                ),
-            )
 
-        whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(h).alias("hash")))
-        none = F.array().cast("array<struct<position:int,hash:bigint>>")
-        return F.when(n >= K, _bound(inner, edges)).when(n > 0, whole).otherwise(none)
+def anchors(text: Column) -> Column:
+    """array<struct<position, hash>> of the text's closed syncmers, position in words.
 
-    return _bound(hashes, of)
+    A text of fewer than K words has its whole sequence as the only anchor, one
+    without words none.
+    """
+    return _closed(text, lambda i, h: F.struct(i.alias("position"), h.alias("hash")))
 
 
 def anchor_hashes(text: Column) -> Column:
-    return F.array_distinct(F.transform(anchors(text), lambda a: a["hash"]))
+    """The distinct hashes of the anchors, in text order."""
+    return F.array_distinct(_closed(text, lambda i, h: h))
 
 
 def printed(hashes: Column) -> Column:
-    """The distinct anchors in text order, eight hexadecimal digits each."""
-    return F.array_join(
-        F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h.bitwiseAND(0xFFFFFFFF))), 8, "0")), ""
-    )
+    """The distinct anchors in text order: eight hexadecimal digits each, for the lower
+    31 bits under a leading one."""
+    digits = F.transform(hashes, lambda h: F.hex(h.bitwiseAND(0x7FFFFFFF).bitwiseOR(0x80000000)))
+    return F.array_join(digits, "")
 
 
 def likeness(a: Column, b: Column) -> Column:
