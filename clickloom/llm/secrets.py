@@ -188,29 +188,26 @@ def masked(documents: DataFrame, owner: Column, repository: Column) -> DataFrame
     there is one, set to the new length. Widely copied examples stay. Only texts with
     a live span pass through a join."""
     live = judged(documents, owner, repository).select(
-        "doc_id", "text_key", F.filter("spans", lambda s: s["live"]).alias("live_spans")
+        F.col("doc_id").alias("secrets_doc"),
+        F.col("text_key").alias("secrets_text"),
+        F.filter("spans", lambda s: s["live"]).alias("secrets_live"),
     )
-    live = stored(live.filter("size(live_spans) > 0").dropDuplicates(["doc_id", "text_key"]), "live")
+    live = live.filter("size(secrets_live) > 0").dropDuplicates(["secrets_doc", "secrets_text"])
+    live = stored(live, "live")
     columns = documents.columns
     suspect = F.size(candidates(F.coalesce("text", F.lit("")))) > 0
     rows = documents.withColumn("secrets_suspect", suspect)
     clean = rows.filter("not secrets_suspect").select(columns)
-    keyed = rows.filter("secrets_suspect").withColumn("secrets_key", F.xxhash64("text"))
-    met = keyed.join(
-        live.select(
-            F.col("doc_id").alias("secrets_doc"), F.col("text_key").alias("secrets_text"), "live_spans"
-        ),
-        F.col("doc_id").eqNullSafe(F.col("secrets_doc")) & (F.col("secrets_key") == F.col("secrets_text")),
-        "left",
-    )
-    cleaned = F.when(F.col("live_spans").isNull(), F.col("text")).otherwise(
-        _masked(F.col("text"), F.col("live_spans"))
-    )
-    met = met.withColumn("text", cleaned)
+    suspects = rows.filter("secrets_suspect").withColumn("secrets_key", F.xxhash64("text"))
+    own = F.col("doc_id").eqNullSafe(F.col("secrets_doc"))
+    met = suspects.join(live, own & (F.col("secrets_key") == F.col("secrets_text")), "left")
+    untouched = F.col("secrets_live").isNull()
+    changed = _masked(F.col("text"), F.col("secrets_live"))
+    met = met.withColumn("text", F.when(untouched, F.col("text")).otherwise(changed))
     if "n_chars" in columns:
         kind = documents.schema["n_chars"].dataType
-        changed = F.when(F.col("live_spans").isNull(), F.col("n_chars"))
-        met = met.withColumn("n_chars", changed.otherwise(F.length("text").cast(kind)))
+        length = F.length("text").cast(kind)
+        met = met.withColumn("n_chars", F.when(untouched, F.col("n_chars")).otherwise(length))
     return clean.unionByName(met.select(columns))
 
 
