@@ -34,6 +34,7 @@ BLOCK = WINDOW // 2
 BATCH_BYTES = 16 << 20
 
 _PACKED = "part int, known long, docs binary, counts binary, keys binary, blocks binary"
+_DEALT = "docs_group int, docs binary, counts binary, keys binary"
 _HITS = "doc_id long, keys binary"
 
 
@@ -84,12 +85,14 @@ def _shared(
     entries: Callable[[pa.RecordBatch, list[str]], Iterator[Entry]],
     anchors: bool,
 ) -> DataFrame:
-    """(doc_id, keys): for each document a list of packed names of its windows.
+    """(doc_id, keys): for each document the packed names of its windows.
 
     With `anchors`, of those that hit a block and that another document has too;
     without, of those that a document of smaller doc_id has.
     """
 
+    groups = parts
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Entry] = []
         size = 0
@@ -106,18 +109,48 @@ def _shared(
         docs, keys = [], []
         for known, packed in zip(*(table.column(c).to_pylist() for c in ("known", "keys"))):
             if known is not None:
-                docs.append(known)
-                keys.append(packed)
-        for doc, found in _by_document(*_met(table, anchors)):
-            docs.append(doc)
-            keys.append(found.tobytes())
+                keys.append(np.frombuffer(packed, np.uint64))
+                docs.append(np.full(len(keys[-1]), known, np.int64))
+        found, of = _met(table, anchors)
+        return _dealt(np.concatenate([*keys, found]), np.concatenate([*docs, of]), groups)
+
+    def merge(table: pa.Table) -> pa.Table:
+        columns = (table.column(c).to_pylist() for c in ("docs", "counts", "keys"))
+        docs, keys = [], []
+        for some, counts, packed in zip(*columns):
+            docs.append(np.repeat(np.frombuffer(some, np.int64), np.frombuffer(counts, np.uint32)))
+            keys.append(np.frombuffer(packed, np.uint64))
+        found = _by_document(np.concatenate(keys), np.concatenate(docs))
         return pa.Table.from_arrays(
-            [pa.array(docs, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "keys"]
+            [
+                pa.array([doc for doc, _ in found], pa.int64()),
+                pa.array([k.tobytes() for _, k in found], pa.binary()),
+            ],
+            names=["doc_id", "keys"],
         )
 
     packed = rows.mapInArrow(gather, _PACKED)
-    replies = packed.groupBy("part").applyInArrow(meet, _HITS)
-    return replies.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    replies = packed.groupBy("part").applyInArrow(meet, _DEALT)
+    return replies.groupBy("docs_group").applyInArrow(merge, _HITS)
+
+
+def _dealt(keys: np.ndarray, docs: np.ndarray, groups: int) -> pa.Table:
+    """Replies of a part, one row for each group of documents."""
+    group = docs % groups
+    order = np.lexsort((docs, group))
+    keys, docs, group = keys[order], docs[order], group[order]
+    out: dict[str, list] = {c: [] for c in ("docs_group", "docs", "counts", "keys")}
+    bounds = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), len(group)]
+    for a, b in zip(bounds, bounds[1:]):
+        own, counts = np.unique(docs[a:b], return_counts=True)
+        out["docs_group"].append(int(group[a]))
+        out["docs"].append(own.tobytes())
+        out["counts"].append(counts.astype(np.uint32).tobytes())
+        out["keys"].append(keys[a:b].tobytes())
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.Table.from_arrays(
+        [pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out)
+    )
 
 
 def _sent(held: list[Entry], parts: int, anchors: bool) -> Iterator[pa.RecordBatch]:
@@ -285,13 +318,13 @@ def _screened(rows: DataFrame, anchored: DataFrame, parts: int) -> DataFrame:
     return joined.mapInArrow(run, "doc_id long, n_words long, text string, starts binary")
 
 
-def _around(words: list[bytes], packed: list[bytes], parts: int) -> np.ndarray:
+def _around(words: list[bytes], packed: bytes, parts: int) -> np.ndarray:
     """Begins of the windows of WINDOW words that cover a block found by a probe."""
     n = len(words)
     if n < WINDOW:
         return np.empty(0, np.uint32)
     probes = _named(window_hashes(word_hashes(words), BLOCK), parts, anchors=True)
-    places = np.flatnonzero(_among(probes, np.unique(np.frombuffer(b"".join(packed), np.uint64))))
+    places = np.flatnonzero(_among(probes, np.unique(np.frombuffer(packed, np.uint64))))
     steps = np.zeros(n + 2, np.int64)
     np.add.at(steps, np.maximum(places - (WINDOW - BLOCK), 0), 1)
     np.add.at(steps, places + 1, -1)
@@ -312,7 +345,7 @@ def _cut(suspects: DataFrame, repeated: DataFrame) -> DataFrame:
                     if packed:
                         begins = np.frombuffer(starts, np.uint32)
                         windows = window_hashes(word_hashes(words), WINDOW)[begins]
-                        known = np.unique(np.frombuffer(b"".join(packed), np.uint64))
+                        known = np.unique(np.frombuffer(packed, np.uint64))
                         steps = np.zeros(len(words) + 1, np.int64)
                         hit = begins[_among(windows, known)].astype(np.int64)
                         steps[hit] += 1
