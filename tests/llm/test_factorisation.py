@@ -1,0 +1,59 @@
+import zlib
+
+import numpy as np
+
+from clickloom.llm import factorisation
+from clickloom.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    rows = {r.doc_id: r for r in QUERIES["op4_factorisation_machine"](spark, SF).collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in rows.items())
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows.values())
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    checked = [(rows[x.doc_id], x.quality) for x in labels if rows[x.doc_id].held_out]
+    good = [r.score for r, q in checked if q == 1]
+    bad = [r.score for r, q in checked if q == 0]
+    assert np.mean([[g > b for b in bad] for g in good]) > 0.95
+    assert np.mean([r.predicted == q for r, q in checked]) > 0.95
+
+
+def test_score_is_the_sum_over_all_pairs():
+    draw = np.random.default_rng(1)
+    dims = factorisation.WORD_BUCKETS + factorisation.STATISTICS
+    machine = factorisation.Machine(
+        0.3,
+        draw.normal(0, 0.2, dims),
+        draw.normal(0, 0.2, (dims, factorisation.RANK)),
+        draw.normal(0, 1, factorisation.STATISTICS),
+        draw.uniform(0.5, 2, factorisation.STATISTICS),
+    )
+    texts = ["the cat sat on the mat.", "", "A | B ### c c c c\nA | B"]
+    rows, columns, values, numbers = factorisation.features(texts)
+    for i, found in enumerate(factorisation.scores(texts, machine)):
+        x = np.zeros(dims)
+        x[columns[rows == i]] = values[rows == i]
+        x[factorisation.WORD_BUCKETS :] = np.clip((numbers[i] - machine.centre) / machine.spread, -4, 4)
+        at = np.flatnonzero(x)
+        pairs = sum(
+            machine.factors[a] @ machine.factors[b] * x[a] * x[b]
+            for n, a in enumerate(at)
+            for b in at[n + 1 :]
+        )
+        assert np.isclose(found, 1 / (1 + np.exp(-(0.3 + machine.weights @ x + pairs))))
+
+
+def test_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame(
+        [(1, 0, 0), (7, 1, 0), (8, 0, 0), (9, 1, 0), (None, 1, 1), (5, None, 1), (7, 1, 0)],
+        "doc_id long, quality int, toxic int",
+    )
+    machine = factorisation.train(odd, labels)
+    rows = factorisation.scored(odd, machine).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert factorisation.train(empty, labels) is None
+    assert factorisation.train(odd, labels.filter("quality = 1")) is None
+    assert {r.score for r in factorisation.scored(odd, None).collect()} == {0.5}
+    assert factorisation.scored(empty, machine).count() == 0
