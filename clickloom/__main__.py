@@ -13,7 +13,7 @@ from clickloom.operators.encode import load_mapping
 from clickloom.operators.lookup import numeric_features
 from clickloom.plans import scoring, training, warehouse
 from clickloom.plans.training_run import train_and_register
-from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_EVENT
+from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_DOCUMENT
 from clickloom.session import build_session
 from clickloom.sources.files import scan_csv, typed, write_documents
 from clickloom.sources.notifications import kafka_notifications
@@ -29,7 +29,7 @@ REQUESTS = "request_id string, user_id long, product_id long, user_session strin
 
 def documents(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = spark.read.option("header", True).csv(args.source)
-    write_documents(typed(rows, LANDED_EVENT), args.target)
+    write_documents(typed(rows, LANDED_DOCUMENT), args.target)
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -40,10 +40,14 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def features(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.kafka:
-        messages = kafka_notifications(spark, args.kafka, args.source)
+        messages = kafka_notifications(
+            spark, args.kafka, args.source, fail_on_loss=not args.skip_lost
+        )
         write = feature_stream.feature_batch_writer(args.target, args.quarantine)
+        aside = args.quarantine or feature_stream.quarantine_of(args.target)
+        load = feature_stream.notified_batch_writer(write, f"{aside}_absent")
         query = (
-            messages.writeStream.foreachBatch(feature_stream.notified_batch_writer(write))
+            messages.writeStream.foreachBatch(load)
             .option("checkpointLocation", args.checkpoint)
             .trigger(processingTime=feature_stream.TRIGGER)
             .start()
@@ -112,6 +116,7 @@ def main(argv: list[str] | None = None) -> None:
     job(
         features, checkpoint, drain, ("--max-files", {"type": int, "default": 1000}),
         ("--quarantine", {}), ("--kafka", {"help": "servers; source is then the topic"}),
+        ("--skip-lost", {"action": "store_true"}),
     )
     job(star)
     job(

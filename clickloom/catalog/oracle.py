@@ -345,8 +345,8 @@ ORACLE: dict[str, str] = {
     "partitioned_scan": _with("ev")
     + """
         SELECT event_id, event_type, user_id, product_id, ts AS event_timestamp,
-               year(ts) AS year, month(ts) AS month
-        FROM ev WHERE year(ts) = 2024 AND month(ts) = 1""",
+               year(ts) AS year, month(ts) AS month, day(ts) AS day
+        FROM ev WHERE CAST(ts AS DATE) = DATE '2024-01-07'""",
     "insert_ignore": """
         SELECT event_id, event_type,
                CASE WHEN ts < TIMESTAMP '2024-01-21' OR event_type <> 'error' THEN value END
@@ -354,6 +354,12 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "online_features": _with("online") + _ONLINE.format(ts="ts"),
     "stream_online_features": _with("online") + _ONLINE.format(ts="date_trunc('second', ts)"),
+    "stream_quarantine": """
+        SELECT 'no key' AS reason, event_id, NULL AS document
+        FROM events WHERE event_type = 'signup'
+        UNION ALL
+        SELECT 'malformed', NULL, '{"event_id": ' || event_id || ', broken'
+        FROM events WHERE event_type = 'error'""",
     "numeric_default": _with("online")
     + """
         SELECT 'user:' || user_id || ':product:' || product_id || ':session:' || user_session

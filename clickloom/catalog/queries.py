@@ -22,6 +22,7 @@ from clickloom.schemas import (
     FEATURE_KEY_COLUMNS,
     GOLD_ROW_BOUNDS,
     LABEL,
+    LANDED_DOCUMENT,
     LANDED_EVENT,
     RAW_EVENT,
     RAW_ROW_BOUNDS,
@@ -274,23 +275,23 @@ def row_to_json(spark: SparkSession, sf: str) -> DataFrame:
     return documents.select("row_id", F.json_tuple("value", *names).alias(*names))
 
 
-def _landed(spark: SparkSession, sf: str, label: str, rows_per_file: int = 100_000) -> str:
+def _landed(spark: SparkSession, sf: str, label: str) -> str:
     path = scratch_path(spark, label)
-    rows = _features(spark, sf).select(*LANDED_EVENT.fieldNames())
-    files.write_documents(rows, path, rows_per_file)
+    files.write_documents(_features(spark, sf).select(*LANDED_DOCUMENT.fieldNames()), path)
     return path
 
 
 def scan_json(spark: SparkSession, sf: str) -> DataFrame:
-    events = files.scan_json(spark, [_landed(spark, sf, "json")])
-    return events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+    events = files.scan_json(spark, [_landed(spark, sf, "json")], LANDED_DOCUMENT)
+    return events.drop("event_id").withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
 
 
 def partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "by-month")
-    files.write_by_month(data.base_events(spark, sf), path)
-    january = files.PartitionedSource(path, {"year": 2024, "month": 1})
-    return january.scan(spark)
+    """One day of a feed stored by day; the other days' folders are not read."""
+    path = scratch_path(spark, "by-day")
+    files.write_by_day(data.base_events(spark, sf), path)
+    day = files.PartitionedSource(path, {"year": 2024, "month": 1, "day": 7})
+    return day.scan(spark)
 
 
 def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,9 +317,19 @@ def online_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.as_online(_latest(spark, sf))
 
 
-def stream_online_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Landed JSON files streamed into the keyed table in several batches."""
+def _streamed_table(spark: SparkSession, sf: str) -> str:
+    """Landed JSON files streamed into the keyed table in several batches.
+
+    Beside the events, each sign-up sends a document without a user and each error
+    one that breaks off.
+    """
     landed = _landed(spark, sf, "landed")
+    events = data.base_events(spark, sf)
+    keyless = F.to_json(F.struct("event_id", "product_id"))
+    broken = F.concat(F.lit('{"event_id": '), F.col("event_id"), F.lit(", broken"))
+    bad = events.where(F.col("event_type").isin("signup", "error"))
+    bad = bad.select(F.when(F.col("event_type") == "signup", keyless).otherwise(broken))
+    bad.write.mode("append").text(landed)
     table = scratch_path(spark, "feature-table")
     feature_stream.stream_features(
         landing.landed_events(spark, landed, max_files=4),
@@ -326,7 +337,23 @@ def stream_online_features(spark: SparkSession, sf: str) -> DataFrame:
         scratch_path(spark, "feature-stream"),
         drain=True,
     ).awaitTermination()
-    stored = feature_stream.read_features(spark, table)
+    return table
+
+
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stream set aside: rows without a key, by event, and broken documents."""
+    table = _streamed_table(spark, sf)
+    aside = feature_stream.read_quarantine(spark, feature_stream.quarantine_of(table))
+    corrupt = F.col(files.CORRUPT)
+    return aside.select(
+        F.when(corrupt.isNull(), "no key").otherwise("malformed").alias("reason"),
+        F.when(corrupt.isNull(), F.col("event_id")).alias("event_id"),
+        corrupt.alias("document"),
+    )
+
+
+def stream_online_features(spark: SparkSession, sf: str) -> DataFrame:
+    stored = feature_stream.read_features(spark, _streamed_table(spark, sf))
     stamp = F.col("event_timestamp").cast("timestamp_ntz")
     return features.as_online(stored.withColumn("event_timestamp", stamp))
 
@@ -550,6 +577,7 @@ QUERIES: dict[str, Query] = {
         insert_ignore,
         online_features,
         stream_online_features,
+        stream_quarantine,
         numeric_default,
         validate_events,
         row_count_check,

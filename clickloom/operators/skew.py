@@ -13,7 +13,14 @@ def shuffled_apart(df: DataFrame) -> DataFrame:
     joined where it lies, and a hot key on the other side would stay in one
     task. Coalescing to no fewer partitions moves no row but makes Spark forget
     the layout; the price is one shuffle of the aggregated side.
+
+    A frame that is not laid out by a hash, such as a scanned one, is left as it is.
     """
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.initialPlan()
+    if "hashpartitioning" not in plan.outputPartitioning().toString():
+        return df
     conf = df.sparkSession.conf
     usual = conf.get("spark.sql.shuffle.partitions")
     first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", usual)

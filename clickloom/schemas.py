@@ -24,6 +24,9 @@ LANDED_EVENT = T.StructType(
     ]
 )
 
+# A landed event with the id that settles which of two events of a second is newer.
+LANDED_DOCUMENT = T.StructType([*LANDED_EVENT.fields, T.StructField("event_id", T.LongType(), True)])
+
 NOTIFICATION = T.StructType([T.StructField("Key", T.StringType(), True)])
 
 # nullable=False is the rule the `valid` flag checks; files do not enforce it.
@@ -59,30 +62,6 @@ FACT_EVENTS = T.StructType(
         T.StructField("events_in_session", T.LongType(), True),
     ]
 )
-DIM_USER = T.StructType([T.StructField("user_id", T.LongType(), False)])
-DIM_PRODUCT = T.StructType(
-    [
-        T.StructField("product_id", T.LongType(), False),
-        T.StructField("brand", T.StringType(), True),
-        T.StructField("price", T.DecimalType(10, 2), True),
-        T.StructField("price_tier", T.StringType(), True),
-    ]
-)
-DIM_CATEGORY = T.StructType(
-    [
-        T.StructField("category_id", T.LongType(), False),
-        T.StructField("category_code", T.StringType(), True),
-        T.StructField("category_l1", T.StringType(), True),
-        T.StructField("category_l2", T.StringType(), True),
-        T.StructField("category_l3", T.StringType(), True),
-    ]
-)
-DIM_DATE = T.StructType(
-    [
-        T.StructField("event_date", T.DateType(), False),
-        T.StructField("day_of_week", T.StringType(), True),
-    ]
-)
 
 LABEL = "is_purchased"
 FEATURE_COLUMNS = [

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,35 +79,41 @@ def write_documents(
     documents.write.option("maxRecordsPerFile", rows_per_file).text(path)
 
 
-def write_by_month(df: DataFrame, path: str, ts: str = "event_timestamp") -> None:
-    """Parquet below year=/month=.
+def write_by_day(df: DataFrame, path: str, ts: str = "event_timestamp") -> None:
+    """Parquet below year=/month=/day=.
 
-    The rebalance hint groups a month's rows into few files and lets AQE split a
-    month that holds much of the table over several tasks.
+    The rebalance hint groups a day's rows into few files and lets AQE split a
+    day that holds much of the table over several tasks.
     """
-    parts = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
-    parts.hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(path)
+    levels = {"year": F.year(ts), "month": F.month(ts), "day": F.day(ts)}
+    parts = df.withColumns(levels).hint("rebalance", *levels)
+    parts.write.partitionBy(*levels).parquet(path)
+
+
+def existing(spark: SparkSession, paths: Iterable[str]) -> set[str]:
+    """Those of a bounded number of paths that are there, looked up side by side."""
+
+    def there(path: str) -> bool:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+    paths = list(paths)
+    with ThreadPoolExecutor(32) as pool:
+        return {path for path, found in zip(paths, pool.map(there, paths)) if found}
 
 
 @dataclass(frozen=True)
 class PartitionedSource:
-    """Where a partitioned feed lies and which partitions to read."""
+    """A partitioned feed and the values of the partitions to read of it."""
 
     root: str
-    prefix: dict[str, int]
-    batch_size: int = 1000
-
-    def __post_init__(self):
-        if not self.root:
-            raise ValueError("root cannot be empty")
-        if not self.prefix:
-            raise ValueError("prefix cannot be empty")
-        if self.batch_size <= 0:
-            raise ValueError("batch_size must be positive")
+    prefix: dict[str, object]
 
     def scan(self, spark: SparkSession) -> DataFrame:
-        """Only the matching partition folders are listed and read."""
-        df = spark.read.parquet(self.root)
-        for column, value in self.prefix.items():
-            df = df.where(F.col(column) == value)
-        return df
+        """Only the matching partition folders are listed and read. Without a value
+        for any partition column the whole feed would be read, which is refused."""
+        feed = spark.read.parquet(self.root)
+        unknown = set(self.prefix) - set(feed.columns)
+        if not self.prefix or unknown:
+            raise ValueError(f"partition values needed; not in {self.root}: {sorted(unknown)}")
+        return feed.where(reduce(and_, [F.col(c) == F.lit(v) for c, v in self.prefix.items()]))

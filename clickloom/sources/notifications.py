@@ -12,19 +12,24 @@ OBJECT_SCHEME = "s3a://"
 
 
 def kafka_notifications(
-    spark: SparkSession, servers: str, topic: str, max_per_trigger: int = 10_000
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    max_per_trigger: int = 10_000,
+    fail_on_loss: bool = True,
 ) -> DataFrame:
     """Notification stream. Needs the Kafka connector jar.
 
-    Starts at the earliest offset and tolerates offsets already gone; the cap
-    per trigger bounds what one micro-batch has to plan.
+    Starts at the earliest offset; the cap per trigger bounds what one micro-batch
+    has to plan. Offsets that are gone already fail the stream, unless
+    `fail_on_loss` is off: then what they held is skipped.
     """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_loss).lower())
         .option("maxOffsetsPerTrigger", max_per_trigger)
         .load()
     )

@@ -16,8 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.upsert import latest_per_key
 from clickloom.plans.features import as_online
-from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_EVENT
-from clickloom.sources.files import scan_json
+from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_DOCUMENT
+from clickloom.sources.files import existing, scan_json, with_corrupt
 from clickloom.sources.notifications import OBJECT_SCHEME, notified_paths
 from clickloom.streaming.landing import quarantined, usable
 
@@ -29,6 +29,17 @@ def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def quarantine_of(path: str) -> str:
+    """Where the rows that a feature table can't take are put, unless told otherwise."""
+    return f"{path.rstrip('/')}_quarantine"
+
+
+def newest_per_key(events: DataFrame) -> DataFrame:
+    """The last event of each key: by time, then by the event's id."""
+    order = [c for c in ("event_timestamp", "event_id") if c in events.columns]
+    return latest_per_key(events, FEATURE_KEY_COLUMNS, order)
+
+
 def feature_batch_writer(
     path: str,
     quarantine: str | None = None,
@@ -36,18 +47,20 @@ def feature_batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The per-batch step: set bad rows aside, keep the latest per key, write.
 
-    `publish` may push the same rows to an external key-value store.
+    Malformed documents and rows without a full key always go to `quarantine`, by
+    default the table's sibling. `publish` may push the rows written to an external
+    key-value store.
     """
+    aside = quarantine or quarantine_of(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch.persist()
         try:
-            newest = latest_per_key(usable(batch), FEATURE_KEY_COLUMNS, ["event_timestamp"])
+            if batch.isEmpty():
+                return
+            newest = newest_per_key(usable(batch))
             write_batch(newest, batch_id, path)
-            if quarantine:
-                write_batch(quarantined(batch), batch_id, quarantine)
+            write_batch(quarantined(batch), batch_id, aside)
             if publish:
                 publish(as_online(newest), batch_id)
         finally:
@@ -76,8 +89,12 @@ def stream_features(
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Latest row per key over all batches: the offline feature table."""
-    batches = spark.read.schema(LANDED_EVENT).parquet(f"{path}/batch_id=*")
-    return latest_per_key(batches, FEATURE_KEY_COLUMNS, ["event_timestamp"])
+    return newest_per_key(spark.read.schema(LANDED_DOCUMENT).parquet(f"{path}/batch_id=*"))
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """All rows set aside from the feature table at `path`, or below `path` itself."""
+    return spark.read.schema(with_corrupt(LANDED_DOCUMENT)).parquet(f"{path}/batch_id=*")
 
 
 def compact_features(spark: SparkSession, path: str, target: str) -> None:
@@ -87,21 +104,25 @@ def compact_features(spark: SparkSession, path: str, target: str) -> None:
 
 
 def notified_batch_writer(
-    write: Callable[[DataFrame, int], None], scheme: str = OBJECT_SCHEME
+    write: Callable[[DataFrame, int], None], absent: str, scheme: str = OBJECT_SCHEME
 ) -> Callable[[DataFrame, int], None]:
-    """Per-batch step for a stream of notifications: load the named objects and
-    hand them to `write`.
-
-    The paths come to the driver, as a file scan is planned there. The cap per
-    trigger on the notification source bounds them; the rest follows in the
-    next batches. Where nothing else needs the notifications, streaming the
-    landing folder itself is cheaper.
+    """Per-batch step for notifications: `write` gets the events of the objects that a
+    batch names.
+
+    A file scan is planned on the driver, so it needs the names there; their
+    number is bounded by the notification source's cap per trigger. Objects that are
+    gone by then would fail each retry of the batch: their names are written below
+    `absent`, and the others are loaded. Where nothing else needs the notifications,
+    streaming the landing folder itself is cheaper.
     """
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        paths = notified_paths(batch, scheme=scheme).distinct()
-        named = [row.s3_path for row in paths.collect()]
-        if named:
-            write(scan_json(batch.sparkSession, named, keep_corrupt=True), batch_id)
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        named = {row.s3_path for row in notified_paths(batch, scheme=scheme).distinct().toLocalIterator()}
+        present = existing(spark, named)
+        gone = [(path,) for path in sorted(named - present)]
+        write_batch(spark.createDataFrame(gone, "s3_path string"), batch_id, absent)
+        if present:
+            write(scan_json(spark, sorted(present), LANDED_DOCUMENT, keep_corrupt=True), batch_id)
 
-    return run
+    return load

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_EVENT
+from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_DOCUMENT
 from clickloom.sources.files import CORRUPT, with_corrupt
 
 
@@ -21,7 +21,7 @@ def landed_events(spark: SparkSession, path: str, max_files: int = 1000) -> Data
     committed. The cap bounds the size of one micro-batch.
     """
     return (
-        spark.readStream.schema(with_corrupt(LANDED_EVENT))
+        spark.readStream.schema(with_corrupt(LANDED_DOCUMENT))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", max_files)

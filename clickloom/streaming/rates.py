@@ -57,7 +57,9 @@ def read_rates(spark: SparkSession, path: str, by: str) -> DataFrame:
 
 
 def stream_request_rate(events: DataFrame, ts: str, by: str, lateness: str) -> DataFrame:
-    """The same over a stream; windows older than the watermark are let go."""
+    """The same over a stream. A window is settled once the watermark, the newest time
+    seen less `lateness`, has passed its end; rows that come later than that are not
+    counted. Rates are complete if no row is later than `lateness`."""
     window = F.window(ts, f"{WINDOW_MINUTES} minutes", f"{SLIDE_MINUTES} minutes")
     return (
         events.withWatermark(ts, lateness)

@@ -46,20 +46,18 @@ def test_csv(spark, tmp_path):
 def test_partition_pruning(spark, tmp_path):
     days = [datetime.datetime(2024, 12, 31), datetime.datetime(2025, 1, 5), datetime.datetime(2025, 2, 1)]
     df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "event_id long, event_timestamp timestamp_ntz")
-    files.write_by_month(df, str(tmp_path / "events"))
-    january = files.PartitionedSource(str(tmp_path / "events"), {"year": 2025, "month": 1}).scan(spark)
+    files.write_by_day(df, str(tmp_path / "events"))
+    january = files.PartitionedSource(str(tmp_path / "events"), {"year": 2025, "month": 1, "day": 5}).scan(spark)
     assert [r.event_id for r in january.collect()] == [1]
     plan = _plan(january)
     assert "PartitionFilters: [isnotnull(year" in plan
 
 
-@pytest.mark.parametrize("fields", [
-    {"root": "", "prefix": {"year": 1}}, {"root": "x", "prefix": {}},
-    {"root": "x", "prefix": {"year": 1}, "batch_size": 0},
-])
-def test_partitioned_source_is_validated(fields):
-    with pytest.raises(ValueError):
-        files.PartitionedSource(**fields)
+def test_a_feed_is_not_read_whole_by_mistake(spark, tmp_path):
+    spark.range(3).selectExpr("id", "id AS day").write.partitionBy("day").parquet(str(tmp_path / "x"))
+    for prefix in ({}, {"hour": 1}):
+        with pytest.raises(ValueError):
+            files.PartitionedSource(str(tmp_path / "x"), prefix).scan(spark)
 
 
 def test_create_and_insert(spark, tmp_path):

@@ -129,17 +129,59 @@ def test_stream_of_notifications_loads_the_named_objects(spark, places, tmp_path
         _land(places["landed"], str(i), _event(user=i))
     inbox = tmp_path / "inbox"
     inbox.mkdir()
-    named = [json.dumps({"Key": str(places["landed"] / f"{i}.json")}) for i in (0, 2, 2)]
+    named = [json.dumps({"Key": str(places["landed"] / f"{i}.json")}) for i in (0, 2, 2, 7)]
     (inbox / "a.txt").write_text("\n".join([*named, "oops"]))
-    write = stream.feature_batch_writer(str(places["table"]))
+    write, absent = stream.feature_batch_writer(str(places["table"])), str(tmp_path / "absent")
     (
         spark.readStream.text(str(inbox))
         .select(F.encode("value", "UTF-8").alias("value"))
-        .writeStream.foreachBatch(stream.notified_batch_writer(write, scheme="file://"))
+        .writeStream.foreachBatch(stream.notified_batch_writer(write, absent, scheme="file://"))
         .option("checkpointLocation", str(places["checkpoint"]))
         .trigger(availableNow=True).start().awaitTermination()
     )
     assert {k[0] for k in _prices(spark, places)} == {0, 2}
+    # the object that is gone is named, and does not hold up the others
+    assert [r.s3_path for r in spark.read.parquet(absent).collect()] == [f"file://{places['landed']}/7.json"]
+
+
+def test_bad_rows_are_kept_without_being_asked_to(spark, places):
+    _land(places["landed"], "a", _event())
+    (places["landed"] / "b.json").write_text('{"user_id": 1, broken')
+    (places["landed"] / "c.json").write_text('{"product_id": 5}')
+    stream.stream_features(
+        landed_events(spark, str(places["landed"])), str(places["table"]), str(places["checkpoint"]), drain=True
+    ).awaitTermination()
+    aside = stream.read_quarantine(spark, stream.quarantine_of(str(places["table"]))).collect()
+    assert sorted((r.product_id, r._corrupt_record) for r in aside if r.product_id) == [(5, None)]
+    assert [r._corrupt_record for r in aside if r._corrupt_record] == ['{"user_id": 1, broken']
+    assert len(_prices(spark, places)) == 1
+
+
+def test_events_of_one_second_are_settled_by_their_id(spark, places):
+    for name, event_id, price in (("a", 8, 1.0), ("b", 7, 99.0)):
+        _land(places["landed"], name, _event(price=price) | {"event_id": event_id})
+    _run(spark, places)
+    assert list(_prices(spark, places).values()) == [1.0]
+
+
+def test_rows_later_than_the_watermark_are_not_counted(spark, tmp_path):
+    from clickloom.streaming import rates
+
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    base = datetime.datetime(2024, 1, 1)
+
+    def batch(*minutes):
+        rows = [(base + datetime.timedelta(minutes=m), "view") for m in minutes]
+        spark.createDataFrame(rows, "ts timestamp, kind string").write.mode("append").parquet(folder)
+        source = spark.readStream.schema("ts timestamp, kind string").parquet(folder)
+        rates.count_stream(source, "ts", "kind", "10 minutes", out, check).awaitTermination()
+
+    batch(0, 60)
+    batch(61)
+    batch(0, 55)  # the first is an hour late, the second within the ten minutes
+    found = {r.window_start: round(r.rate * 300) for r in rates.read_rates(spark, out, "kind").collect()}
+    assert found[base] == 1
+    assert found[base + datetime.timedelta(minutes=55)] == 1
 
 
 def _times(spark, seconds, user=1):
