@@ -9,9 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import category_id
-from clickloom.operators.encode import load_mapping
-from clickloom.operators.lookup import numeric_features
-from clickloom.plans import scoring, training, warehouse
+from clickloom.plans import preparation, scoring, training, warehouse
 from clickloom.plans.training_run import train_and_register
 from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_DOCUMENT
 from clickloom.session import build_session
@@ -77,18 +75,19 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
     table = feature_stream.read_features(spark, args.source)
     result = train_and_register(
         table, args.registry, args.target, args.run_id, date.today().isoformat(),
-        args.trials, args.rounds,
+        args.trials, args.rounds, null_policy=args.null_policy,
     )
     print(result)
 
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
-    registry = spark.read.schema(training.REGISTRY).parquet(args.registry)
+    registry = training.open_registry(spark, args.registry)
     current = training.latest_model(registry.where(F.col("name") == training.MODEL_NAME)).first()
+    if current is None:
+        raise SystemExit(f"no model is registered at {args.registry}")
     model = training.load_model(spark, current.model_uri)
-    mapping = load_mapping(spark, current.model_uri.removesuffix("model") + "mapping")
-    table = feature_stream.read_features(spark, args.features)
-    inputs = numeric_features(scoring.encode_categories(table, mapping))
+    learned = preparation.load(spark, current.model_uri.removesuffix("/model"))
+    inputs = learned.apply(feature_stream.read_features(spark, args.features))
     requests = spark.read.schema(REQUESTS).json(args.source)
     results = scoring.batch_score(
         requests.select("request_id", *FEATURE_KEY_COLUMNS), inputs, scoring.model_scorer(model)
@@ -123,6 +122,7 @@ def main(argv: list[str] | None = None) -> None:
         train, registry, ("--run-id", {"required": True}),
         ("--trials", {"type": int, "default": training.NUM_TRIALS}),
         ("--rounds", {"type": int, "default": 1}),
+        ("--null-policy", {"choices": preparation.NULL_POLICIES, "default": "unseen"}),
     )
     job(score, registry, ("--features", {"required": True}))
     args = parser.parse_args(argv)

@@ -52,10 +52,22 @@ _BLOCKS = {
     "shop": """
         SELECT * EXCLUDE (rn) FROM (
             SELECT user_id, product_id, user_session, price, events_in_session AS activity_count,
-                   isodow(ts) - 1 AS event_weekday,
+                   isodow(ts) - 1 AS event_weekday, brand,
+                   split_part(category_code, '.', 1) AS category_code_level1,
+                   substr(category_code, strpos(category_code, '.') + 1) AS category_code_level2,
                    row_number() OVER (PARTITION BY user_id, product_id, user_session
                                       ORDER BY ts DESC, event_id DESC) AS rn
             FROM shop_raw) WHERE rn = 1""",
+    "ready": """
+        SELECT user_id, product_id, user_session, activity_count,
+               CASE WHEN category_code_level1 <> 'economy' THEN price
+                    ELSE (SELECT median(price) FROM shop WHERE category_code_level1 <> 'economy')
+               END AS price,
+               dense_rank() OVER (ORDER BY event_weekday) - 1 AS event_weekday,
+               dense_rank() OVER (ORDER BY brand) - 1 AS brand_no,
+               dense_rank() OVER (ORDER BY category_code_level1) - 1 AS level1_no,
+               dense_rank() OVER (ORDER BY category_code_level2) - 1 AS level2_no
+        FROM shop""",
     "requests": """
         SELECT DISTINCT user_id || '@' || CAST(ts AS DATE) AS request_id,
                user_id, product_id, user_session
@@ -64,8 +76,9 @@ _BLOCKS = {
         SELECT r.*, s.user_id IS NOT NULL AS found,
                bool_and(s.user_id IS NOT NULL) OVER (PARTITION BY request_id) AS batch_ok,
                0.001::DOUBLE * s.price + 0.1::DOUBLE * s.event_weekday
-                   + 0.05::DOUBLE * s.activity_count AS z
-        FROM requests r LEFT JOIN shop s
+                   + 0.05::DOUBLE * s.activity_count + 0.01::DOUBLE * s.brand_no
+                   + 0.02::DOUBLE * s.level1_no + 0.0001::DOUBLE * s.level2_no AS z
+        FROM requests r LEFT JOIN ready s
           ON r.user_id = s.user_id AND r.product_id = s.product_id
          AND r.user_session = s.user_session""",
     "loaded": """
@@ -99,7 +112,8 @@ _NEEDS = {
     "shop_raw": ["raw"],
     "shop": ["shop_raw"],
     "requests": ["sess"],
-    "answers": ["requests", "shop"],
+    "ready": ["shop"],
+    "answers": ["requests", "ready"],
     "loaded": ["ev"],
     "volumes": ["loaded"],
     "registry": ["ev"],
@@ -132,7 +146,13 @@ def _content(fields: list[tuple[str, str]]) -> str:
 
 _PRODUCT_UNLESS_SIGNUP = "CASE WHEN event_type <> 'signup' THEN product_id END"
 _FACT_KEY = _content(
-    [("event_id", ""), ("ts", ""), ("event_type", ""), ("user_id", ""), ("product_id", "")]
+    [
+        (name, "")
+        for name in (
+            "event_id", "ts", "event_type", "user_id", "product_id",
+            "user_session", "category_id", "price",
+        )
+    ]
 )
 _HASH = _content(
     [("ts", ""), ("event_type", ""), ("user_id", ""), (_PRODUCT_UNLESS_SIGNUP, "")]
@@ -236,16 +256,19 @@ ORACLE: dict[str, str] = {
     "fk_violations": _with("ev", "products")
     + """
         SELECT 'user_id' AS fk_name, count(*) AS violations FROM ev
-        WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer)
+        WHERE user_id IS NOT NULL
+          AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)
         UNION ALL
         SELECT 'product_id', count(*) FROM ev
-        WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM products)
+        WHERE product_id IS NOT NULL AND product_id NOT IN
+              (SELECT product_id FROM products WHERE category_code NOT LIKE 'economy.%')
         UNION ALL
         SELECT 'category_id', count(*) FROM ev JOIN products p USING (product_id)
-        WHERE p.category_id NOT IN (SELECT category_id FROM products)
+        WHERE p.category_id NOT IN
+              (SELECT category_id FROM products WHERE category_code NOT LIKE 'economy.%')
         UNION ALL
         SELECT 'event_date', count(*) FROM ev
-        WHERE CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events)""",
+        WHERE ts >= TIMESTAMP '2024-01-20'""",
     "fk_violations_basic_products": _with("ev")
     + """
         SELECT 'product_id' AS fk_name, count(*) AS violations FROM ev
@@ -311,6 +334,15 @@ ORACLE: dict[str, str] = {
                coalesce(c2.i, -1) AS category_code_level2
         FROM cats LEFT JOIN b ON brand = b.v LEFT JOIN w ON event_weekday = w.v
         LEFT JOIN c1 ON category_code_level1 = c1.v LEFT JOIN c2 ON category_code_level2 = c2.v""",
+    "train_purchase_model": _with("feat")
+    + """
+        SELECT CASE WHEN CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT)
+                         < CAST(floor(0.2 * 4294967296) AS BIGINT) THEN 'test'
+                    WHEN CAST('0x' || substr(md5('43|' || event_id), 1, 8) AS BIGINT)
+                         < CAST(floor(0.2 * 4294967296) AS BIGINT) THEN 'stop'
+                    ELSE 'train' END AS part,
+               count(*) AS "rows", CAST(sum(is_purchased) AS BIGINT) AS purchases, true AS fits
+        FROM feat GROUP BY 1""",
     "train_test_split": """
         SELECT CASE WHEN CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT)
                          < CAST(floor(0.2 * 4294967296) AS BIGINT)

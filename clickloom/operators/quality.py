@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import is_valid
 from clickloom.schemas import MAX_DUPLICATES, MAX_SECONDS, MAX_TOTAL, MIN_TOTAL
 
 
@@ -106,9 +104,3 @@ def fk_violations(fact: DataFrame, references: dict[str, DataFrame]) -> DataFram
 
 def price_range(df: DataFrame, column: str = "price") -> DataFrame:
     return df.agg(F.min(column).alias("min_price"), F.max(column).alias("max_price"))
-
-
-def split_valid(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with every required column, and the rows to quarantine."""
-    flag = is_valid(required)
-    return df.where(flag), df.where(~flag)

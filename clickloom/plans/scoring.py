@@ -8,8 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.encode import encode_categories
-from clickloom.operators.lookup import feature_lookup, numeric_features
+from clickloom.operators.lookup import feature_lookup
 from clickloom.plans.training import score
 from clickloom.schemas import FEATURE_COLUMNS, FEATURE_KEY_COLUMNS
 
@@ -19,6 +18,7 @@ NOT_FOUND = "Features not found"
 # Weights of the plain linear scorer, a stand-in for a model where a result has
 # to be repeatable to the digit.
 LINEAR_WEIGHTS = {"price": 0.001, "event_weekday": 0.1, "activity_count": 0.05}
+CATEGORY_WEIGHTS = {"brand": 0.01, "category_code_level1": 0.02, "category_code_level2": 0.0001}
 
 
 def linear_score(columns: dict[str, float] = LINEAR_WEIGHTS) -> Column:
@@ -34,11 +34,6 @@ def model_scorer(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
     )
 
 
-def encoded_features(features: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Stored features as the model was trained on: mapping first, then numbers."""
-    return numeric_features(encode_categories(features, mapping))
-
-
 def batch_score(
     requests: DataFrame,
     features: DataFrame,
@@ -46,7 +41,7 @@ def batch_score(
 ) -> DataFrame:
     """(request_id, key, prediction, success, error).
 
-    `features` holds the six numeric inputs per key and `scorer` adds a column
+    `features` holds the six prepared inputs per key and `scorer` adds a column
     `prediction`. A request with a missing key gives no predictions at all.
     """
     looked_up = feature_lookup(requests, features.select(*FEATURE_KEY_COLUMNS, *FEATURE_COLUMNS))

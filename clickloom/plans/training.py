@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from clickloom.operators.metrics import classification_metrics
 from clickloom.schemas import FEATURE_COLUMNS, LABEL
+from clickloom.sources.files import existing
 
 # ---------------------------------------------------------------------------
 # Base parameters and search ranges.
@@ -39,9 +40,8 @@ SEARCH_SPACE = {
     "gamma": ("uniform", 0.0, 1.0),
 }
 NUM_TRIALS = 1
-EARLY_STOPPING_ROUNDS = 5
 MODEL_NAME = "purchase_prediction_model"
-MODEL_DESCRIPTION = "XGBoost model for purchase prediction"
+MODEL_DESCRIPTION = "Gradient-boosted trees (MLlib) for purchase prediction"
 MODEL_STAGE = "Staging"
 MODEL_ALIAS = "current"
 
@@ -133,16 +133,22 @@ def evaluate(model: PipelineModel, frame: DataFrame, label: str = LABEL) -> Data
 
 
 def metric_history(
-    model: PipelineModel, frame: DataFrame, run_id: str, label: str = LABEL
+    model: PipelineModel, sets: dict[str, DataFrame], run_id: str, label: str = LABEL
 ) -> DataFrame:
-    """(run_id, metric, step, value): logloss after each round."""
-    assembler, trees = model.stages
-    rows = assembler.transform(frame.withColumn(label, F.col(label).cast("double")))
-    values = trees.evaluateEachIteration(rows)
-    history = [(run_id, "logloss", step, value) for step, value in enumerate(values)]
-    return frame.sparkSession.createDataFrame(
-        history, "run_id string, metric string, step int, value double"
-    )
+    """(run_id, part, metric, step, value): the boosting loss of each set after each
+    round, and its metrics after the last."""
+    _, trees = model.stages
+    rounds = len(trees.treeWeights)
+    spark = next(iter(sets.values())).sparkSession
+    history = []
+    for part, frame in sets.items():
+        rows = model.transform(frame.withColumn(label, F.col(label).cast("double")))
+        for step, loss in enumerate(trees.evaluateEachIteration(rows)):
+            history.append((run_id, part, "boosting_loss", step, float(loss)))
+        for row in evaluate(model, frame, label).collect():
+            history.append((run_id, part, row.metric, rounds - 1, float(row.value)))
+    schema = "run_id string, part string, metric string, step int, value double"
+    return spark.createDataFrame(history, schema)
 
 
 TRIALS = T.StructType(
@@ -186,40 +192,6 @@ def random_search(
     return spark.createDataFrame(results, TRIALS)
 
 
-def single_feature_trials(
-    frame: DataFrame, features: Sequence[str] = tuple(FEATURE_COLUMNS), label: str = LABEL
-) -> DataFrame:
-    """(trial_id, feature, train_rmse): one trial per feature, predicting the
-    label by its mean among rows with the same value.
-
-    All trials share one scan and one shuffle, and only counts per value move:
-    with n rows, s labels and q squared labels per value, the squared error is
-    the sum of q - s^2 / n.
-    """
-    y = F.col(label).cast("double")
-    entries = [
-        F.struct(
-            F.lit(i).alias("trial_id"),
-            F.lit(name).alias("feature"),
-            F.col(name).cast("string").alias("value"),
-            y.alias("y"),
-        )
-        for i, name in enumerate(features)
-    ]
-    error = F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n"))
-    return (
-        frame.select(F.inline(F.array(*entries)))
-        .groupBy("trial_id", "feature", "value")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("y").alias("s"),
-            F.sum(F.col("y") * F.col("y")).alias("q"),
-        )
-        .groupBy("trial_id", "feature")
-        .agg(F.sqrt(error / F.sum("n")).alias("train_rmse"))
-    )
-
-
 def best_trial(trials: DataFrame, metric: str = "train_rmse") -> DataFrame:
     """The trial with the smallest error; level trials go to the lowest id."""
     rest = [c for c in trials.columns if c not in (metric, "trial_id")]
@@ -244,6 +216,13 @@ REGISTRY = T.StructType(
 )
 
 
+def open_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The registry at `path`, which is created if nothing is there."""
+    if not existing(spark, [path]):
+        spark.createDataFrame([], REGISTRY).write.parquet(path)
+    return spark.read.schema(REGISTRY).parquet(path)
+
+
 def register_model(
     registry: DataFrame, name: str, model_uri: str, metrics: dict[str, float], training_date: str
 ) -> DataFrame:
@@ -295,32 +274,16 @@ def latest_model_file(files: DataFrame, name: str = "file_name") -> DataFrame:
 
 @dataclass(frozen=True)
 class RunResult:
-    """What a training run leaves behind, also when it failed."""
+    """What a training run leaves behind: 'success' with the metrics of the test rows,
+    or 'error' with the message of what broke it."""
 
     status: str
     model_path: str = ""
-    train_metrics: dict | None = None
+    metrics: dict | None = None
     best_params: dict | None = None
     error: str | None = None
 
 
-def run_result(results: dict | None, report=None) -> RunResult:
-    """'failed' without results, 'partial_success' when reporting them fails."""
-    if not results or not isinstance(results, dict):
-        return RunResult("failed", error=f"Invalid results format: {results}")
-    fields = {
-        "model_path": results.get("checkpoint_path", ""),
-        "train_metrics": results.get("metrics", {}),
-        "best_params": results.get("best_params", {}),
-    }
-    try:
-        if report:
-            report(fields)
-    except Exception as problem:
-        return RunResult("partial_success", error=str(problem), **fields)
-    return RunResult("success", **fields)
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

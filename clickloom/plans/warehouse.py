@@ -15,6 +15,7 @@ from clickloom.functions.columns import (
 from clickloom.operators.sessions import with_session_counts
 from clickloom.operators.upsert import latest_per_key
 from clickloom.schemas import FACT_EVENTS, RAW_EVENT
+from clickloom.session import stored
 from clickloom.sources.tables import laid_out
 
 # What makes two raw events the same record.
@@ -29,7 +30,16 @@ CONTENT_FIELDS = [
     "user_id",
     "user_session",
 ]
-RECORD_FIELDS = ["event_id", "event_timestamp", "event_type", "user_id", "product_id"]
+RECORD_FIELDS = [
+    "event_id",
+    "event_timestamp",
+    "event_type",
+    "user_id",
+    "product_id",
+    "user_session",
+    "category_id",
+    "price",
+]
 
 
 def dim_user(users: DataFrame) -> DataFrame:
@@ -44,11 +54,15 @@ def dim_product(products: DataFrame) -> DataFrame:
 
 
 def dim_category(products: DataFrame) -> DataFrame:
+    """One row per category id: the newest code it came with, if there are times, or
+    else the greatest; null only where it never had one."""
     level1, level2, level3 = category_levels(F.col("category_code"))
+    time = F.col("event_timestamp") if "event_timestamp" in products.columns else F.lit(0)
+    coded = F.struct(F.col("category_code").isNotNull(), time, "category_code")
     return (
-        products.where(F.col("category_code").isNotNull())
-        .select("category_id", "category_code")
-        .distinct()
+        products.where(F.col("category_id").isNotNull())
+        .groupBy("category_id")
+        .agg(F.max(coded)["category_code"].alias("category_code"))
         .withColumns({"category_l1": level1, "category_l2": level2, "category_l3": level3})
     )
 
@@ -91,9 +105,12 @@ def fact_events(events: DataFrame) -> DataFrame:
 def write_star_schema(events: DataFrame, root: str) -> None:
     """Writes fact and dimensions, taken from raw events, below `root`.
 
-    The fact is partitioned by day and sorted by session inside its files. Price
-    and brand of a product are those of its newest event.
+    The source is read once and landed as parquet, from which each table reads its
+    columns. Rows alike in all columns are one event. The fact is partitioned by day
+    and sorted by session inside its files. Price and brand of a product are those
+    of its newest event.
     """
+    events = stored(events.distinct(), "raw-events")
     products = latest_per_key(
         events.where(F.col("product_id").isNotNull()).select(
             "product_id", "brand", "price", "event_timestamp"

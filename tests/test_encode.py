@@ -11,7 +11,7 @@ from clickloom.operators.encode import (
 )
 from clickloom.operators.lookup import numeric_features
 from clickloom.plans.features import as_online, fill_missing, in_test_set, train_test_split
-from clickloom.plans.scoring import encoded_features
+from clickloom.plans.preparation import Preparation
 from clickloom.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
 
 SCHEMA = (
@@ -68,9 +68,10 @@ def test_training_and_scoring_see_the_same_vector(spark, tmp_path):
         rows = df.select(*keys, *[F.col(c).cast("double") for c in FEATURE_COLUMNS]).collect()
         return {(r.user_session, int(r.product_id)): tuple(r)[2:] for r in rows}
 
-    trained = vectors(encode_categories(frame, mapping))
+    learned = Preparation(mapping, None, "unseen")
+    trained = vectors(learned.apply(frame))
     stored = as_online(frame).withColumn("product_id", F.split("feature_key", ":")[3])
-    assert vectors(encoded_features(stored, mapping)) == trained
+    assert vectors(learned.apply(stored)) == trained
     raw = vectors(numeric_features(stored))
     assert raw[("a", 1)] == (0.0, 1.0, 10.0, 0.0, 0.0, 1.0)
 

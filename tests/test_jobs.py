@@ -67,3 +67,20 @@ def test_star_schema_from_csv(spark, tmp_path):
     }
     assert {r.category_l3 for r in read("dim_category").collect()} == {"c", None}
     assert read("dim_date").count() == 2 and read("dim_user").count() == 2
+
+
+def test_equal_seconds_and_recoded_categories_keep_their_keys(spark, tmp_path):
+    header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
+    rows = [
+        "2024-01-01 10:00:00 UTC,view,1,7,old.code,acme,9.99,5,s1",
+        "2024-01-01 10:00:00 UTC,view,1,7,new.code,acme,9.99,5,s2",
+        "2024-01-02 10:00:00 UTC,view,1,7,new.code,acme,8.99,5,s2",
+        "2024-01-02 10:00:00 UTC,view,1,7,new.code,acme,8.99,5,s2",
+        "2024-01-02 11:00:00 UTC,view,2,8,,acme,8.99,5,s2",
+    ]
+    (tmp_path / "raw.csv").write_text("\n".join([header, *rows]))
+    main(["star", str(tmp_path / "raw.csv"), str(tmp_path / "star")])
+    fact = spark.read.parquet(str(tmp_path / "star" / "fact_events"))
+    assert fact.count() == 4 and fact.select("event_key").distinct().count() == 4
+    codes = {r.category_id: r.category_code for r in spark.read.parquet(str(tmp_path / "star" / "dim_category")).collect()}
+    assert codes == {7: "new.code", 8: None}

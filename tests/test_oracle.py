@@ -55,9 +55,3 @@ def test_every_sql_has_a_query():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
-
-
-def test_model_query(spark):
-    rows = {r.metric: r.value for r in queries()["train_purchase_model"](spark, SF).collect()}
-    assert set(rows) == {"logloss", "error", "rmse", "mae", "auc", "accuracy"}
-    assert rows["accuracy"] == pytest.approx(1 - rows["error"])

@@ -72,9 +72,3 @@ def test_insert_ignore(spark):
     )
     found = insert_ignore(stored, incoming, ["id"], ["n"]).collect()
     assert {(r.id, r.v) for r in found} == {(1, 5.0), (2, None), (3, 2.0)}
-
-
-def test_split_valid(spark):
-    df = spark.createDataFrame([(1, "a"), (None, "b"), (2, None)], "x long, y string")
-    good, bad = quality.split_valid(df, ["x"])
-    assert good.count() == 2 and bad.count() == 1

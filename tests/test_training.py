@@ -40,9 +40,12 @@ def test_learns_a_planted_rule_and_survives_saving(spark, planted, tmp_path):
 
 def test_history_has_one_value_per_round(planted):
     model = T.train(planted, {"max_depth": 2, "num_boost_round": 3})
-    rows = T.metric_history(model, planted, "run-1").orderBy("step").collect()
+    sets = {"train": planted, "test": planted.where("held_out")}
+    history = T.metric_history(model, sets, "run-1")
+    rows = history.where("part = 'train' AND metric = 'boosting_loss'").orderBy("step").collect()
     assert [r.step for r in rows] == [0, 1, 2]
     assert rows[-1].value < rows[0].value
+    assert {(r.part, r.metric) for r in history.collect()} >= {("test", "auc"), ("train", "logloss")}
 
 
 def test_search_is_repeatable_and_within_its_ranges(planted):
@@ -67,13 +70,6 @@ def test_best_trial_prefers_the_lower_id(spark):
     assert T.best_trial(df).first().asDict() == {"trial_id": 1, "note": "c", "train_rmse": 0.5}
 
 
-def test_single_feature_trials(spark):
-    rows = [("a", 1), ("a", 1), ("b", 0), ("b", 1), (None, 0)]
-    df = spark.createDataFrame(rows, f"brand string, {LABEL} int")
-    [row] = T.single_feature_trials(df, ["brand"]).collect()
-    assert row.train_rmse == pytest.approx((0.5 / 5) ** 0.5)
-
-
 def test_registry(spark):
     registry = spark.createDataFrame([], T.REGISTRY)
     for version in (1, 2):
@@ -102,17 +98,5 @@ def test_latest_model_file(spark):
     )
 
 
-def test_run_result():
-    assert T.run_result(None).status == "failed"
-    done = T.run_result({"metrics": {"auc": 0.7}, "checkpoint_path": "p"})
-    assert done.status == "success" and done.model_path == "p"
-
-    def broken(_):
-        raise RuntimeError("no monitor")
-
-    partly = T.run_result({"metrics": {}}, broken)
-    assert partly.status == "partial_success" and partly.error == "no monitor"
-
-
 def test_feature_order_is_the_stored_one():
     assert FEATURE_COLUMNS[0] == "brand" and LABEL not in FEATURE_COLUMNS

@@ -3,10 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators.encode import load_mapping
-from clickloom.operators.upsert import latest_per_key
-from clickloom.plans import training
-from clickloom.plans.scoring import batch_score, encoded_features, model_scorer
+from clickloom.plans import preparation, training
+from clickloom.plans.features import as_online
+from clickloom.plans.scoring import batch_score, model_scorer
 from clickloom.plans.training_run import train_and_register
 from clickloom.schemas import FEATURE_COLUMNS, FEATURE_KEY_COLUMNS, LABEL
 
@@ -30,22 +29,23 @@ def features(spark, tmp_path_factory):
 
 def test_run(spark, features, tmp_path):
     registry, artifacts = str(tmp_path / "registry"), str(tmp_path / "artifacts")
-    spark.createDataFrame([], training.REGISTRY).write.parquet(registry)
     for run, policy in (("r1", "unknown"), ("r2", "unseen")):
         result = train_and_register(
             features, registry, artifacts, run, "2024-02-01", 2, 3, null_policy=policy
         )
         assert result.status == "success", result.error
-        assert result.train_metrics["auc"] > 0.9
-    texts = {r.value for r in load_mapping(spark, f"{artifacts}/r1/mapping").collect()}
-    assert "unknown" in texts
+        assert result.metrics["auc"] > 0.9
+        history = spark.read.parquet(f"{artifacts}/{run}/history")
+        assert {(r.part, r.metric) for r in history.collect()} >= {("train", "auc"), ("test", "boosting_loss")}
+    learned = preparation.load(spark, f"{artifacts}/r1")
+    assert learned.null_policy == "unknown" and learned.median is not None
+    assert "unknown" in {r.value for r in learned.mapping.collect()}
     current = training.latest_model(spark.read.schema(training.REGISTRY).parquet(registry)).first()
     assert (current.version, current.model_uri) == (2, f"{artifacts}/r2/model")
 
     model = training.load_model(spark, current.model_uri)
-    mapping = load_mapping(spark, f"{artifacts}/r2/mapping")
-    stored = encoded_features(
-        features.select(*FEATURE_KEY_COLUMNS, *FEATURE_COLUMNS), mapping
+    stored = preparation.load(spark, f"{artifacts}/r2").apply(
+        features.select(*FEATURE_KEY_COLUMNS, *FEATURE_COLUMNS)
     )
     requests = features.where("user_id < 100").select(
         F.concat(F.lit("q"), F.col("user_id") % 10).alias("request_id"), *FEATURE_KEY_COLUMNS
@@ -58,15 +58,31 @@ def test_run(spark, features, tmp_path):
 
 
 def test_an_unseen_brand_is_still_scored(spark, features):
-    newest = latest_per_key(features, FEATURE_KEY_COLUMNS, ["price"])
     mapping = spark.createDataFrame([], "col_name string, value string, idx int")
-    row = encoded_features(newest, mapping).first()
-    assert row.brand == -1.0 and row.price >= 0.0
+    row = preparation.Preparation(mapping, 7.5, "unseen").apply(features.where("price is null")).first()
+    assert row.brand == -1.0 and row.price == 7.5
+
+
+@pytest.mark.parametrize("policy", preparation.NULL_POLICIES)
+def test_scoring_prepares_as_training_did(spark, features, tmp_path, policy):
+    """The same rows, typed for training and as text for scoring, give the same inputs."""
+    learned = preparation.learn(features, policy)
+    learned.save(str(tmp_path / "p"))
+    loaded = preparation.load(spark, str(tmp_path / "p"))
+    stamped = features.withColumn("event_timestamp", F.lit("2024-01-01 00:00:00"))
+    online = as_online(stamped).join(
+        features.select("user_session", *FEATURE_KEY_COLUMNS[:2]), "user_session"
+    )
+    names = [*FEATURE_KEY_COLUMNS, *FEATURE_COLUMNS]
+    trained = {tuple(r) for r in learned.apply(features).select(names).collect()}
+    served = {tuple(r) for r in loaded.apply(online).select(names).collect()}
+    assert trained == served and len(served) == features.count()
+    missing = {r.price for r in learned.apply(features.where("price is null")).collect()}
+    assert missing == {learned.median}
 
 
 def test_a_failing_run_reports_and_registers_nothing(spark, features, tmp_path):
     registry = str(tmp_path / "registry")
-    spark.createDataFrame([], training.REGISTRY).write.parquet(registry)
     result = train_and_register(features.drop("price"), registry, str(tmp_path / "a"), "r", "2024-02-01")
     assert result.status == "error" and "price" in result.error
     assert spark.read.schema(training.REGISTRY).parquet(registry).count() == 0
