@@ -101,7 +101,7 @@ def with_next(documents: DataFrame) -> DataFrame:
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     placed = rows.filter("doc_id is not null")
-    slices = 2 * parts_for(rows, 16 << 20)
+    slices = parts_for(rows, 16 << 20)
     shares = [i / slices for i in range(1, slices)]
     # one boundary per slice comes to the driver
     cuts = placed.agg(F.percentile_approx("doc_id", shares, 20 * slices)).first()[0] or []
@@ -125,9 +125,9 @@ def with_next(documents: DataFrame) -> DataFrame:
     )
     inside = Window.partitionBy("slice").orderBy("doc_id", "text")
     held = F.struct(F.col("text").alias("first_text"), F.col("hashes").alias("first_hashes"))
-    ordered = placed.withColumn("hashes", anchor_hashes(F.col("text"))).withColumn(
-        "next", F.lead(held).over(inside)
-    )
+    # the texts are dealt out alone: their anchors would add half as much again
+    dealt = placed.repartition("slice").withColumn("hashes", anchor_hashes(F.col("text")))
+    ordered = dealt.withColumn("next", F.lead(held).over(inside))
     ordered = ordered.join(follow, "slice").withColumn("next", F.coalesce("next", "follow"))
     loose = rows.filter("doc_id is null").withColumn("hashes", anchor_hashes(F.col("text")))
     first = follow.orderBy(F.desc("slice")).limit(1).select(F.col("follow").alias("next"))
