@@ -85,9 +85,16 @@ def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Beyond this Catalyst's size says only that it is not known.
+UNKNOWN_BYTES = 1 << 55
+
+
 def parts_for(df: DataFrame, bytes_each: int) -> int:
     """How many parts of about `bytes_each` the input makes, by Catalyst's size of
-    the frame, and no fewer than the session's shuffle partitions."""
+    the frame, and no fewer than the session's shuffle partitions. These alone count
+    for a frame of unknown size, such as one made from an RDD."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(usual, min(size // bytes_each + 1, 100_000))
+    if size >= UNKNOWN_BYTES:
+        return usual
+    return max(usual, size // bytes_each + 1)
