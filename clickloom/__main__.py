@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import category_id
+from clickloom.operators import quality
 from clickloom.plans import preparation, scoring, training, warehouse
 from clickloom.plans.training_run import train_and_register
-from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_DOCUMENT
-from clickloom.session import build_session
+from clickloom.schemas import FEATURE_KEY_COLUMNS, GOLD_ROW_BOUNDS, LANDED_DOCUMENT, RAW_EVENT
+from clickloom.session import build_session, object_store_options
 from clickloom.sources.files import scan_csv, typed, write_documents
 from clickloom.sources.notifications import kafka_notifications
+from clickloom.sources.tables import create_table, insert_new
 from clickloom.streaming import features as feature_stream
 from clickloom.streaming.landing import copy_to_landing, landed_events
 
@@ -71,6 +73,37 @@ def star(spark: SparkSession, args: argparse.Namespace) -> None:
     warehouse.write_star_schema(events, args.target)
 
 
+def load(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Raw events into the table of records; records that are there stay as they are."""
+    raw = scan_csv(spark, args.source, RAW_CSV)
+    raw = raw.withColumn("category_id", F.coalesce("category_id", category_id(F.col("category_code"))))
+    records = warehouse.raw_records(raw, args.pipeline)
+    create_table(spark, args.target, RAW_EVENT, ["event_type"], args.location)
+    insert_new(
+        spark, args.target, records, ["record_hash"], ["processed_date"], ["event_type"], ["user_session"]
+    )
+
+
+def check(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Checks a star schema: row counts and foreign keys, and, of a table of records,
+    volumes and alerts. One parquet folder for each below the target."""
+    read = lambda name: spark.read.parquet(f"{args.source}/{name}")
+    fact = read("fact_events")
+    keys = {"user_id": "dim_user", "product_id": "dim_product", "category_id": "dim_category"}
+    dimensions = {key: read(name) for key, name in {**keys, "event_date": "dim_date"}.items()}
+    results = {
+        "row_counts": quality.row_count_check(fact, "gold_layer_suite", GOLD_ROW_BOUNDS),
+        "foreign_keys": quality.fk_violations(fact, dimensions),
+        "prices": quality.price_range(dimensions["product_id"]),
+    }
+    if args.records:
+        records = spark.table(args.records).withColumn("valid", F.col("valid").cast("boolean"))
+        results["metrics"] = quality.load_metrics(records)
+        results["alerts"] = quality.load_alerts(results["metrics"])
+    for name, result in results.items():
+        result.write.mode("overwrite").parquet(f"{args.target}/{name}")
+
+
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     table = feature_stream.read_features(spark, args.source)
     result = train_and_register(
@@ -118,6 +151,8 @@ def main(argv: list[str] | None = None) -> None:
         ("--skip-lost", {"action": "store_true"}),
     )
     job(star)
+    job(load, ("--pipeline", {"default": "batch"}), ("--location", {}))
+    job(check, ("--records", {"help": "table of raw records"}))
     job(
         train, registry, ("--run-id", {"required": True}),
         ("--trials", {"type": int, "default": training.NUM_TRIALS}),
@@ -125,8 +160,10 @@ def main(argv: list[str] | None = None) -> None:
         ("--null-policy", {"choices": preparation.NULL_POLICIES, "default": "unseen"}),
     )
     job(score, registry, ("--features", {"required": True}))
+    parser.add_argument("--object-store", help="endpoint of an S3-compatible store")
     args = parser.parse_args(argv)
-    args.run(build_session("clickloom"), args)
+    store = object_store_options(args.object_store) if args.object_store else {}
+    args.run(build_session("clickloom", extra=store), args)
 
 
 if __name__ == "__main__":

@@ -154,6 +154,10 @@ _FACT_KEY = _content(
         )
     ]
 )
+_RECORD = [
+    "event_time", "event_type", "product_id", "category_id", "category_code", "brand", "price",
+    "user_id", "user_session",
+]
 _HASH = _content(
     [("ts", ""), ("event_type", ""), ("user_id", ""), (_PRODUCT_UNLESS_SIGNUP, "")]
 )
@@ -401,6 +405,14 @@ ORACLE: dict[str, str] = {
                CAST(activity_count AS DOUBLE) AS activity_count
         FROM online""",
     "record_hash": _with("ev") + f"SELECT event_id, sha256({_HASH}) AS record_hash FROM ev",
+    "raw_records": _with("raw")
+    + f"""
+        , timed AS (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time FROM raw)
+        SELECT {", ".join(_RECORD)}, 'shop' AS processing_pipeline,
+               CAST(product_id IS NOT NULL AND category_id IS NOT NULL AND price IS NOT NULL
+                    AND user_session IS NOT NULL AS VARCHAR) AS valid,
+               sha256({_content([(name, "") for name in _RECORD])}) AS record_hash
+        FROM timed""",
     "validate_events": "SELECT event_id, event_type <> 'signup' AS valid FROM events",
     "row_count_check": """
         SELECT suite, 'row_count' AS check_name, (SELECT count(*) FROM events) AS observed,

@@ -380,6 +380,13 @@ def _hashed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def raw_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as the table of records holds them, without the time of loading."""
+    time = F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss")
+    events = data.raw_events(spark, sf).withColumn("event_time", time)
+    return warehouse.raw_records(events, "shop").drop("processed_date")
+
+
 def record_hashes(spark: SparkSession, sf: str) -> DataFrame:
     return _hashed(spark, sf).select("event_id", "record_hash")
 
@@ -629,6 +636,7 @@ QUERIES: dict[str, Query] = {
         stream_online_features,
         stream_quarantine,
         numeric_default,
+        raw_records,
         validate_events,
         row_count_check,
         load_metrics,

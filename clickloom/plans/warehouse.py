@@ -95,7 +95,7 @@ def fact_events(events: DataFrame) -> DataFrame:
         events = with_session_counts(events)
     return events.withColumns(
         {
-            "event_key": record_key(RECORD_FIELDS),
+            "event_key": record_key([c for c in RECORD_FIELDS if c in events.columns]),
             "event_date": F.to_date("event_timestamp"),
             "event_hour": F.hour("event_timestamp"),
         }

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from clickloom.operators.upsert import new_rows
 
+#: Partition values that come to the driver at most.
+MOST_PARTITIONS = 1000
+
 
 def create_table(
     spark: SparkSession,
@@ -60,12 +63,15 @@ def touched_partitions(
 ) -> DataFrame:
     """The part of a partitioned table that rows of `incoming` could be in.
 
-    The incoming partition values, no more than the table has folders, become
-    literals of the scan's partition filter, so other partitions are not read.
+    The incoming values of a partition column become literals of the scan's
+    partition filter, so other partitions are not read. A column with more than
+    MOST_PARTITIONS incoming values does not narrow the scan.
     """
-    values = incoming.agg(*[F.collect_set(c).alias(c) for c in partition_by]).first()
     for column in partition_by:
-        table = table.where(F.col(column).isin(values[column]) | F.col(column).isNull())
+        distinct = incoming.select(column).distinct().limit(MOST_PARTITIONS + 1)
+        values = [row[0] for row in distinct.collect()]
+        if len(values) <= MOST_PARTITIONS:
+            table = table.where(F.col(column).isin(values) | F.col(column).isNull())
     return table
 
 

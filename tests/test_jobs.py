@@ -84,3 +84,27 @@ def test_equal_seconds_and_recoded_categories_keep_their_keys(spark, tmp_path):
     assert fact.count() == 4 and fact.select("event_key").distinct().count() == 4
     codes = {r.category_id: r.category_code for r in spark.read.parquet(str(tmp_path / "star" / "dim_category")).collect()}
     assert codes == {7: "new.code", 8: None}
+
+
+def test_load_twice_and_check(spark, tmp_path):
+    header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
+    rows = [
+        "2024-01-01 10:00:00 UTC,view,1,7,a.b,acme,9.99,5,s1",
+        "2024-01-01 10:00:00 UTC,view,1,7,a.b,acme,9.99,5,s1",
+        "2024-01-02 10:00:00 UTC,cart,,7,a.b,acme,,5,s2",
+    ]
+    (tmp_path / "raw.csv").write_text("\n".join([header, *rows]))
+    raw, star, out = (str(tmp_path / n) for n in ("raw.csv", "star", "checks"))
+    for _ in range(2):
+        main(["load", raw, "records_test", "--location", str(tmp_path / "records")])
+    assert spark.table("records_test").count() == 2
+    main(["star", raw, star])
+    main(["check", star, out, "--records", "records_test"])
+    read = lambda name: spark.read.parquet(f"{out}/{name}").collect()
+    assert [(r.observed, r.success) for r in read("row_counts")] == [(2, True)]
+    assert {r.fk_name: r.violations for r in read("foreign_keys")} == dict.fromkeys(
+        ("user_id", "product_id", "category_id", "event_date"), 0
+    )
+    assert {r.metric: r.value for r in read("metrics")}["invalid_records"] == 1
+    assert {r.rule: r.fired for r in read("alerts")}["low_volume"]
+    spark.sql("DROP TABLE records_test")
