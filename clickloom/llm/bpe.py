@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from clickloom.llm.words import slices
+from clickloom.llm.words import mapped, slices
 
 #: Latin, Greek, Cyrillic, and common punctuation and currency signs.
 _SETTLED = regex.compile("[\x00-ӿ‐-‧‰-⁞₠-₿]*")
@@ -191,7 +191,7 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 
     rows = documents.select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return mapped(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -210,4 +210,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 )
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {kind}, ids binary, text string")
+    return mapped(encoded, run, f"doc_id {kind}, ids binary, text string")

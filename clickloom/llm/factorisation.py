@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.sampling import bounded_sample, class_counts
-from clickloom.llm.words import encoded, slices, word_hashes
+from clickloom.llm.words import encoded, mapped, slices, word_hashes
 
 WORD_BUCKETS = 1 << 11
 RANK = 8
@@ -165,7 +165,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Machine | None:
                 )
 
     schema = "quality int, places binary, amounts binary, numbers binary"
-    sample = rows.mapInArrow(run, schema).toArrow()
+    sample = mapped(rows, run, schema).toArrow()
     y = np.array(sample.column("quality").to_pylist(), float)
     if len(set(y.tolist())) < 2:
         return None
@@ -199,7 +199,7 @@ def scored(documents: DataFrame, machine: Machine | None) -> DataFrame:
 
     rows = documents.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, score double")
+    return mapped(rows, run, f"doc_id {kind}, score double")
 
 
 def held_out(column: str = "doc_id"):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.sampling import bounded_sample, class_counts
-from clickloom.llm.words import REMEMBERED, slices
+from clickloom.llm.words import REMEMBERED, mapped, slices
 
 UNKNOWN = "und"
 #: Languages that are close to each other; any other is a family of its own.
@@ -155,7 +155,7 @@ def train(labelled: DataFrame) -> Model | None:
                     names=["lang", "places", "values"],
                 )
 
-    drawn = sample.mapInArrow(run, "lang string, places binary, values binary").toArrow()
+    drawn = mapped(sample, run, "lang string, places binary, values binary").toArrow()
     x = np.zeros((len(drawn), BUCKETS), np.float32)
     places, values = drawn.column("places").to_pylist(), drawn.column("values").to_pylist()
     for row, p, v in zip(x, places, values):
@@ -221,7 +221,7 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
 
     rows = documents.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return mapped(rows, run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def accepted(documents: DataFrame, model: Model | None) -> DataFrame:
@@ -241,7 +241,7 @@ def accepted(documents: DataFrame, model: Model | None) -> DataFrame:
                 whole = pa.RecordBatch.from_arrays(columns, names=part.schema.names)
                 yield whole.filter(pa.array([f is not None for f in found], pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return mapped(documents, run, documents.schema)
 
 
 def held_out():

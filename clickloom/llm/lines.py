@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.sampling import bounded_sample, class_counts
-from clickloom.llm.words import encoded, mixed, slices, window_hashes, word_hashes
+from clickloom.llm.words import encoded, mapped, mixed, slices, window_hashes, word_hashes
 
 #: Base rules.
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -203,7 +203,7 @@ def measured(documents: DataFrame, field: Field | None) -> DataFrame:
     rows = documents.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = ", ".join(f"{name} {kind}" for name, kind in _NAMES.items())
-    return rows.mapInArrow(run, f"doc_id {kind}, {schema}")
+    return mapped(rows, run, f"doc_id {kind}, {schema}")
 
 
 _NAMES = {

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.words import encoded, parts_for, slices, window_hashes, word_hashes
+from clickloom.llm.words import encoded, mapped, parts_for, slices, window_hashes, word_hashes
 from clickloom.session import stored
 
 WINDOW = 50
@@ -129,7 +129,7 @@ def _shared(
             names=["doc_id", "keys"],
         )
 
-    packed = rows.mapInArrow(gather, _PACKED)
+    packed = mapped(rows, gather, _PACKED)
     replies = packed.groupBy("part").applyInArrow(meet, _DEALT)
     return replies.groupBy("docs_group").applyInArrow(merge, _HITS)
 
@@ -315,7 +315,7 @@ def _screened(rows: DataFrame, anchored: DataFrame, parts: int) -> DataFrame:
                 )
 
     joined = rows.join(anchored.hint("merge"), "doc_id", "left").select("doc_id", "text", "keys")
-    return joined.mapInArrow(run, "doc_id long, n_words long, text string, starts binary")
+    return mapped(joined, run, "doc_id long, n_words long, text string, starts binary")
 
 
 def _around(words: list[bytes], packed: bytes, parts: int) -> np.ndarray:
@@ -365,4 +365,4 @@ def _cut(suspects: DataFrame, repeated: DataFrame) -> DataFrame:
 
     joined = suspects.join(repeated.hint("merge"), "doc_id", "left")
     joined = joined.select("doc_id", "n_words", "text", "starts", "keys")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
+    return mapped(joined, run, "doc_id long, n_words long, n_removed long, text string")

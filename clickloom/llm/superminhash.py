@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.components import components
-from clickloom.llm.words import encoded, mixed, slices, window_hashes, word_hashes
+from clickloom.llm.words import encoded, mapped, mixed, slices, window_hashes, word_hashes
 from clickloom.operators.skew import shuffled_apart
 from clickloom.session import stored
 
@@ -109,8 +109,8 @@ def signatures(documents: DataFrame) -> DataFrame:
                     names=["doc_id", "n_shingles", "set_key", "signature"],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, signature binary"
+    return mapped(
+        documents.select("doc_id", "text"), run, "doc_id long, n_shingles long, set_key binary, signature binary"
     )
 
 
@@ -226,8 +226,7 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     joined = pairs.join(left.hint("merge"), "left").join(right.hint("merge"), "right")
     joined = joined.select("left", "right", "left_text", "right_text")
-    return joined.mapInArrow(
-        run, "left long, right long, left_size long, right_size long, common long"
+    return mapped(joined, run, "left long, right long, left_size long, right_size long, common long"
     )
 
 
@@ -280,7 +279,7 @@ def _open_pairs(
     )
     group = ["band", "key", "block", "with_block"]
     ordered = dealt.repartition(*group).sortWithinPartitions(*group)
-    return ordered.mapInArrow(_pairs_of_groups, "left long, right long")
+    return mapped(ordered, _pairs_of_groups, "left long, right long")
 
 
 def _pairs_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ executor and in every run.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +64,16 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed((sums[width:] - sums[: n - width + 1]) * np.cumprod(back))
 
 
+#: Rows that Spark hands to Python at once: batches lie outside the heap, twice.
+BATCH_ROWS = 1000
+
+
+def mapped(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """`df.mapInArrow` in batches of BATCH_ROWS."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch of about SLICE_BYTES of text, each with its texts; a text
     longer than that is a part of its own. Null is the empty text."""
