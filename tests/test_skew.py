@@ -88,3 +88,13 @@ def test_lookup_of_a_hot_key_is_split(small_partitions, events):
     assert "skew=true" in plan
     missing = events.where("user_id = 1").count()
     assert len(rows) == 60_000 and sum(not r.batch_ok for r in rows) == missing > 0
+
+
+def test_a_scanned_frame_keeps_its_partitions(spark, tmp_path):
+    from clickloom.operators.skew import shuffled_apart
+
+    spark.range(4000).repartition(40).write.parquet(str(tmp_path / "wide"))
+    scanned = spark.read.parquet(str(tmp_path / "wide"))
+    assert shuffled_apart(scanned).rdd.getNumPartitions() == scanned.rdd.getNumPartitions()
+    counted = scanned.groupBy("id").count()
+    assert "Coalesce" in shuffled_apart(counted)._jdf.queryExecution().toString()
