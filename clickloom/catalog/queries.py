@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import (
@@ -583,19 +583,33 @@ def training_rows(spark: SparkSession, sf: str) -> DataFrame:
     return training_run.prepared_parts(table, ["event_id"])[1]
 
 
+#: Standard errors that are put down to chance when a model is judged.
+CHANCE = 3
+
+
+def model_fits(part: Column, label: Column, p: Column) -> Column:
+    """Whether a part's squared error exceeds that of its own base rate by no more than
+    CHANCE standard errors, which shrink with the part. On the training rows the model
+    must also say more than any constant: the label has to rise with the prediction, by
+    more than CHANCE standard errors."""
+    squared = (label - p) * (label - p)
+    rate, root = F.avg(label), F.sqrt(F.count(squared))
+    slack = CHANCE * F.coalesce(F.stddev_samp(squared), F.lit(0.0)) / root
+    near = F.avg(squared) <= rate * (1 - rate) + slack
+    label = label.cast("double")
+    rises = F.covar_pop(label, p) > CHANCE * F.stddev_pop(label) * F.stddev_pop(p) / root
+    return near & ((F.first(part) != "train") | rises)
+
+
 def train_purchase_model(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted trees learned on one part of the events, stopped by another, measured
-    on a third: rows and purchases of each part, and whether the model's squared
-    error there stays within a quarter of that of the part's own purchase rate."""
+    on a third: rows and purchases of each part, and whether the model fits it."""
     rows = training_rows(spark, sf)
     model = training.train(
         rows.where("part <> 'test'"), {"max_depth": 3, "num_boost_round": 5}, validation="held_out"
     )
     scored = training.score(model, rows, "p")
-    error = F.avg((F.col(LABEL) - F.col("p")) * (F.col(LABEL) - F.col("p")))
-    rate = F.avg(LABEL)
-    # the quarter is what chance may do to a part of a few hundred rows
-    fits = error <= 1.25 * rate * (1 - rate)
+    fits = model_fits(F.col("part"), F.col(LABEL), F.col("p"))
     return scored.groupBy("part").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(LABEL).cast("long").alias("purchases"), fits.alias("fits")
     )

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.catalog.queries import model_fits
 from clickloom.plans import training as T
 from clickloom.schemas import FEATURE_COLUMNS, LABEL
 
@@ -100,3 +101,22 @@ def test_latest_model_file(spark):
 
 def test_feature_order_is_the_stored_one():
     assert FEATURE_COLUMNS[0] == "brand" and LABEL not in FEATURE_COLUMNS
+
+
+def _fits(spark, part, rows, model):
+    draw = F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000
+    frame = spark.range(rows).withColumn("y", (draw < 0.2).cast("int"))
+    frame = frame.select(F.lit(part).alias("part"), "y", model(F.col("y"), F.col("id")).alias("p"))
+    return frame.agg(model_fits(F.col("part"), F.col("y"), F.col("p")).alias("fits")).first().fits
+
+
+def test_a_useless_or_harmful_model_does_not_fit(spark):
+    constant = lambda y, i: F.lit(0.2)
+    harmful = lambda y, i: 0.2 + 0.19 * F.when(i % 2 == 0, 1).otherwise(-1)  # 23 % worse
+    useful = lambda y, i: 0.2 + 0.1 * y
+    assert not _fits(spark, "train", 2000, constant)
+    assert not _fits(spark, "train", 2000, lambda y, i: 0.2 - 0.01 * y)
+    for part in ("train", "stop", "test"):
+        assert not _fits(spark, part, 100_000, harmful)
+        assert _fits(spark, part, 100_000, useful)
+    assert _fits(spark, "test", 200, constant)
