@@ -35,17 +35,27 @@ FAMILIES = {
     "indo-aryan": ("bn", "gu", "hi", "mr", "ne", "pa", "ur"),
     "turkic": ("az", "kk", "ky", "tr", "uz"),
 }
-#: Bounds of the training sample: texts of each language, and languages (the most frequent).
-SAMPLE, LANGUAGES = 400, 32
+#: Bound of the training sample: texts of each language. All languages are learned.
+SAMPLE = 400
+#: Languages without a listed family that may be a family of their own; more are grouped.
+ALONE = 32
 BUCKETS = 1 << 13
+#: Values that a task remembers, one for each machine and word.
+REMEMBERED_VALUES = 1 << 24
 #: Features are shares of n-grams times this, so that margins have a scale of about 1.
 SCALE = 40.0
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def family_of(language: str) -> str:
-    return next((f for f, members in FAMILIES.items() if language in members), f"only {language}")
+def families_of(names: list[str]) -> dict[str, str]:
+    """The family of each name. More than ALONE names without a listed one go by
+    neighbours in the alphabet, so that machines grow with the 4/3rd power of them."""
+    listed = {v: f for f, members in FAMILIES.items() for v in members}
+    rest = sorted(set(names) - set(listed))
+    each = 1 if len(rest) <= ALONE else round((2 * len(rest)) ** (1 / 3))
+    groups = {v: f"only {rest[i - i % each]}" for i, v in enumerate(rest)}
+    return {v: listed.get(v) or groups[v] for v in names}
 
 
 def ngrams(word: str) -> list[int]:
@@ -69,16 +79,30 @@ def features(text: str) -> np.ndarray:
 def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 30) -> np.ndarray:
     """Weights and, last, the bias of a linear machine with hinge loss: dual
     coordinate descent in a fixed order. y is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    return _machine(sparse(x), x.shape[1], y, c, rounds)
+
+
+def sparse(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places and values of what is not zero in each row."""
+    places = [np.flatnonzero(row) for row in x]
+    return [(p, row[p].astype(np.float32)) for row, p in zip(x, places)]
+
+
+def _machine(
+    rows: list[tuple[np.ndarray, np.ndarray]], width: int, y: np.ndarray, c: float = 10.0, rounds: int = 30
+) -> np.ndarray:
     limit = c * len(y) / (2 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
-    norms, alpha, w = (x * x).sum(axis=1), np.zeros(len(y)), np.zeros(x.shape[1], np.float32)
+    norms, alpha, w = [float(v @ v) + 1 for _, v in rows], np.zeros(len(y)), np.zeros(width + 1, np.float32)
     draw = np.random.default_rng(7)
     for _ in range(rounds):
         for i in draw.permutation(len(y)):
-            gradient = y[i] * (x[i] @ w) - 1
+            places, values = rows[i]
+            gradient = y[i] * (w[places] @ values + w[-1]) - 1
             moved = min(max(alpha[i] - gradient / norms[i], 0.0), limit[i])
             if moved != alpha[i]:
-                w += np.float32((moved - alpha[i]) * y[i]) * x[i]
+                step = np.float32((moved - alpha[i]) * y[i])
+                w[places] += step * values
+                w[-1] += step
                 alpha[i] = moved
     return w
 
@@ -113,29 +137,37 @@ class Model:
         return best, float(support[best] / (n - 1))
 
 
-def fit(languages: np.ndarray, x: np.ndarray) -> Model:
+def fit(languages: np.ndarray, x: np.ndarray | list[tuple[np.ndarray, np.ndarray]]) -> Model:
+    """From the languages of texts and their features, dense or as sparse() has them."""
+    x = sparse(x) if isinstance(x, np.ndarray) else x
     names = sorted(set(languages.tolist()))
-    families = tuple(sorted({family_of(v) for v in names}))
-    members = tuple(tuple(v for v in names if family_of(v) == f) for f in families)
-    of = np.array([families.index(family_of(v)) for v in languages])
-    pairs, machines = [], []
+    family = families_of(names)
+    families = tuple(sorted(set(family.values())))
+    members = tuple(tuple(v for v in names if family[v] == f) for f in families)
+    place = {f: i for i, f in enumerate(families)}
+    of = np.array([place[family[v]] for v in languages])
+    pairs, weights, biases = [], [], []
+
+    def learn(group: int, a: int, b: int, labels: np.ndarray, first, second) -> None:
+        rows = np.flatnonzero((labels == first) | (labels == second))
+        w = _machine([x[i] for i in rows], BUCKETS, np.where(labels[rows] == first, 1, -1))
+        pairs.append((group, a, b))
+        weights.append(w[:-1])
+        biases.append(w[-1])
+
     for a, b in combinations(range(len(families)), 2):
-        rows = (of == a) | (of == b)
-        pairs.append((-1, a, b))
-        machines.append(svm(x[rows], np.where(of[rows] == a, 1, -1)))
+        learn(-1, a, b, of, a, b)
     for group, own in enumerate(members):
         for a, b in combinations(range(len(own)), 2):
-            rows = (languages == own[a]) | (languages == own[b])
-            pairs.append((group, a, b))
-            machines.append(svm(x[rows], np.where(languages[rows] == own[a], 1, -1)))
-    weights = np.array([m[:-1] for m in machines], np.float32).reshape(-1, BUCKETS).T
-    return Model(families, members, tuple(pairs), weights, np.array([m[-1] for m in machines]))
+            learn(group, a, b, languages, own[a], own[b])
+    table = np.array(weights, np.float32).reshape(-1, BUCKETS).T
+    return Model(families, members, tuple(pairs), table, np.array(biases))
 
 
 def train(labelled: DataFrame) -> Model | None:
     """A model from a bounded sample of the rows (text, lang); None without any."""
     rows = labelled.select("text", "lang").filter("lang is not null and text is not null")
-    counts = class_counts(rows, "lang", LANGUAGES)
+    counts = class_counts(rows, "lang")
     if not counts:
         return None
     sample = bounded_sample(rows, "lang", counts, SAMPLE, ["text"])
@@ -156,10 +188,8 @@ def train(labelled: DataFrame) -> Model | None:
                 )
 
     drawn = mapped(sample, run, "lang string, places binary, values binary").toArrow()
-    x = np.zeros((len(drawn), BUCKETS), np.float32)
     places, values = drawn.column("places").to_pylist(), drawn.column("values").to_pylist()
-    for row, p, v in zip(x, places, values):
-        row[np.frombuffer(p, np.uint16)] = np.frombuffer(v, np.float32)
+    x = [(np.frombuffer(p, np.uint16), np.frombuffer(v, np.float32)) for p, v in zip(places, values)]
     return fit(np.array(drawn.column("lang").to_pylist()), x) if len(drawn) else None
 
 
@@ -168,6 +198,7 @@ class _Scorer:
 
     def __init__(self, model: Model):
         self.model = model
+        self.most = min(REMEMBERED, REMEMBERED_VALUES // (len(model.pairs) + 1))
         self.forget()
 
     def forget(self) -> None:
@@ -175,7 +206,7 @@ class _Scorer:
         self.parts = np.zeros((1024, len(self.model.pairs) + 1))
 
     def margins(self, words: list[str]) -> np.ndarray:
-        if len(self.places) > REMEMBERED:
+        if len(self.places) > self.most:
             self.forget()
         places = self.places
         for word in set(words).difference(places):

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 _UNITS = 1_000_000
 
 
-def class_counts(rows: DataFrame, label: str, classes: int) -> dict:
-    """Rows of each of the `classes` most frequent labels (ties: smaller first)."""
+def class_counts(rows: DataFrame, label: str, classes: int | None = None) -> dict:
+    """Rows of each label, or of the `classes` most frequent (ties: smaller first)."""
     counted = rows.filter(F.col(label).isNotNull()).groupBy(label).count()
-    most = counted.orderBy(F.desc("count"), label).limit(classes)
+    most = counted.orderBy(F.desc("count"), label)
+    most = most if classes is None else most.limit(classes)
     return {r[label]: r["count"] for r in most.collect()}
 
 

@@ -66,3 +66,29 @@ def test_odd_rows(spark, odd, empty):
     assert langid.identify(empty, model).count() == 0
     one = langid.train(odd.filter("lang = 'en'"))
     assert {r.lang_pred for r in langid.identify(odd, one).collect()} == {"en", "und"}
+
+
+def _many_languages(spark, names, each):
+    """Texts of `each` rows a language, which has words of its own."""
+    draw = np.random.default_rng(4)
+    rows = []
+    for name in names:
+        words = ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)]
+        for _ in range(each):
+            rows.append((len(rows), " ".join(draw.choice(words, 30)), name))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_no_language_is_left_out(spark):
+    names = [v for members in langid.FAMILIES.values() for v in members] + [f"x{i:02}" for i in range(40)]
+    documents = _many_languages(spark, names, 4)
+    model = langid.train(documents)
+    assert sorted(v for own in model.languages for v in own) == sorted(names)
+    assert len(model.pairs) < 500
+    found = {r.doc_id: r.lang_pred for r in langid.identify(documents, model).collect()}
+    assert np.mean([found[r.doc_id] == r.lang for r in documents.collect()]) > 0.98
+
+
+def test_words_are_forgotten_by_the_size_of_the_model():
+    model = langid.Model(("a",), (("a",),), ((0, 0, 0),) * 2000, np.zeros((langid.BUCKETS, 2000)), np.zeros(2000))
+    assert langid._Scorer(model).most * 2001 <= langid.REMEMBERED_VALUES
