@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.sampling import bounded_sample, class_counts
+from clickloom.llm.sampling import class_counts, sample_of_each
 from clickloom.llm.words import REMEMBERED, mapped, slices
 
 UNKNOWN = "und"
@@ -165,12 +165,12 @@ def fit(languages: np.ndarray, x: np.ndarray | list[tuple[np.ndarray, np.ndarray
 
 
 def train(labelled: DataFrame) -> Model | None:
-    """A model from a bounded sample of the rows (text, lang); None without any."""
-    rows = labelled.select("text", "lang").filter("lang is not null and text is not null")
+    """A model from a bounded sample of the rows (doc_id, text, lang); None without any."""
+    rows = labelled.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
     counts = class_counts(rows, "lang")
     if not counts:
         return None
-    sample = bounded_sample(rows, "lang", counts, SAMPLE, ["text"])
+    sample = sample_of_each(rows, "lang", counts, SAMPLE, ["doc_id", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _UNITS = 1_000_000
@@ -28,3 +28,18 @@ def bounded_sample(rows: DataFrame, label: str, counts: dict, each: int, by: lis
     )
     ordered = drawn.orderBy("sample_place").limit(max(1, each * len(counts)))
     return ordered.drop("sample_place")
+
+
+def sample_of_each(rows: DataFrame, label: str, counts: dict, each: int, by: list[str]) -> DataFrame:
+    """About `each` rows of every class in `counts`, all of a smaller class, and no more
+    than `each` of any. Which ones, a hash of `by` decides; copies in `by` are drawn
+    together, so it should tell rows apart."""
+    # a map, as a condition for each of many classes would nest too deep
+    shares = [F.lit(v) for value, count in counts.items() for v in (value, min(1.0, 0.95 * each / count))]
+    share = F.coalesce(F.element_at(F.create_map(*shares), F.col(label)), F.lit(0.0))
+    drawn = rows.withColumn("sample_place", F.xxhash64(*by)).filter(
+        F.pmod("sample_place", F.lit(_UNITS)) < share * _UNITS
+    )
+    order = Window.partitionBy(label).orderBy("sample_place")
+    ranked = drawn.withColumn("sample_rank", F.row_number().over(order))
+    return ranked.filter(F.col("sample_rank") <= each).drop("sample_place", "sample_rank")

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from clickloom.llm import langid
+from clickloom.llm import langid, sampling
 from clickloom.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -92,3 +92,23 @@ def test_no_language_is_left_out(spark):
 def test_words_are_forgotten_by_the_size_of_the_model():
     model = langid.Model(("a",), (("a",),), ((0, 0, 0),) * 2000, np.zeros((langid.BUCKETS, 2000)), np.zeros(2000))
     assert langid._Scorer(model).most * 2001 <= langid.REMEMBERED_VALUES
+
+
+def test_copies_displace_no_language(spark):
+    """One text makes up most of a language; its copies are drawn apart."""
+    copies = [(i, "same text", "aa") for i in range(3000)]
+    others = [(5000 + i, f"text {i}", v) for v in ("aa", "bb", "cc") for i in range(30)]
+    rows = spark.createDataFrame(copies + others, "doc_id long, text string, lang string")
+    for by in (["doc_id", "text"], ["text"]):
+        counts = sampling.class_counts(rows, "lang")
+        drawn = sampling.sample_of_each(rows, "lang", counts, 40, by)
+        found = {r.lang: r["count"] for r in drawn.groupBy("lang").count().collect()}
+        assert found["bb"] == found["cc"] == 30 and found.get("aa", 0) <= 40
+        assert by == ["text"] or found["aa"] > 20
+
+
+def test_learning_tells_copies_apart(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(langid, "sample_of_each", lambda *a: asked.append(a) or sampling.sample_of_each(*a))
+    assert langid.train(_many_languages(spark, ["en", "de"], 3)) is not None
+    assert asked[0][4] == ["doc_id", "text"]
