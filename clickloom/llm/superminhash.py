@@ -11,8 +11,8 @@ signature are first compared with the smallest of their bucket, which takes as
 many comparisons as rows. What that leaves open inside a bucket is compared
 pair by pair, except pairs in one component already, pairs whose sizes or
 intersections with the bucket's smallest exclude a link, and pairs whose
-signatures agree in so few slots (FLOOR) that a link is excluded by four standard
-deviations. Every link is confirmed on the full sets. Large buckets are dealt out
+signatures agree in so few slots (FLOOR) that a link is as unlikely as one that
+the bands miss. Every link is confirmed on the full sets. Large buckets are dealt out
 in blocks, so that no task holds a whole one.
 """
 
@@ -36,7 +36,8 @@ BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
 #: Links: PERCENT * size of the union at most 100 * size of the intersection.
 PERCENT = 85
-FLOOR = 0.72
+#: Least share of agreeing slots; at PERCENT fewer are no likelier than a pair that shares no band.
+FLOOR = 0.61
 #: Members of a bucket that one task compares with each other or with as many others.
 BLOCK = 2000
 

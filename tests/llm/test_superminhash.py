@@ -1,4 +1,5 @@
 import re
+from math import ceil, comb
 
 import numpy as np
 
@@ -108,3 +109,10 @@ def test_components(spark):
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
     expected = {n: 0 for n in (*range(1, 51), 100)} | {201: 200}
     assert {r.node: r.component for r in rows} == expected
+
+
+def test_the_floor_loses_no_more_than_the_banding():
+    slots, same = superminhash.SLOTS, superminhash.PERCENT / 100
+    missed = (1 - same**superminhash.ROWS) ** superminhash.BANDS
+    below = range(ceil(superminhash.FLOOR * slots))
+    assert sum(comb(slots, k) * same**k * (1 - same) ** (slots - k) for k in below) <= missed
