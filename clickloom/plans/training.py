@@ -275,7 +275,8 @@ def latest_model_file(files: DataFrame, name: str = "file_name") -> DataFrame:
 @dataclass(frozen=True)
 class RunResult:
     """What a training run leaves behind: 'success' with the metrics of the test rows,
-    or 'error' with the message of what broke it."""
+    'error' with the message of what broke it, or 'partial_success' with both if the
+    model is saved but not registered."""
 
     status: str
     model_path: str = ""

@@ -54,7 +54,8 @@ def train_and_register(
     The search and the trees see the training rows, boosting ends by the stop rows,
     and the metrics are those of the test rows. Preparation, model and the history of
     the metrics lie below `artifacts`/`run_id`; the registry, created if absent, gets
-    its row only when all are there. What goes wrong is returned, not hidden.
+    its row only when all are there. What goes wrong is returned, not hidden; once the
+    model is saved, with its path, metrics and parameters.
     """
     spark = features.sparkSession
     folder = f"{artifacts}/{run_id}"
@@ -78,11 +79,14 @@ def train_and_register(
         history = training.metric_history(model, sets, run_id)
         history.coalesce(1).write.mode("overwrite").parquet(f"{folder}/history")
         training.save_model(model, f"{folder}/model")
-
+    except Exception as problem:
+        return training.RunResult("error", error=str(problem))
+    done = (f"{folder}/model", metrics, params)
+    try:
         known = training.open_registry(spark, registry)
         training.register_model(
             known, training.MODEL_NAME, f"{folder}/model", metrics, training_date
         ).write.mode("append").parquet(registry)
     except Exception as problem:
-        return training.RunResult("error", error=str(problem))
-    return training.RunResult("success", f"{folder}/model", metrics, params)
+        return training.RunResult("partial_success", *done, error=str(problem))
+    return training.RunResult("success", *done)

@@ -91,3 +91,14 @@ def test_a_failing_run_reports_and_registers_nothing(spark, features, tmp_path):
 def test_untuned_runs_sample_their_parameters():
     assert training.final_params(None, 3) == training.sample_params(3)
     assert training.final_params({"max_depth": 4}, 3) == {"max_depth": 4}
+
+
+def test_a_saved_model_that_is_not_registered_is_reported(features, tmp_path, monkeypatch):
+    def broken(*_):
+        raise OSError("registry is gone")
+
+    monkeypatch.setattr(training, "register_model", broken)
+    result = train_and_register(features, str(tmp_path / "registry"), str(tmp_path / "a"), "r", "2024-02-01")
+    assert result.status == "partial_success" and "registry is gone" in result.error
+    assert result.model_path == f"{tmp_path}/a/r/model" and (tmp_path / "a/r/model").exists()
+    assert 0 <= result.metrics["auc"] <= 1 and result.best_params["max_depth"] in (3, 4)
