@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+from clickloom.llm.lexical import MOST
 from clickloom.llm.merkle import ARCHIVE_RECORDS
 from clickloom.llm.mixing import LEVELS, MOST_EPOCHS, NONE, SEED
-from clickloom.llm.production import ALTERED, DAMAGE, DOMAINS, LOST, PERCENT, TWICE, WEIGHTS
+from clickloom.llm.onebit import HIGHEST, LOWEST, POSITIVES, SCALE
+from clickloom.llm.onebit import NEGATIVES as NEGATIVES_EACH
+from clickloom.llm.production import (
+    ALTERED,
+    ANCHORS,
+    DAMAGE,
+    DOMAINS,
+    LABELS,
+    LOST,
+    PERCENT,
+    RELABELLED,
+    TWICE,
+    WEIGHTS,
+)
+from clickloom.llm.pstable import THRESHOLD
 
 _RECORD = """'WARC/1.0' || e || 'WARC-Type: response' || e || 'WARC-Record-ID: <urn:page:' || page_id
  || '>' || e || 'WARC-Target-URI: ' || url || e || 'Content-Length: ' || strlen({held}) || e || e
@@ -95,4 +110,71 @@ SELECT doc_id, {_PATH}, n_tokens, CAST(full_epochs AS BIGINT) AS full_epochs,
 FROM taken
 """
 
-ORACLE: dict[str, str] = {"op1_merkle_audit": MERKLE, "op6_hierarchical_mixing": MIXING}
+_USABLE = "vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"
+
+NEGATIVES = f"""
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % {RELABELLED} = 0 THEN (label + 1) % {LABELS} ELSE label END AS label,
+    [floor({SCALE} * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % {ANCHORS} = 0),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {POSITIVES})
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND {LOWEST} * positive_score <= 100 * score AND 100 * score <= {HIGHEST} * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= {NEGATIVES_EACH}
+"""
+
+COSINES = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE {_USABLE} AND len([x FOR x IN embedding IF x <> 0]) > 0),
+link AS (
+  SELECT a.vec_id, b.vec_id AS other FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= {THRESHOLD}),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT reach.vec_id, link.other FROM reach JOIN link ON link.vec_id = reach.other)
+SELECT vec_id, (SELECT count(*) FROM link WHERE link.vec_id = reach.vec_id) AS n_links,
+  min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach GROUP BY vec_id
+"""
+
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_TERMS = f"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) AS term"""
+
+LEXICAL = f"""
+WITH posting AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} FROM documents) GROUP BY ALL),
+doc AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM posting GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM doc),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM posting, whole GROUP BY term),
+norm AS (SELECT doc_id, 100 - 75 + (75 * n * docs) // terms AS m FROM doc, whole),
+wanted AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {_TERMS} FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weight USING (term) JOIN posting USING (term) JOIN norm USING (doc_id)
+  GROUP BY item_id, doc_id)
+SELECT item_id, doc_id, score,
+  CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= {MOST}
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_merkle_audit": MERKLE,
+    "op6_hierarchical_mixing": MIXING,
+    "op11_one_bit_codes": NEGATIVES,
+    "op12_pstable_hashing": COSINES,
+    "op13_presence_masks": LEXICAL,
+}

@@ -18,6 +18,9 @@ WEIGHTS = {
 #: The root's budget, per cent of all tokens.
 PERCENT = 60
 
+#: Hard negatives: every ANCHORS-th row is an anchor, every RELABELLED-th has the next label.
+ANCHORS, RELABELLED, LABELS = 100, 7, 10
+
 
 def owner_and_repository() -> tuple[Column, Column]:
     """Of documents: the source owns one repository for each language."""

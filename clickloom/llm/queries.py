@@ -10,9 +10,12 @@ from clickloom.llm import (
     bpe,
     factorisation,
     langid,
+    lexical,
     lines,
     merkle,
     mixing,
+    onebit,
+    pstable,
     repeats,
     secrets,
     superminhash,
@@ -21,9 +24,12 @@ from clickloom.llm import (
 from clickloom.llm.oracle import ORACLE  # noqa: F401
 from clickloom.llm.production import (
     ALTERED,
+    ANCHORS,
     DAMAGE,
+    LABELS,
     LOST,
     PERCENT,
+    RELABELLED,
     TWICE,
     WEIGHTS,
     domain_of_source,
@@ -113,6 +119,21 @@ def hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % RELABELLED == 0, (F.col("label") + 1) % LABELS)
+    labelled = embeddings.withColumn("label", moved.otherwise(F.col("label")))
+    return onebit.hard_negatives(labelled, F.col("vec_id") % ANCHORS == 0)
+
+
+def pstable_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.linked(_table(spark, sf_dir, "embeddings"))
+
+
+def presence_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.searched(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_merkle_audit": merkle_audit,
     "op2_superminhash": superminhash_dedup,
@@ -124,4 +145,7 @@ QUERIES = {
     "op8_forced_boundary_bpe": forced_boundary_bpe,
     "op9_fixed_block_anchors": fixed_block_anchors,
     "op10_hierarchical_language": hierarchical_language,
+    "op11_one_bit_codes": one_bit_codes,
+    "op12_pstable_hashing": pstable_hashing,
+    "op13_presence_masks": presence_masks,
 }

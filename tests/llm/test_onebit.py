@@ -1,0 +1,117 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.llm import onebit
+from clickloom.llm.queries import QUERIES
+
+from .conftest import SF
+
+SCHEMA = "vec_id long, label int, embedding array<double>"
+
+
+def by_brute_force(rows, anchor):
+    """Results of plain sorting over all pairs, in Python's integers."""
+    usable = set()
+    for vec, label, vector in rows:
+        if vec is None or label is None or not vector:
+            continue
+        if any(x is None or not np.isfinite(x) for x in vector):
+            continue
+        usable.add((vec, label, tuple(int(np.floor(256 * x)) for x in vector)))
+    out = []
+    for a in sorted({v for v, _, _ in usable if anchor(v)}):
+        _, label, vector = min(r for r in usable if r[0] == a)
+        scored = [
+            (-sum(x * y for x, y in zip(vector, v)), vec, own)
+            for vec, own, v in usable
+            if vec != a and len(v) == len(vector)
+        ]
+        for score, positive in sorted({(s, vec) for s, vec, own in scored if own == label})[:5]:
+            found = sorted(
+                {(s, vec) for s, vec, own in scored if own != label and -30 * score <= -100 * s <= -90 * score}
+            )[:10]
+            out += [(a, positive, n + 1, vec, -score, -s) for n, (s, vec) in enumerate(found)]
+    return sorted(out)
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_query_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    moved = [(r.vec_id, (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label, r.embedding) for r in rows]
+    expected = by_brute_force(moved, lambda v: v % 100 == 0)
+    assert len(expected) > 50
+    assert found(QUERIES["op11_one_bit_codes"](spark, SF)) == expected
+
+
+def test_small_blocks(spark, monkeypatch):
+    """Best rows of an anchor come from many cells."""
+    monkeypatch.setattr(onebit, "BLOCK_BYTES", 1 << 12)
+    monkeypatch.setattr(onebit, "BLOCK_ANCHORS", 7)
+    draw = np.random.default_rng(3)
+    rows = [(i, int(i % 3), (draw.standard_normal(20) / 3).tolist()) for i in range(400)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert found(onebit.hard_negatives(frame, F.col("vec_id") % 10 == 0)) == by_brute_force(
+        rows, lambda v: v % 10 == 0
+    )
+
+
+def test_odd_rows(spark):
+    draw = np.random.default_rng(4)
+    near = [[1.0, 0.5, 0.25], [1.0, 0.5, 0.2], [0.9, 0.4, 0.2], [0.5, 0.2, 0.1]]
+    rows = [(i, i % 4, near[i % 4]) for i in range(40)]  # ties
+    rows += [(0, 0, near[0]), (3, 1, [0.7, 0.3, 0.1]), (10, 2, near[1])]  # repeated, also with other values
+    rows += [
+        (None, 1, near[0]),
+        (100, None, near[0]),
+        (110, 1, None),
+        (120, 1, []),
+        (130, 1, [1.0, None, 2.0]),
+        (140, 1, [1.0, float("nan"), 2.0]),
+        (150, 1, [1.0, float("inf"), 2.0]),
+        (160, 1, [0.0, 0.0, 0.0]),
+        (170, 2, [-1.0, -2.0, -3.0]),
+        (180, 1, draw.standard_normal(3000).tolist()),
+        (181, 1, draw.standard_normal(3000).tolist()),
+        (182, 2, draw.standard_normal(3000).tolist()),
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    clashing = "positives anchor_id lane length ids vector score rank place positive_id anchor_group".split()
+    frame = frame.withColumns({c: F.lit("clash") for c in clashing})
+    expected = by_brute_force(rows, lambda v: v % 10 == 0)
+    assert found(onebit.hard_negatives(frame, F.col("vec_id") % 10 == 0)) == expected
+
+
+def test_empty_table_and_no_anchors(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert onebit.hard_negatives(empty, F.lit(True)).count() == 0
+    rows = [(1, 1, [1.0, 2.0]), (2, 1, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert onebit.hard_negatives(frame, F.col("vec_id") == 5).count() == 0
+
+
+def test_components_beyond_the_largest_count_as_it(spark):
+    rows = [(1, 1, [1e300, 0.0]), (2, 1, [1e200, 0.0]), (3, 2, [40000.0, 0.0])]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    largest = onebit.LARGEST
+    assert found(onebit.hard_negatives(frame, F.col("vec_id") == 1)) == [
+        (1, 2, 1, 3, largest * largest, largest * 40000 * 256)
+    ]
+
+
+@pytest.mark.parametrize("length, most", [(3, 0.02), (64, 0.3), (100, 0.6)])
+def test_intervals_hold_and_narrow_the_choice(length, most):
+    draw = np.random.default_rng(length)
+    vectors = np.floor(256 * draw.standard_normal((3000, length)) / length**0.5).astype(np.int64)
+    vectors[5] = 0
+    codes = onebit.Codes.of(vectors)
+    for anchor in vectors[:20]:
+        low, high = onebit.Query(anchor).interval(codes)
+        scores = vectors @ anchor
+        assert (low <= scores).all() and (scores <= high).all()
+        # random vectors are the worst case: all scores lie close together
+        left = (high >= np.sort(low)[-5]).mean()
+        assert left < most or not anchor.any()
