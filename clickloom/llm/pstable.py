@@ -163,11 +163,11 @@ def _hashed(folded: DataFrame, kind: np.dtype) -> DataFrame:
 def _dealt(hashed: DataFrame) -> DataFrame:
     """The members of each bucket of two or more, one row for each pair of blocks they
     take part in; the vector joins last, so that it is shuffled once."""
-    entries = hashed.select("vec_key", F.posexplode("buckets").alias("table", "bucket"))
-    sizes = (
-        entries.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    )
-    members = entries.join(shuffled_apart(sizes).hint("merge"), ["table", "bucket"])
+    size = F.octet_length("vector").alias("bytes")  # of one length only
+    entries = hashed.select("vec_key", size, F.posexplode("buckets").alias("table", "bucket"))
+    bucket = ["table", "bucket", "bytes"]
+    sizes = entries.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    members = entries.join(shuffled_apart(sizes).hint("merge"), bucket)
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("vec_key"), blocks).cast("int")
     members = members.withColumn("own", own).withColumn(
@@ -175,43 +175,75 @@ def _dealt(hashed: DataFrame) -> DataFrame:
     )
     members = members.select(
         "vec_key",
-        "table",
-        "bucket",
+        *bucket,
         "own",
         F.least("own", "other").alias("block"),
         F.greatest("own", "other").alias("with_block"),
     )
-    return members.join(hashed.hint("merge"), "vec_key")
+    dealt = members.join(hashed.hint("merge"), "vec_key")
+    return dealt.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+
+
+_GROUP = ["table", "bucket", "bytes", "block", "with_block"]
 
 
 def _compared(dealt: DataFrame, kind: np.dtype) -> DataFrame:
-    def run(table: pa.Table) -> pa.Table:
-        return _answers(table, kind)
-
-    return dealt.groupBy("table", "bucket", "block", "with_block").applyInArrow(run, _ANSWER)
-
-
-def _answers(table: pa.Table, kind: np.dtype) -> pa.Table:
-    node = table.column("node").to_numpy()
-    copies = table.column("copies").to_numpy()
-    links, root = np.zeros(len(node), np.int64), np.arange(len(node))
-    for i, j in _pairs(table, kind):
-        np.add.at(links, i, copies[j])
-        np.add.at(links, j, copies[i])
-        _join(root, i, j)
-    # the smallest node of each tree
-    least = np.full(len(node), np.iinfo(np.int64).max)
-    np.minimum.at(least, root, node)
+    """The answers of all groups; rows come ordered by group, and the last group of a
+    batch may go on in the next."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            ends = _group_ends(table)
+            last = ends[-2] if len(ends) > 1 else 0
+            yield _answers(table.slice(0, last), ends[:-1], kind)
+            held = table.slice(last)
+        if held is not None:
+            yield _answers(held, _group_ends(held), kind)
+
+    return mapped(dealt, run, _ANSWER)
+
+
+def _group_ends(table: pa.Table) -> list[int]:
+    if not len(table):
+        return []
+    change = np.zeros(len(table) - 1, bool)
+    for name in _GROUP:
+        values = table.column(name).to_numpy()
+        change |= values[1:] != values[:-1]
+    return [*(np.flatnonzero(change) + 1).tolist(), len(table)]
+
+
+def _answers(table: pa.Table, ends: list[int], kind: np.dtype) -> pa.RecordBatch:
+    n = len(table)
+    links, root = np.zeros(n, np.int64), np.arange(n)
+    least = node = table.column("node").to_numpy()
+    if n:
+        copies = table.column("copies").to_numpy()
+        names = table.column("buckets").combine_chunks().flatten().to_numpy().reshape(-1, TABLES)
+        vectors = table.column("vector").to_pylist()
+        first, own, block, with_block = (
+            table.column(c).to_numpy() for c in ("table", "own", "block", "with_block")
+        )
+        for a, b in zip([0, *ends], ends):
+            matrix = np.frombuffer(b"".join(vectors[a:b]), kind).reshape(b - a, -1).astype(np.float64)
+            across = own[a:b] if block[a] != with_block[a] else None
+            inside = np.arange(b - a)
+            for i, j in _pairs(matrix, names[a:b], first[a], across):
+                np.add.at(links, a + i, copies[a + j])
+                np.add.at(links, a + j, copies[a + i])
+                _join(inside, i, j)
+            root[a:b] = a + inside
+        # the smallest node of each tree
+        least = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(least, root, node)
+        least = least[root]
     touched = links > 0
-    return pa.Table.from_arrays(
-        [
-            table.column("vec_key").combine_chunks().filter(pa.array(touched)),
-            pa.array(node[touched]),
-            pa.array(links[touched]),
-            pa.array(least[root][touched]),
-        ],
-        names=["vec_key", "node", "links", "root"],
-    )
+    keys = table.column("vec_key").combine_chunks().filter(pa.array(touched))
+    arrays = [keys, *(pa.array(x[touched], pa.int64()) for x in (node, links, least))]
+    return pa.RecordBatch.from_arrays(arrays, names=["vec_key", "node", "links", "root"])
 
 
 def _join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
@@ -228,26 +260,24 @@ def _join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
         root[:] = target[root]
 
 
-def _pairs(table: pa.Table, kind: np.dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked pairs of a group that share no earlier table, as places in it."""
-    vectors = table.column("vector").to_pylist()
-    first = table.column("table")[0].as_py()
-    names = table.column("buckets").combine_chunks().flatten().to_numpy().reshape(-1, TABLES)
-    own = table.column("own").to_numpy()
-    across = table.column("block")[0].as_py() != table.column("with_block")[0].as_py()
-    lengths = np.array([len(v) for v in vectors])
-    for length in np.unique(lengths):
-        places = np.flatnonzero(lengths == length)
-        matrix = scaled(np.stack([np.frombuffer(vectors[i], kind) for i in places]).astype(np.float64))
-        norms = np.linalg.norm(matrix, axis=1)
-        for start in range(0, len(places), 256):
-            left = slice(start, start + 256)
-            cosines = matrix[left] @ matrix.T / np.outer(norms[left], norms)
-            i, j = np.nonzero(cosines >= THRESHOLD)
-            i, j = places[i + start], places[j]
-            ready = (own[i] < own[j]) if across else (i < j)
-            i, j = i[ready], j[ready]
-            for earlier in range(first):
-                apart = names[i, earlier] != names[j, earlier]
-                i, j = i[apart], j[apart]
+def _pairs(
+    matrix: np.ndarray, names: np.ndarray, first: int, across: np.ndarray | None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of a group that share no table before `first`, as places in it;
+    where two blocks meet, `across` tells them apart."""
+    matrix = scaled(matrix)
+    norms = np.linalg.norm(matrix, axis=1)
+    for start in range(0, len(matrix), 256):
+        left = slice(start, start + 256)
+        cosines = matrix[left] @ matrix.T / np.outer(norms[left], norms)
+        i, j = np.nonzero(cosines >= THRESHOLD)
+        i += start
+        ready = (i < j) if across is None else (across[i] < across[j])
+        i, j = i[ready], j[ready]
+        for earlier in range(first):
+            if not len(i):
+                break
+            apart = names[i, earlier] != names[j, earlier]
+            i, j = i[apart], j[apart]
+        if len(i):
             yield i, j

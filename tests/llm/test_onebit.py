@@ -102,7 +102,7 @@ def test_components_beyond_the_largest_count_as_it(spark):
     ]
 
 
-@pytest.mark.parametrize("length, most", [(3, 0.02), (64, 0.3), (100, 0.6)])
+@pytest.mark.parametrize("length, most", [(3, 0.2), (64, 0.3), (100, 0.6)])
 def test_intervals_hold_and_narrow_the_choice(length, most):
     draw = np.random.default_rng(length)
     vectors = np.floor(256 * draw.standard_normal((3000, length)) / length**0.5).astype(np.int64)
