@@ -1,7 +1,7 @@
 import re
-from math import ceil, comb
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from clickloom.llm import superminhash
 from clickloom.llm.components import components
@@ -111,8 +111,99 @@ def test_components(spark):
     assert {r.node: r.component for r in rows} == expected
 
 
-def test_the_floor_loses_no_more_than_the_banding():
-    slots, same = superminhash.SLOTS, superminhash.PERCENT / 100
-    missed = (1 - same**superminhash.ROWS) ** superminhash.BANDS
-    below = range(ceil(superminhash.FLOOR * slots))
-    assert sum(comb(slots, k) * same**k * (1 - same) ** (slots - k) for k in below) <= missed
+def near_copies(n, seed, words=240, changed=24):
+    """Copies of one text, each with a few words changed: some pairs are linked, others not."""
+    draw = np.random.default_rng(seed)
+    base = [f"b{i}" for i in range(words)]
+    texts = {}
+    for i in range(n):
+        own = list(base)
+        for at in draw.choice(words // 5, draw.integers(0, changed // 5 + 1), replace=False):
+            own[at * 5] = f"c{draw.integers(0, 40)}"
+        texts[int(i)] = " ".join(own)
+    return texts
+
+
+def test_a_group_of_two_thousand_near_copies(spark, monkeypatch):
+    """Rows of the comparison stay below the members of its buckets."""
+    texts = near_copies(2000, 5)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8)
+    forests = []
+    forest = superminhash._forest
+    monkeypatch.setattr(
+        superminhash, "_forest", lambda members, sets: forests.append((members, forest(members, sets))) or forests[-1][1]
+    )
+    rows = superminhash.near_duplicates(frame).collect()
+    sets = {i: shingles(t) for i, t in texts.items()}
+    group = {i: i for i in sets}
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if root(a) != root(b):
+                common = len(sets[a] & sets[b])
+                if 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+                    low, high = sorted((root(a), root(b)))
+                    group[high] = low
+    assert {r.doc_id: r.component_id for r in rows} == {i: root(i) for i in sets}
+    (members, links), = forests
+    assert links.count() <= members.count() <= 2000 * superminhash.BANDS
+
+
+def test_links_of_a_group_make_the_components_of_all_links():
+    import pyarrow as pa
+
+    texts = near_copies(120, 6)
+    sets = [superminhash.shingle_set(t) for t in texts.values()]
+    for across in (False, True):
+        own = [i % 2 if across else 0 for i in range(len(sets))]
+        table = pa.table(
+            {
+                "class_id": list(texts),
+                "component": list(texts),
+                "own": own,
+                "block": [0] * len(sets),
+                "with_block": [int(across)] * len(sets),
+                "elements": [s.tobytes() for s in sets],
+            }
+        )
+        group = {i: i for i in texts}
+
+        def root(x):
+            while group[x] != x:
+                x = group[x]
+            return x
+
+        def join(a, b):
+            low, high = sorted((root(a), root(b)))
+            group[high] = low
+
+        links = superminhash._links_of_group(table)
+        assert len(links) < len(sets)
+        for a, b in links:
+            join(a, b)
+        found = {i: root(i) for i in texts}
+        group = {i: i for i in texts}
+        for a in texts:
+            for b in range(a):
+                common = len(np.intersect1d(sets[a], sets[b]))
+                linked = 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common)
+                if linked and (not across or own[a] != own[b]):
+                    join(a, b)
+        assert found == {i: root(i) for i in texts}
+
+
+def test_rows_of_one_doc_id_with_different_texts_are_judged_each(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (2, b), (3, c), (2, c), (4, a), (5, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rows", F.lit("clash"))
+    kept = superminhash.deduplicated(docs)
+    assert kept.columns == ["doc_id", "text", "rows"]
+    found = sorted(((r.doc_id, r.text or "") for r in kept.collect()))
+    # 2's rows are copies of 1's and of the smallest document with c, which is 2 itself
+    assert found == [(1, a), (1, b), (2, c), (5, "")]
