@@ -35,10 +35,10 @@ FAMILIES = {
     "indo-aryan": ("bn", "gu", "hi", "mr", "ne", "pa", "ur"),
     "turkic": ("az", "kk", "ky", "tr", "uz"),
 }
-#: Bound of the training sample: texts of each language. All languages are learned.
-SAMPLE = 400
-#: Languages without a listed family that may be a family of their own; more are grouped.
-ALONE = 32
+#: Bound of the training sample: texts of each language, and languages, the most
+#: frequent ones. The latter lies above the languages that corpora name and stops a
+#: column of other values.
+SAMPLE, LANGUAGES = 400, 512
 BUCKETS = 1 << 13
 #: Values that a task remembers, one for each machine and word.
 REMEMBERED_VALUES = 1 << 24
@@ -48,14 +48,27 @@ SCALE = 40.0
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def families_of(names: list[str]) -> dict[str, str]:
-    """The family of each name. More than ALONE names without a listed one go by
-    neighbours in the alphabet, so that machines grow with the 4/3rd power of them."""
+def families_of(names: list[str], means: dict[str, np.ndarray]) -> dict[str, str]:
+    """The family of each name. Those without a listed one form families by the cosines of
+    their `means`: the two closest groups are joined until n names make n^(2/3)
+    families, none above 1.5 times their mean size, so that machines grow with the 4/3rd
+    power of names."""
     listed = {v: f for f, members in FAMILIES.items() for v in members}
-    rest = sorted(set(names) - set(listed))
-    each = 1 if len(rest) <= ALONE else round((2 * len(rest)) ** (1 / 3))
-    groups = {v: f"only {rest[i - i % each]}" for i, v in enumerate(rest)}
-    return {v: listed.get(v) or groups[v] for v in names}
+    groups = [[v] for v in sorted(set(names) - set(listed))]
+    sums = np.array([means[v] / max(1e-30, np.linalg.norm(means[v])) for (v,) in groups], np.float32)
+    most = np.ceil(1.5 * len(groups) ** (1 / 3))
+    for _ in range(len(groups) - int(np.ceil(len(groups) ** (2 / 3) - 1e-9))):
+        unit = sums / np.maximum(1e-30, np.linalg.norm(sums, axis=1, keepdims=True))
+        sizes = np.array([len(g) for g in groups])
+        allowed = np.triu(sizes[:, None] + sizes <= most, 1)
+        if not allowed.any():
+            break
+        a, b = divmod(int(np.where(allowed, unit @ unit.T, -2).argmax()), len(groups))
+        sums[a] += sums[b]
+        groups[a] += groups.pop(b)
+        sums = np.delete(sums, b, axis=0)
+    own = {v: f"with {min(group)}" for group in groups for v in group}
+    return {v: listed.get(v) or own[v] for v in names}
 
 
 def ngrams(word: str) -> list[int]:
@@ -66,7 +79,12 @@ def ngrams(word: str) -> list[int]:
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    """Runs of letters. The pattern also takes numerals such as one half; few texts have any."""
+    words = _LETTERS.findall(text.lower())
+    if not words or "".join(words).isalpha():
+        return words
+    letters = ("".join(c if c.isalpha() else " " for c in w) for w in words)
+    return [run for w in letters for run in w.split()]
 
 
 def features(text: str) -> np.ndarray:
@@ -141,7 +159,10 @@ def fit(languages: np.ndarray, x: np.ndarray | list[tuple[np.ndarray, np.ndarray
     """From the languages of texts and their features, dense or as sparse() has them."""
     x = sparse(x) if isinstance(x, np.ndarray) else x
     names = sorted(set(languages.tolist()))
-    family = families_of(names)
+    means = {v: np.zeros(BUCKETS, np.float32) for v in names}
+    for language, (places, values) in zip(languages.tolist(), x):
+        means[language][places] += values
+    family = families_of(names, means)
     families = tuple(sorted(set(family.values())))
     members = tuple(tuple(v for v in names if family[v] == f) for f in families)
     place = {f: i for i, f in enumerate(families)}
@@ -167,7 +188,7 @@ def fit(languages: np.ndarray, x: np.ndarray | list[tuple[np.ndarray, np.ndarray
 def train(labelled: DataFrame) -> Model | None:
     """A model from a bounded sample of the rows (doc_id, text, lang); None without any."""
     rows = labelled.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
-    counts = class_counts(rows, "lang")
+    counts = class_counts(rows, "lang", LANGUAGES)
     if not counts:
         return None
     sample = sample_of_each(rows, "lang", counts, SAMPLE, ["doc_id", "text"])

@@ -89,6 +89,36 @@ def test_no_language_is_left_out(spark):
     assert np.mean([found[r.doc_id] == r.lang for r in documents.collect()]) > 0.98
 
 
+def test_unlisted_languages_form_families_with_their_like():
+    draw = np.random.default_rng(1)
+    bases = draw.random((3, langid.BUCKETS)) * (draw.random((3, langid.BUCKETS)) < 0.02)
+    names = [f"{g}{i}" for i in range(3) for g in "xyz"]
+    means = {v: (bases["xyz".index(v[0])] + draw.random(langid.BUCKETS) * 0.01).astype(np.float32) for v in names}
+    found = langid.families_of([*names, "en"], means | {"en": bases[0]})
+    assert found["en"] == "germanic"
+    # nine names make five families; none of them mixes what is apart
+    families = {f: {v[0] for v in names if found[v] == f} for f in set(found.values()) - {"germanic"}}
+    assert len(families) == 5 and all(len(v) == 1 for v in families.values())
+    assert langid.families_of(["aa"], {"aa": bases[0]}) == {"aa": "with aa"}
+
+
+def test_a_text_without_letters_is_unknown(spark):
+    texts = ["²", "½ ①", "Ⅷ ٣ 7", "a½b", "ª", "中", "x²y", "_", "🙂", ""]
+    assert [langid.words_of(t) for t in texts] == [[], [], [], ["a", "b"], ["ª"], ["中"], ["x", "y"], [], [], []]
+    model = langid.fit(np.array(["en", "fr"]), np.array([langid.features(t) for t in ("the cat", "le chat")]))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(frame, model).collect()}
+    assert {i for i, (name, _) in found.items() if name == "und"} == {0, 1, 2, 7, 8, 9}
+    assert all(found[i][1] == 0 for i in (0, 1, 2, 7, 8, 9))
+
+
+def test_a_column_of_other_values_stays_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    rows = [(i, f"word{i % 5} text", v) for i, v in enumerate(["en", "de", "fr"] * 5 + [f"junk{i}" for i in range(20)])]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(v for own in model.languages for v in own) == ["de", "en", "fr"]
+
+
 def test_words_are_forgotten_by_the_size_of_the_model():
     model = langid.Model(("a",), (("a",),), ((0, 0, 0),) * 2000, np.zeros((langid.BUCKETS, 2000)), np.zeros(2000))
     assert langid._Scorer(model).most * 2001 <= langid.REMEMBERED_VALUES
