@@ -2,9 +2,10 @@
 
 Candidates are found with regular expressions in every text. Each candidate's value
 is hashed, and the hashes are counted over distinct repositories and owners of the
-whole corpus. A value that more than OWNERS owners have is a widely copied example;
-one that few have is live-looking. The base kinds are reported either way; values of
-the wider kind `owned` only while they look live.
+whole corpus. A value that more than OWNERS owners have, or that lies in more than
+REPOSITORIES repositories, whoever owns them, is a widely copied example; any other is
+live-looking. The base kinds are reported either way; values of the wider kind
+`owned` only while they look live. Values themselves are stored nowhere.
 
 All of it is DataFrame functions. Positions come from the lengths of the pieces
 between matches and of the matches.
@@ -38,8 +39,8 @@ NEEDED = {
     "owned": OWNED,
 }
 KINDS = ("assign", "access", "hex", "owned")
-#: A value of more owners than this is a widely copied example.
-OWNERS = 2
+#: A value of more owners, or in more repositories, than this is a widely copied example.
+OWNERS, REPOSITORIES = 2, 10
 MASK = "[secret]"
 
 
@@ -111,44 +112,56 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def judged(documents: DataFrame, owner: Column, repository: Column) -> DataFrame:
-    """row_key, doc_id, text_key and spans: one row for each row of `documents`,
-    with an array of (start, kind_no, end, n_owners, live).
+    """row_key, doc_id and spans: one row for each row of `documents`, with an array of
+    (start, kind_no, end, n_owners, n_repositories, live).
 
     `owner` and `repository` are expressions over the documents; a repository belongs
     to an owner, and null is an owner or repository of its own. A null or empty text
     has no spans. Rows that repeat a doc_id are judged each; a value in them counts
-    for its owner once.
+    for its owner and repository once.
     """
-    # written once, so that the keys are settled
+    rows = _found(documents, owner, repository, F.col("doc_id"))
+    return rows.join(_verdicts(rows), "row_key", "left").select(
+        "row_key", "doc_id", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans")
+    )
+
+
+_SPANS = "array<struct<start:int,kind_no:int,end:int,n_owners:bigint,n_repositories:bigint,live:boolean>>"
+
+
+def _found(documents: DataFrame, owner: Column, repository: Column, *columns: Column) -> DataFrame:
+    """`columns` of the documents, owner, repository, row_key and `found`, the spans with
+    hashes of their values. Written once: texts are searched once, and keys are settled."""
+    found = F.transform(
+        candidates(F.coalesce("text", F.lit(""))),
+        lambda s: F.struct(s["start"], s["kind_no"], s["end"], F.sha2(s["value"], 256).alias("value_key")),
+    )
     rows = documents.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_key"),
-        owner.cast("string").alias("owner"),
-        repository.cast("string").alias("repository"),
-        candidates(F.coalesce("text", F.lit(""))).alias("found"),
+        *columns,
+        owner.cast("string").alias("found_owner"),
+        repository.cast("string").alias("found_repository"),
+        found.alias("found"),
+        F.monotonically_increasing_id().alias("row_key"),
     )
-    rows = stored(rows.withColumn("row_key", F.monotonically_increasing_id()), "candidates")
-    each = rows.select("row_key", "owner", "repository", F.inline("found")).withColumn(
-        "value_key", F.sha2("value", 256)
+    return stored(rows, "candidates")
+
+
+def _verdicts(rows: DataFrame) -> DataFrame:
+    """(row_key, spans) of the rows with any span."""
+    each = rows.select(
+        "row_key",
+        F.col("found_owner").alias("owner"),
+        F.col("found_repository").alias("repository"),
+        F.inline("found"),
     )
     counted = ownership(each.select("value_key", "owner", "repository"))
-    verdicts = (
-        each.drop("owner", "repository", "value")
+    live = (F.col("n_owners") <= OWNERS) & (F.col("n_repositories") <= REPOSITORIES)
+    span = F.struct("start", "kind_no", "end", "n_owners", "n_repositories", live.alias("live"))
+    return (
+        each.drop("owner", "repository")
         .join(shuffled_apart(counted), "value_key")
         .groupBy("row_key")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        "start", "kind_no", "end", "n_owners", (F.col("n_owners") <= OWNERS).alias("live")
-                    )
-                )
-            ).alias("spans")
-        )
-    )
-    none = F.array().cast("array<struct<start:int,kind_no:int,end:int,n_owners:bigint,live:boolean>>")
-    return rows.join(verdicts, "row_key", "left").select(
-        "row_key", "doc_id", "text_key", F.coalesce("spans", none).alias("spans")
+        .agg(F.array_sort(F.collect_list(span)).alias("spans"))
     )
 
 
@@ -180,35 +193,26 @@ def reported(judgement: DataFrame) -> DataFrame:
         _joined(shown).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_widespread"),
+        F.array_max(F.transform("spans", lambda s: s["n_owners"])).alias("most_owners"),
+        F.array_max(F.transform("spans", lambda s: s["n_repositories"])).alias("most_repositories"),
     )
 
 
 def masked(documents: DataFrame, owner: Column, repository: Column) -> DataFrame:
     """`documents` with every live-looking span replaced by MASK, and n_chars, if
-    there is one, set to the new length. Widely copied examples stay. Only texts with
-    a live span pass through a join."""
-    live = judged(documents, owner, repository).select(
-        F.col("doc_id").alias("secrets_doc"),
-        F.col("text_key").alias("secrets_text"),
-        F.filter("spans", lambda s: s["live"]).alias("secrets_live"),
-    )
-    live = live.filter("size(secrets_live) > 0").dropDuplicates(["secrets_doc", "secrets_text"])
-    live = stored(live, "live")
-    columns = documents.columns
-    suspect = F.size(candidates(F.coalesce("text", F.lit("")))) > 0
-    rows = documents.withColumn("secrets_suspect", suspect)
-    clean = rows.filter("not secrets_suspect").select(columns)
-    suspects = rows.filter("secrets_suspect").withColumn("secrets_key", F.xxhash64("text"))
-    own = F.col("doc_id").eqNullSafe(F.col("secrets_doc"))
-    met = suspects.join(live, own & (F.col("secrets_key") == F.col("secrets_text")), "left")
-    untouched = F.col("secrets_live").isNull()
-    changed = _masked(F.col("text"), F.col("secrets_live"))
-    met = met.withColumn("text", F.when(untouched, F.col("text")).otherwise(changed))
+    there is one, set to the new length. Widely copied examples stay. Every row is
+    returned, as it is if it has no live span; only texts with a span pass through a join."""
+    rows = _found(documents, owner, repository, F.struct("*").alias("row"))
+    live = _verdicts(rows).select("row_key", F.filter("spans", lambda s: s["live"]).alias("live"))
+    met = rows.filter("size(found) > 0").join(live, "row_key")
+    text, some = F.col("row.text"), F.size("live") > 0
+    changed = F.when(some, _masked(text, F.col("live"))).otherwise(text)
+    columns = {c: F.col("row").getField(c) for c in documents.columns} | {"text": changed}
     if "n_chars" in columns:
-        kind = documents.schema["n_chars"].dataType
-        length = F.length("text").cast(kind)
-        met = met.withColumn("n_chars", F.when(untouched, F.col("n_chars")).otherwise(length))
-    return clean.unionByName(met.select(columns))
+        length = F.length(changed).cast(documents.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(some, length).otherwise(columns["n_chars"])
+    clean = rows.filter("size(found) = 0").select("row.*")
+    return clean.unionByName(met.select(*[value.alias(c) for c, value in columns.items()]))
 
 
 def _masked(text: Column, spans: Column) -> Column:

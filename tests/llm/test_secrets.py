@@ -78,6 +78,44 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert masked[0] == f"password={example} here"
 
 
+def test_one_owner_in_many_repositories_is_no_live_value(spark):
+    one, many = "onevalue98765432", "manyvalue9876543"
+    rows = [(n, f"secret={many} here", f"repo{n}", "owner1") for n in range(50)]
+    rows += [(100 + n, f"secret={one} here", f"repo{n}", "owner1") for n in range(3)]
+    rows += rows[:20] + rows[50:]  # repeated rows count once
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    judged = secrets.judged(frame, *owner_and_repository())
+    found = {r.doc_id: r for r in secrets.reported(judged).collect()}
+    assert (found[0].n_live, found[0].n_widespread) == (0, 1)
+    assert (found[0].most_owners, found[0].most_repositories) == (1, 50)
+    assert (found[100].n_live, found[100].most_repositories) == (1, 3)
+
+
+def test_folds_equal_brute_force(spark):
+    import random
+
+    draw = random.Random(2)
+    rows = [
+        (f"v{draw.randint(0, 9)}", draw.choice(["a", "b", "c", None]), draw.choice(["r", "s", None]))
+        for _ in range(300)
+    ]
+    frame = spark.createDataFrame(rows, "value_key string, owner string, repository string")
+    found = {r.value_key: (r.n_owners, r.n_repositories) for r in secrets.ownership(frame).collect()}
+    assert found == {
+        v: (len({o for k, o, _ in rows if k == v}), len({(o, r) for k, o, r in rows if k == v}))
+        for v in {k for k, _, _ in rows}
+    }
+
+
+def test_values_are_not_stored(spark, tmp_path):
+    value = "plainvalue98765432"
+    frame = spark.createDataFrame(
+        [(1, f"secret={value} here", "en", "s")], "doc_id long, text string, lang string, source string"
+    )
+    stored_rows = secrets._found(frame, *owner_and_repository(), F.col("doc_id"))
+    assert value not in repr(stored_rows.collect())
+
+
 def test_masks_merge_where_spans_overlap(spark):
     text = "a token=" + "0123456789abcdef" * 3 + " z"
     frame = spark.createDataFrame(
