@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.words import word_count
-from clickloom.operators.skew import shuffled_apart
 from clickloom.session import stored
 
 LEVELS = ("domain", "lang", "source")
@@ -32,12 +31,18 @@ NONE = "?"
 
 
 def leaf_rows(documents: DataFrame, domain: Column, epochs_seed: int = SEED) -> DataFrame:
-    """doc_id, the path and the tokens of every document, without the text."""
+    """doc_id, the path and the tokens of every document, without the text; text_key
+    tells rows without doc_id apart."""
     path = [
         F.coalesce(value.cast("string"), F.lit(NONE)).alias(name)
         for name, value in zip(LEVELS, (domain, F.col("lang"), F.col("source")))
     ]
-    return documents.select("doc_id", *path, word_count(F.col("text")).alias("n_tokens"))
+    key = _text_key(F.col("doc_id"), F.col("text")).alias("text_key")
+    return documents.select("doc_id", *path, word_count(F.col("text")).alias("n_tokens"), key)
+
+
+def _text_key(doc_id: Column, text: Column) -> Column:
+    return F.when(doc_id.isNull(), F.md5(text.cast("binary")))
 
 
 def weight_of(level: str, weights: Mapping[str, int]) -> Column:
@@ -109,6 +114,7 @@ def mixed(
     weights: Mapping[str, Mapping[str, int]],
     epochs: int = MOST_EPOCHS,
     seed: int = SEED,
+    keyed: bool = False,
 ) -> DataFrame:
     """doc_id, the path, n_tokens, full_epochs, partial_tokens and selected_tokens of
     every row of `documents`.
@@ -116,17 +122,23 @@ def mixed(
     A document whose tokens lie across the end of the prefix gives the part before
     it. Missing languages and sources are a node named `?`. A null or empty text has no
     tokens. Rows that repeat a doc_id are documents of their own, and rows alike in
-    all columns stand in any order. An empty table gives no rows.
+    all columns stand in any order. An empty table gives no rows. With `keyed`, the
+    column text_key follows, a hash of the text of rows without doc_id.
     """
     rows = stored(leaf_rows(documents, domain), "tokens")
-    budgets = leaf_budgets(rows, percent, weights, epochs).select(
-        *LEVELS,
-        F.expr("if(tokens > 0, budget div tokens, 0)").alias("full_epochs"),
-        F.expr("if(tokens > 0, budget % tokens, 0)").alias("rest"),
+    # written, so that Catalyst knows the size: few leaves are broadcast, and documents are
+    # then not shuffled by a leaf that may hold a third of them; for many, AQE splits it
+    budgets = stored(
+        leaf_budgets(rows, percent, weights, epochs).select(
+            *LEVELS,
+            F.expr("if(tokens > 0, budget div tokens, 0)").alias("full_epochs"),
+            F.expr("if(tokens > 0, budget % tokens, 0)").alias("rest"),
+        ),
+        "budgets",
     )
     turn = F.concat_ws(":", F.lit(str(seed)), "full_epochs", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     drawn = stored(
-        rows.join(shuffled_apart(budgets), list(LEVELS)).withColumn("place", F.md5(turn.cast("binary"))),
+        rows.join(budgets, list(LEVELS)).withColumn("place", F.md5(turn.cast("binary"))),
         "drawn",
     )
     path = list(LEVELS)
@@ -135,7 +147,7 @@ def mixed(
         # state: rows of the part in which the prefix ends, `rest` of it still to take
         inner = state.withColumn("part", F.substring("place", 1, 2 * depth))
         ends = _end(inner.groupBy(*path, "part").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest")))
-        joined = inner.drop("rest").join(shuffled_apart(ends), path, "left")
+        joined = inner.drop("rest").join(stored(ends, "ends"), path, "left")
         settled = joined.filter("end is null or part <> end").withColumn(
             "partial_tokens", F.when(F.col("part") < F.col("end"), F.col("n_tokens")).otherwise(F.lit(0))
         )
@@ -151,10 +163,10 @@ def mixed(
         F.greatest(F.lit(0), F.least(F.col("n_tokens"), F.col("rest") - earlier)),
     )
     columns = ["doc_id", *path, "n_tokens", "full_epochs", "partial_tokens"]
-    both = out.select(columns).unionByName(last.select(columns))
-    return both.withColumn(
-        "selected_tokens", F.col("full_epochs") * F.col("n_tokens") + F.col("partial_tokens")
-    )
+    both = out.select(*columns, "text_key").unionByName(last.select(*columns, "text_key"))
+    taken = F.col("full_epochs") * F.col("n_tokens") + F.col("partial_tokens")
+    more = ["text_key"] if keyed else []
+    return both.select(*columns, taken.alias("selected_tokens"), *more)
 
 
 def _end(parts: DataFrame) -> DataFrame:
@@ -170,7 +182,11 @@ def _end(parts: DataFrame) -> DataFrame:
 
 
 def selected(documents: DataFrame, mixture: DataFrame) -> DataFrame:
-    """The documents of which mixed() takes any token, each once, all columns. Rows
-    that repeat a doc_id stay or go together; rows without doc_id go."""
-    kept = mixture.filter("selected_tokens > 0").select("doc_id").distinct()
-    return documents.join(kept.hint("merge"), "doc_id", "left_semi").select(documents.columns)
+    """The documents of which mixed(), with `keyed`, takes any token, each once, all
+    columns. Rows that repeat a doc_id stay or go together, and so do rows without
+    doc_id of one text."""
+    drawn = mixture.filter("selected_tokens > 0").select("doc_id", "text_key").distinct()
+    kept = drawn.toDF("drawn_doc", "drawn_text").hint("merge")
+    doc_id, text = documents["doc_id"], documents["text"]
+    same = doc_id.eqNullSafe(kept["drawn_doc"]) & _text_key(doc_id, text).eqNullSafe(kept["drawn_text"])
+    return documents.join(kept, same, "left_semi").select(documents.columns)

@@ -1,7 +1,13 @@
 """The documents through a training-data pipeline, stage by stage.
 
 Each stage is written as Parquet below the shared scratch folder and read again by
-the next one. All stages but the last return the columns of `documents`.
+the next one. All stages but the last return the columns of `documents`, other ones
+than the five known ones included, whatever their names.
+
+Rows that repeat a doc_id are documents of their own: near_dedup keeps one of those with
+the same words, mixture draws them together. Rows without doc_id are never
+duplicates of a group's representative; mixture draws those of one text together. A null
+or empty text goes in the first stage, and no later stage needs a doc_id, lang or source.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are drawn towards the target weights, each once at most."""
-    drawn = mixing.mixed(docs, domain_of_source(), MIX_PERCENT, WEIGHTS, epochs=MIX_EPOCHS)
+    drawn = mixing.mixed(docs, domain_of_source(), MIX_PERCENT, WEIGHTS, epochs=MIX_EPOCHS, keyed=True)
     return mixing.selected(docs, drawn)
 
 

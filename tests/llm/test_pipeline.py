@@ -56,6 +56,21 @@ def test_each_stage_does_its_work(spark):
     assert not texts
 
 
+def test_odd_rows_pass_every_stage(spark, odd):
+    """Repeated and missing doc_ids, nulls, empty and very long texts, clashing names."""
+    docs, rows = odd, {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, SF), name)
+        if name != "tokens":
+            assert docs.columns == odd.columns
+        rows[name] = sorted((r.doc_id for r in docs.collect()), key=repr)
+    # of the two rows without doc_id the one with a text stays, next to its copies
+    assert rows["language"] == sorted([4, 5, 6, 7, 8, 9, 9, 10, None], key=repr)
+    assert rows["near_dedup"] == sorted([4, 5, 7, 8, 10, None], key=repr)
+    assert rows["secret_masking"] == rows["near_dedup"]
+    assert set(rows["mixture"]) < set(rows["near_dedup"]) and rows["tokens"] == rows["mixture"]
+
+
 def test_run_is_its_stages(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
