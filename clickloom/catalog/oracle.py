@@ -7,6 +7,8 @@ checks the Spark side's method and not only its wiring.
 
 from __future__ import annotations
 
+from clickloom.catalog.given import PLANTED_PRICE, PLANTED_WEEKDAY, STUMPS
+
 # Building blocks, in the order a statement may need them.
 _BLOCKS = {
     "ev": """
@@ -191,6 +193,19 @@ _TRIALS = " UNION ALL ".join(
     )
 )
 
+# Running margins of the fixed ensemble, one for each round.
+_MARGINS = ", ".join(
+    " + ".join(
+        f"{w}::DOUBLE * CASE WHEN {f} <= {at} THEN {low}::DOUBLE ELSE {high}::DOUBLE END"
+        for f, at, low, high, w in STUMPS[: n + 1]
+    )
+    for n in range(len(STUMPS))
+)
+
+# A label that features tell: the weekend or a high price, not both.
+_PLANTED = f"""CASE WHEN (event_weekday >= {PLANTED_WEEKDAY}) <> (price > {PLANTED_PRICE})
+    THEN 1 ELSE 0 END"""
+
 _RATE = """
         SELECT m - to_minutes(CAST(back AS BIGINT)) AS window_start, event_type,
                count(*) / 300.0::DOUBLE AS rate
@@ -339,14 +354,43 @@ ORACLE: dict[str, str] = {
         FROM cats LEFT JOIN b ON brand = b.v LEFT JOIN w ON event_weekday = w.v
         LEFT JOIN c1 ON category_code_level1 = c1.v LEFT JOIN c2 ON category_code_level2 = c2.v""",
     "train_purchase_model": _with("feat")
-    + """
-        SELECT CASE WHEN CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT)
-                         < CAST(floor(0.2 * 4294967296) AS BIGINT) THEN 'test'
-                    WHEN CAST('0x' || substr(md5('43|' || event_id), 1, 8) AS BIGINT)
-                         < CAST(floor(0.2 * 4294967296) AS BIGINT) THEN 'stop'
-                    ELSE 'train' END AS part,
-               count(*) AS "rows", CAST(sum(is_purchased) AS BIGINT) AS purchases, true AS fits
-        FROM feat GROUP BY 1""",
+    + f"""
+        , parts AS (
+            SELECT CASE WHEN CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT)
+                             < CAST(floor(0.2 * 4294967296) AS BIGINT) THEN 'test'
+                        WHEN CAST('0x' || substr(md5('43|' || event_id), 1, 8) AS BIGINT)
+                             < CAST(floor(0.2 * 4294967296) AS BIGINT) THEN 'stop'
+                        ELSE 'train' END AS part, {_PLANTED} AS y
+            FROM feat)
+        SELECT part, count(*) AS "rows", CAST(sum(y) AS BIGINT) AS purchases,
+               round(avg(y) * (1 - avg(y)), 8) AS base_error, avg(y) * (1 - avg(y)) > 0 AS fits
+        FROM parts GROUP BY part""",
+    "metric_history": _with("feat")
+    + f"""
+        , parts AS (
+            SELECT CASE WHEN CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT)
+                             < CAST(floor(0.2 * 4294967296) AS BIGINT)
+                        THEN 'test' ELSE 'train' END AS part, is_purchased AS y,
+                   unnest(range({len(STUMPS)})) AS step, unnest([{_MARGINS}]) AS z
+            FROM feat),
+        scored AS (SELECT part, CAST(step AS INT) AS step, y, 1 / (1 + exp(-2 * z)) AS p FROM parts),
+        ranks AS (
+            SELECT *, rank() OVER (PARTITION BY part, step ORDER BY p)
+                      + (count(*) OVER (PARTITION BY part, step, p) - 1) / 2.0 AS r FROM scored),
+        sums AS (
+            SELECT part, step, avg(-y * ln(p) - (1 - y) * ln(1 - p)) AS logloss,
+                   avg(CASE WHEN (p > 0.5) <> (y = 1) THEN 1 ELSE 0 END) AS error,
+                   sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
+                   (sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2)
+                       / (sum(y) * (count(*) - sum(y))) AS auc
+            FROM ranks GROUP BY part, step)
+        SELECT part, step, 'logloss' AS metric, round(logloss::DOUBLE, 8) AS value FROM sums
+        UNION ALL SELECT part, step, 'boosting_loss', round(2 * logloss::DOUBLE, 8) FROM sums
+        UNION ALL SELECT part, step, 'error', round(error::DOUBLE, 8) FROM sums
+        UNION ALL SELECT part, step, 'rmse', round(rmse::DOUBLE, 8) FROM sums
+        UNION ALL SELECT part, step, 'mae', round(mae::DOUBLE, 8) FROM sums
+        UNION ALL SELECT part, step, 'auc', round(auc::DOUBLE, 8) FROM sums
+        UNION ALL SELECT part, step, 'accuracy', round(1 - error::DOUBLE, 8) FROM sums""",
     "train_test_split": """
         SELECT CASE WHEN CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT)
                          < CAST(floor(0.2 * 4294967296) AS BIGINT)

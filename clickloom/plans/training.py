@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.operators.metrics import classification_metrics
+from clickloom.plans import boosting
 from clickloom.schemas import FEATURE_COLUMNS, LABEL
 from clickloom.sources.files import existing
 
@@ -45,10 +46,6 @@ MODEL_DESCRIPTION = "Gradient-boosted trees (MLlib) for purchase prediction"
 MODEL_STAGE = "Staging"
 MODEL_ALIAS = "current"
 
-# Smallest gain on the validation rows that keeps boosting going. MLlib stops on
-# a tolerance where other trainers count rounds without gain.
-VALIDATION_TOLERANCE = 0.001
-
 # Trainer parameter -> GBTClassifier parameter. A tuned learning_rate replaces
 # eta, its alias, because it is merged later.
 _GBT_NAMES = {
@@ -103,20 +100,34 @@ def train(
 ) -> PipelineModel:
     """Boosted trees on encoded features.
 
-    With `validation`, a boolean column, its rows are held out and boosting
-    stops once they gain nothing. Trees are grown from per-partition histograms,
-    so only bin statistics meet on the driver. Category indexes enter as
-    numbers; a vocabulary of any size needs no more bins.
+    With `validation`, a boolean column, its rows are held out, and the ensemble is cut to
+    the round with the best log loss of these, once PATIENCE further rounds gained
+    nothing. Rounds are grown in spans that double: a longer fit begins with
+    the same trees, so at most as many rounds are grown again as are needed.
+    Trees are grown from per-partition histograms, so only bin statistics meet on
+    the driver. Category indexes enter as numbers; a vocabulary of any size needs no
+    more bins.
     """
     columns = [*features, label] + ([validation] if validation else [])
     rows = frame.select(*columns).withColumn(label, F.col(label).cast("double"))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     settings = gbt_params(params or {})
-    if validation:
-        settings["validationIndicatorCol"] = validation
-        settings["validationTol"] = VALIDATION_TOLERANCE
-    trees = GBTClassifier(labelCol=label, seed=seed, **settings)
-    return Pipeline(stages=[assembler, trees]).fit(rows)
+    wanted = settings.pop("maxIter")
+
+    def grown(rows: DataFrame, rounds: int) -> PipelineModel:
+        trees = GBTClassifier(labelCol=label, seed=seed, maxIter=rounds, **settings)
+        return Pipeline(stages=[assembler, trees]).fit(rows)
+
+    if not validation:
+        return grown(rows, wanted)
+    seen, held = rows.where(~F.col(validation)), rows.where(F.col(validation))
+    rounds = min(wanted, 2 * boosting.PATIENCE)
+    while True:
+        model = grown(seen, rounds)
+        best, ended = boosting.best_rounds(model, held, label)
+        if ended or rounds >= wanted:
+            return boosting.cut(model, best)
+        rounds = min(wanted, 2 * rounds)
 
 
 def score(model: PipelineModel, frame: DataFrame, name: str = "prediction_score") -> DataFrame:
@@ -135,20 +146,9 @@ def evaluate(model: PipelineModel, frame: DataFrame, label: str = LABEL) -> Data
 def metric_history(
     model: PipelineModel, sets: dict[str, DataFrame], run_id: str, label: str = LABEL
 ) -> DataFrame:
-    """(run_id, part, metric, step, value): the boosting loss of each set after each
-    round, and its metrics after the last."""
-    _, trees = model.stages
-    rounds = len(trees.treeWeights)
-    spark = next(iter(sets.values())).sparkSession
-    history = []
-    for part, frame in sets.items():
-        rows = model.transform(frame.withColumn(label, F.col(label).cast("double")))
-        for step, loss in enumerate(trees.evaluateEachIteration(rows)):
-            history.append((run_id, part, "boosting_loss", step, float(loss)))
-        for row in evaluate(model, frame, label).collect():
-            history.append((run_id, part, row.metric, rounds - 1, float(row.value)))
-    schema = "run_id string, part string, metric string, step int, value double"
-    return spark.createDataFrame(history, schema)
+    """(run_id, part, metric, step, value): all metrics of each set after every round."""
+    history = boosting.metrics_by_round(model, sets, label)
+    return history.select(F.lit(run_id).alias("run_id"), "part", "metric", "step", "value")
 
 
 TRIALS = T.StructType(

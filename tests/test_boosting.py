@@ -1,0 +1,158 @@
+"""Rounds of an ensemble: their metrics, and which of them are kept."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.operators.metrics import classification_metrics, classification_metrics_by
+from clickloom.operators.ordered import totals_by_group
+from clickloom.plans import boosting
+from clickloom.plans import training as T
+from clickloom.schemas import LABEL
+
+
+def _draw(salt, n):
+    return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n))
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Few training rows with much noise, so that boosting over-fits, and stop rows."""
+    df = spark.range(1200).select(
+        "id",
+        _draw(1, 97).cast("double").alias("brand"),
+        _draw(2, 1000).cast("double").alias("price"),
+        _draw(3, 7).cast("double").alias("event_weekday"),
+        _draw(4, 50).cast("double").alias("category_code_level1"),
+        _draw(5, 90).cast("double").alias("category_code_level2"),
+        _draw(6, 100).cast("double").alias("activity_count"),
+        (_draw(7, 10) < 3).alias("noise"),
+        (_draw(8, 4) != 0).alias("held_out"),
+    )
+    bought = (F.col("price") > 500) != F.col("noise")
+    return df.withColumn(LABEL, bought.cast("int")).cache()
+
+
+PARAMS = {"max_depth": 4, "eta": 0.5, "subsample": 1.0, "colsample_bytree": 1.0}
+
+
+def test_totals_by_group_equal_a_window(spark):
+    rows = [
+        (g, str(k % 3) if k % 5 else None, k, k * k % 11)
+        for g in (1, 2, None)
+        for k in range(200 if g == 1 else 7)
+    ]
+    df = spark.createDataFrame(rows, "g int, h string, k int, v long")
+    found = {
+        (r.g, r.h, r.k): (r.v_before, r.v_total)
+        for r in totals_by_group(df, ["g", "h"], ["k"], ["v"]).collect()
+    }
+    assert len(found) == len(rows)
+    for g, h, k, _ in rows:
+        same = [r for r in rows if r[:2] == (g, h)]
+        assert found[g, h, k] == (sum(r[3] for r in same if r[2] < k), sum(r[3] for r in same))
+
+
+def test_a_group_is_spread_over_slices(spark):
+    """One group holds nearly all keys; its rows are ordered in several tasks."""
+    df = spark.range(200_000).select(
+        F.when(F.col("id") < 10, 1).otherwise(0).alias("g"), F.col("id").alias("k"), F.lit(1).alias("v")
+    )
+    few = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(few, "false")
+    try:
+        totals = totals_by_group(df, ["g"], ["k"], ["v"])
+        assert totals.where("g = 0").agg(F.max("v_before")).first()[0] == 199_989
+        sliced = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in totals.inputFiles()})
+        assert sliced.where("g = 0").select("slice").distinct().count() > 4
+    finally:
+        spark.conf.unset(few)
+
+
+def test_metrics_by_group_equal_those_of_each_group(spark):
+    df = spark.range(500).select(
+        (F.col("id") % 3).alias("part"), (_draw(1, 4) == 0).cast("int").alias("y"), (_draw(2, 20) / 20).alias("p")
+    )
+    every = {(r.part, r.metric): r.value for r in classification_metrics_by(df, ["part"], "y", "p").collect()}
+    for part in range(3):
+        for r in classification_metrics(df.where(F.col("part") == part), "y", "p").collect():
+            assert every[part, r.metric] == pytest.approx(r.value, abs=1e-12)
+
+
+def test_last_step_is_the_models_own_score(noisy):
+    model = T.train(noisy, {**PARAMS, "num_boost_round": 4})
+    history = {
+        (r.metric, r.step): r.value
+        for r in boosting.metrics_by_round(model, {"all": noisy}, LABEL).collect()
+    }
+    assert {s for _, s in history} == {0, 1, 2, 3}
+    for r in T.evaluate(model, noisy).collect():
+        assert history[r.metric, 3] == pytest.approx(r.value, abs=1e-9)
+    rows = model.transform(noisy.withColumn(LABEL, F.col(LABEL).cast("double")))
+    for step, loss in enumerate(model.stages[-1].evaluateEachIteration(rows)):
+        assert history["boosting_loss", step] == pytest.approx(loss, abs=1e-9)
+
+
+def test_longer_fits_begin_with_the_same_trees(noisy):
+    short, long = (T.train(noisy, {**PARAMS, "subsample": 0.7, "num_boost_round": n}) for n in (3, 6))
+    debug = [[t.toDebugString.split("\n", 1)[1] for t in m.stages[-1].trees] for m in (short, long)]
+    assert debug[1][:3] == debug[0]
+
+
+def test_best_step():
+    assert boosting.best_step([5, 4, 3, 4, 5, 6, 7, 8], patience=5) == (2, True)
+    assert boosting.best_step([5, 4, 3, 4, 5, 6, 7], patience=5) == (2, False)
+    assert boosting.best_step([5, 4, 3, 4, 5, 6, 7, 8, 1], patience=5) == (2, True)
+    assert boosting.best_step([5, 4, 3, 3, 3], patience=2) == (2, True)
+    assert boosting.best_step([0.5, 0.7, 0.6], patience=5, rising=True) == (1, False)
+    assert boosting.best_step([1.0]) == (0, False)
+
+
+def test_boosting_ends_after_rounds_without_gain(spark, noisy, tmp_path, monkeypatch):
+    """The planted over-fit: held-out loss falls and then rises for good."""
+    grown = []
+    best = boosting.best_rounds
+    monkeypatch.setattr(boosting, "best_rounds", lambda m, *a: grown.append(m) or best(m, *a))
+    model = T.train(noisy, {**PARAMS, "num_boost_round": 40}, validation="held_out")
+    held = noisy.where("held_out")
+    full = T.train(noisy.where("NOT held_out"), {**PARAMS, "num_boost_round": 40})
+    losses = {
+        r.step: r.value
+        for r in boosting.metrics_by_round(full, {"stop": held}, LABEL).where("metric = 'logloss'").collect()
+    }
+    right = boosting.best_step([losses[s] for s in range(40)])[0]
+    assert losses[39] > losses[right]  # it did over-fit
+    assert len(model.stages[-1].treeWeights) == right + 1
+    assert len(grown[-1].stages[-1].treeWeights) < 40  # it did not grow all rounds
+
+    measured = {r.metric: r.value for r in T.evaluate(model, held).collect()}
+    assert measured["logloss"] == pytest.approx(losses[right], abs=1e-9)
+    T.save_model(model, str(tmp_path / "model"))
+    again = T.load_model(spark, str(tmp_path / "model"))
+    assert len(again.stages[-1].treeWeights) == right + 1
+    assert {r.metric: r.value for r in T.evaluate(again, held).collect()} == measured
+
+
+def test_all_rounds_are_kept_without_stop_rows(noisy):
+    none = noisy.withColumn("held_out", F.lit(False))
+    model = T.train(none, {**PARAMS, "num_boost_round": 3}, validation="held_out")
+    assert len(model.stages[-1].treeWeights) == 3
+
+
+def test_history_of_stumps_equals_brute_force(spark):
+    rows = [(i % 2, i % 7, float(i % 13)) for i in range(60)]
+    df = spark.createDataFrame(rows, "y int, weekday int, price double").withColumn("part", F.lit("all"))
+    trees = [boosting.stump("weekday", 3, 0.5, -0.5), boosting.stump("price", 6.0, -0.25, 1.0)]
+    scores = boosting.staged_scores(df, trees, [1.0, 0.5], ["part", "y"])
+    found = {(r.metric, r.step): r.value for r in boosting.round_metrics(scores, "y").collect()}
+    for step in range(2):
+        margins = [(0.5 if w <= 3 else -0.5) + (0.5 * (-0.25 if p <= 6 else 1.0) if step else 0) for _, w, p in rows]
+        p = [1 / (1 + math.exp(-2 * z)) for z in margins]
+        y = [r[0] for r in rows]
+        pairs = [(a, b) for a, l in zip(p, y) if l for b, k in zip(p, y) if not k]
+        auc = sum((a > b) + (a == b) / 2 for a, b in pairs) / len(pairs)
+        assert found["auc", step] == pytest.approx(auc)
+        loss = -sum(math.log(q if l else 1 - q) for q, l in zip(p, y)) / len(y)
+        assert found["logloss", step] == pytest.approx(loss)
+        assert found["boosting_loss", step] == pytest.approx(2 * loss)
