@@ -53,8 +53,8 @@ _BLOCKS = {
         SELECT * FROM raw WHERE event_type IN ('view', 'click', 'purchase')""",
     "shop": """
         SELECT * EXCLUDE (rn) FROM (
-            SELECT user_id, product_id, user_session, price, events_in_session AS activity_count,
-                   isodow(ts) - 1 AS event_weekday, brand,
+            SELECT event_id, user_id, product_id, user_session, price,
+                   events_in_session AS activity_count, isodow(ts) - 1 AS event_weekday, brand,
                    split_part(category_code, '.', 1) AS category_code_level1,
                    substr(category_code, strpos(category_code, '.') + 1) AS category_code_level2,
                    row_number() OVER (PARTITION BY user_id, product_id, user_session
@@ -481,6 +481,14 @@ ORACLE: dict[str, str] = {
     "feature_lookup": _with("answers")
     + """
         SELECT request_id, user_id, product_id, user_session, found, batch_ok FROM answers""",
+    "store_lookup": _with("requests", "shop")
+    + """
+        SELECT r.*, s.user_id IS NOT NULL AS found,
+               bool_and(s.user_id IS NOT NULL) OVER (PARTITION BY request_id) AS batch_ok,
+               s.event_id, s.event_weekday, s.price
+        FROM requests r LEFT JOIN shop s
+          ON r.user_id = s.user_id AND r.product_id = s.product_id
+         AND r.user_session = s.user_session""",
     "batch_score": _with("answers")
     + """
         SELECT request_id, user_id, product_id, user_session,

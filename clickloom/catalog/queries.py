@@ -33,6 +33,7 @@ from clickloom.sources import files, notifications
 from clickloom.sources import testdata as data
 from clickloom.streaming import features as feature_stream
 from clickloom.streaming import landing, rates
+from clickloom.streaming.store import FeatureStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -461,6 +462,27 @@ def feature_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return lookup.feature_lookup(requests, known.select(*FEATURE_KEY_COLUMNS))
 
 
+#: Batches that the store of the lookup is written in; one of them is sent twice.
+STORE_BATCHES, SENT_TWICE = 6, 2
+
+
+def store_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests looked up in the bucketed store, whose rows came in batches in no order
+    of time; what is found must be the newest row of the key."""
+    events = _visits(spark, sf)
+    shop = events.where(F.col("event_type").isin("view", "click", "purchase"))
+    rows = stored(features.event_features(shop, data.PURCHASE_TYPE), "shop")
+    store = FeatureStore(spark, scratch_path(spark, "store"), buckets=8)
+    batch = F.pmod(F.xxhash64("event_id"), F.lit(STORE_BATCHES))
+    for number in [*range(STORE_BATCHES), SENT_TWICE]:
+        store.write(rows.where(batch == number), number)
+    request = F.concat_ws("@", F.col("user_id").cast("string"), F.to_date("event_timestamp"))
+    requests = events.select(request.alias("request_id"), *FEATURE_KEY_COLUMNS).distinct()
+    return lookup.answered(store.lookup(requests)).select(
+        "request_id", *FEATURE_KEY_COLUMNS, "found", "batch_ok", "event_id", "event_weekday", "price"
+    )
+
+
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Requests scored with prepared features: encoded categories, median price."""
     requests, known = _scoring_tables(spark, sf)
@@ -676,6 +698,7 @@ QUERIES: dict[str, Query] = {
         load_metrics,
         load_alerts,
         feature_lookup,
+        store_lookup,
         batch_score,
         scoring_status_counts,
         request_rate_5m,

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,6 +103,33 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> set[str]:
         return {path for path, found in zip(paths, pool.map(there, paths)) if found}
 
 
+class Folder:
+    """A folder of any file system that Spark reaches, with few names in it."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._files = self._at.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._child = lambda name: spark._jvm.org.apache.hadoop.fs.Path(self._at, name)
+
+    def names(self) -> list[str]:
+        if not self._files.exists(self._at):
+            return []
+        return sorted(s.getPath().getName() for s in self._files.listStatus(self._at))
+
+    def create(self, name: str) -> bool:
+        """Makes an empty file; False if it is there. Of several that try, one succeeds."""
+        try:
+            self._files.create(self._child(name), False).close()
+        except Py4JJavaError as problem:
+            if not self._files.exists(self._child(name)):
+                raise problem
+            return False
+        return True
+
+    def delete(self, name: str) -> None:
+        self._files.delete(self._child(name), True)
+
+
 @dataclass(frozen=True)
 class PartitionedSource:
     """A partitioned feed and the values of the partitions to read of it."""

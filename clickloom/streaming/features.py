@@ -1,10 +1,11 @@
 """Keyed feature table fed by a stream.
 
-Each micro-batch writes the latest row of its keys below `batch_id=N`. Writing
-a batch again replaces its own folder, so a replay changes nothing, and a batch
-costs what it holds, not what the table holds. Readers take the latest row per
-key over all batches, which also keeps an older event that arrives late from
-winning. A batch that fails raises: it is not committed and will be retried.
+Each micro-batch writes the latest row of its keys as a run of the store. Writing
+a batch again replaces its own run, so a replay changes nothing, and runs are merged
+level by level. Readers take the latest row per key over the runs, which also keeps an
+older event that arrives late from winning. What can't be used goes below
+`batch_id=N` of the quarantine. A batch that fails raises: it is not committed and will
+be retried.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.operators.upsert import latest_per_key
 from clickloom.plans.features import as_online
-from clickloom.schemas import FEATURE_KEY_COLUMNS, LANDED_DOCUMENT
+from clickloom.schemas import LANDED_DOCUMENT
 from clickloom.sources.files import existing, scan_json, with_corrupt
 from clickloom.sources.notifications import OBJECT_SCHEME, notified_paths
 from clickloom.streaming.landing import quarantined, usable
+from clickloom.streaming.store import BUCKETS, STREAM, FeatureStore, newest_per_key
 
 # Fixed value: how often a micro-batch starts.
 TRIGGER = "30 seconds"
@@ -34,22 +35,18 @@ def quarantine_of(path: str) -> str:
     return f"{path.rstrip('/')}_quarantine"
 
 
-def newest_per_key(events: DataFrame) -> DataFrame:
-    """The last event of each key: by time, then by the event's id."""
-    order = [c for c in ("event_timestamp", "event_id") if c in events.columns]
-    return latest_per_key(events, FEATURE_KEY_COLUMNS, order)
-
-
 def feature_batch_writer(
     path: str,
     quarantine: str | None = None,
     publish: Callable[[DataFrame, int], None] | None = None,
+    buckets: int = BUCKETS,
+    stream: str = STREAM,
 ) -> Callable[[DataFrame, int], None]:
     """The per-batch step: set bad rows aside, keep the latest per key, write.
 
     Malformed documents and rows without a full key always go to `quarantine`, by
     default the table's sibling. `publish` may push the rows written to an external
-    key-value store.
+    key-value store. `buckets` counts for a new table; `stream` names the checkpoint.
     """
     aside = quarantine or quarantine_of(path)
 
@@ -59,7 +56,7 @@ def feature_batch_writer(
             if batch.isEmpty():
                 return
             newest = newest_per_key(usable(batch))
-            write_batch(newest, batch_id, path)
+            FeatureStore(batch.sparkSession, path, buckets).write(newest, batch_id, stream)
             write_batch(quarantined(batch), batch_id, aside)
             if publish:
                 publish(as_online(newest), batch_id)
@@ -76,10 +73,13 @@ def stream_features(
     quarantine: str | None = None,
     publish: Callable[[DataFrame, int], None] | None = None,
     drain: bool = False,
+    buckets: int = BUCKETS,
+    stream: str = STREAM,
 ) -> StreamingQuery:
     """Runs the feature load; with `drain` it handles what is there and stops."""
+    write = feature_batch_writer(path, quarantine, publish, buckets, stream)
     writer = (
-        events.writeStream.foreachBatch(feature_batch_writer(path, quarantine, publish))
+        events.writeStream.foreachBatch(write)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
     )
@@ -89,7 +89,7 @@ def stream_features(
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Latest row per key over all batches: the offline feature table."""
-    return newest_per_key(spark.read.schema(LANDED_DOCUMENT).parquet(f"{path}/batch_id=*"))
+    return FeatureStore(spark, path).read()
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
@@ -97,10 +97,10 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(with_corrupt(LANDED_DOCUMENT)).parquet(f"{path}/batch_id=*")
 
 
-def compact_features(spark: SparkSession, path: str, target: str) -> None:
-    """Folds all batches into one below `target`, where a stream that resumes
-    from its checkpoint may go on writing: its batch numbers are never negative."""
-    write_batch(read_features(spark, path), -1, target)
+def compact_features(spark: SparkSession, path: str, target: str, buckets: int = BUCKETS) -> None:
+    """All batches as one run of a new table at `target`, where a stream may go on
+    writing, under the same name from its checkpoint; also to change the buckets."""
+    FeatureStore(spark, target, buckets).replace(read_features(spark, path))
 
 
 def notified_batch_writer(
