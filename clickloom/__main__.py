@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import category_id
 from clickloom.operators import quality
+from clickloom.operators.measure import LoadMeasure, append_to_log, latest_load
 from clickloom.plans import preparation, scoring, training, warehouse
 from clickloom.plans.training_run import train_and_register
 from clickloom.schemas import FEATURE_KEY_COLUMNS, GOLD_ROW_BOUNDS, LANDED_DOCUMENT, RAW_EVENT
@@ -79,14 +80,22 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = raw.withColumn("category_id", F.coalesce("category_id", category_id(F.col("category_code"))))
     records = warehouse.raw_records(raw, args.pipeline)
     create_table(spark, args.target, RAW_EVENT, ["event_type"], args.location)
+    measure = LoadMeasure(spark, F.col("valid"))
     insert_new(
-        spark, args.target, records, ["record_hash"], ["processed_date"], ["event_type"], ["user_session"]
+        spark, args.target, records, ["record_hash"], ["processed_date"], ["event_type"], ["user_session"],
+        measure,
     )
+    metrics = measure.metrics()
+    if args.log:
+        append_to_log(metrics, args.log)
+    for alert in quality.load_alerts(metrics).where("fired").collect():
+        print(f"alert: {alert.rule}")
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Checks a star schema: row counts and foreign keys, and, of a table of records,
-    volumes and alerts. One parquet folder for each below the target."""
+    """Checks a star schema: row counts and foreign keys, of a table of records
+    volumes and alerts, and the alerts of the load that was logged last. One parquet folder
+    for each below the target."""
     read = lambda name: spark.read.parquet(f"{args.source}/{name}")
     fact = read("fact_events")
     keys = {"user_id": "dim_user", "product_id": "dim_product", "category_id": "dim_category"}
@@ -100,6 +109,9 @@ def check(spark: SparkSession, args: argparse.Namespace) -> None:
         records = spark.table(args.records).withColumn("valid", F.col("valid").cast("boolean"))
         results["metrics"] = quality.load_metrics(records)
         results["alerts"] = quality.load_alerts(results["metrics"])
+    if args.log:
+        results["load"] = latest_load(spark, args.log)
+        results["load_alerts"] = quality.load_alerts(results["load"])
     for name, result in results.items():
         result.write.mode("overwrite").parquet(f"{args.target}/{name}")
 
@@ -151,8 +163,9 @@ def main(argv: list[str] | None = None) -> None:
         ("--skip-lost", {"action": "store_true"}),
     )
     job(star)
-    job(load, ("--pipeline", {"default": "batch"}), ("--location", {}))
-    job(check, ("--records", {"help": "table of raw records"}))
+    log = ("--log", {"help": "folder of the loads' metrics"})
+    job(load, ("--pipeline", {"default": "batch"}), ("--location", {}), log)
+    job(check, ("--records", {"help": "table of raw records"}), log)
     job(
         train, registry, ("--run-id", {"required": True}),
         ("--trials", {"type": int, "default": training.NUM_TRIALS}),

@@ -477,7 +477,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'many_duplicates', CAST(duplicate_records > 100 AS VARCHAR) FROM volumes
         UNION ALL SELECT 'low_volume', CAST(total_records < 100 AS VARCHAR) FROM volumes
         UNION ALL SELECT 'high_volume', CAST(total_records > 1000000 AS VARCHAR) FROM volumes
-        UNION ALL SELECT 'long_processing', 'not evaluated'""",
+        UNION ALL SELECT 'long_processing', 'false'""",
     "feature_lookup": _with("answers")
     + """
         SELECT request_id, user_id, product_id, user_session, found, batch_ok FROM answers""",

@@ -14,6 +14,7 @@ from clickloom.functions.columns import (
     record_hash,
 )
 from clickloom.operators import encode, lookup, metrics, quality, sessions, upsert
+from clickloom.operators.measure import LoadMeasure
 from clickloom.operators.median import exact_median
 from clickloom.operators.ordered import number_rows
 from clickloom.plans import boosting, features, preparation, scoring, training, training_run, warehouse
@@ -408,7 +409,7 @@ def row_count_check(spark: SparkSession, sf: str) -> DataFrame:
     return raw.unionByName(gold)
 
 
-def _load_metrics(spark: SparkSession, sf: str) -> DataFrame:
+def _records(spark: SparkSession, sf: str) -> DataFrame:
     """Sign-ups lack a product; errors of one user and day count as one record."""
     is_error = F.col("event_type") == "error"
     stamp = F.when(is_error, F.date_trunc("day", "event_timestamp").cast("timestamp_ntz"))
@@ -422,17 +423,23 @@ def _load_metrics(spark: SparkSession, sf: str) -> DataFrame:
         .alias("product_id"),
     )
     fields = events.columns
-    return quality.load_metrics(
-        events.select(is_valid(fields).alias("valid"), record_hash(fields).alias("record_hash"))
-    )
+    return events.select(is_valid(fields).alias("valid"), record_hash(fields).alias("record_hash"))
 
 
 def load_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return _load_metrics(spark, sf)
+    return quality.load_metrics(_records(spark, sf))
 
 
 def load_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    alerts = quality.load_alerts(_load_metrics(spark, sf))
+    """Alerts of a load of the records into a table of their own, by what the load
+    measured as it ran, its time included."""
+    path = scratch_path(spark, "records")
+    measure = LoadMeasure(spark, F.col("valid"))
+    with measure:
+        records = measure.incoming(_records(spark, sf))
+        added = upsert.first_per_key(records, ["record_hash"], ["valid"])
+        measure.written(added).write.parquet(path)
+    alerts = quality.load_alerts(measure.metrics())
     fired = F.coalesce(F.col("fired").cast("string"), F.lit("not evaluated"))
     return alerts.withColumn("fired", fired)
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.operators.measure import LoadMeasure
 from clickloom.operators.upsert import new_rows
 
 #: Partition values that come to the driver at most.
@@ -46,16 +48,21 @@ def insert_new(
     order: Sequence[str],
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    measure: LoadMeasure | None = None,
 ) -> None:
     """Appends the rows whose key the table does not hold.
 
     With `partition_by`, where a record's key fixes its partition, only the
-    partitions the new rows belong to are read and compared.
+    partitions the new rows belong to are read and compared. A `measure` counts and times
+    the load as it runs.
     """
-    table = spark.table(name)
-    held = touched_partitions(table, incoming, partition_by) if partition_by else table
-    added = new_rows(held, incoming, keys, order).select(*table.columns)
-    laid_out(added, partition_by, sort_by).write.insertInto(name)
+    with measure or nullcontext():
+        table = spark.table(name)
+        held = touched_partitions(table, incoming, partition_by) if partition_by else table
+        incoming = measure.incoming(incoming) if measure else incoming
+        added = new_rows(held, incoming, keys, order).select(*table.columns)
+        added = measure.written(added) if measure else added
+        laid_out(added, partition_by, sort_by).write.insertInto(name)
 
 
 def touched_partitions(

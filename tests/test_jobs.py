@@ -3,6 +3,7 @@
 import json
 
 from clickloom.__main__ import main
+from clickloom.operators.measure import latest_load
 from clickloom.plans import training
 
 
@@ -95,11 +96,17 @@ def test_load_twice_and_check(spark, tmp_path):
     ]
     (tmp_path / "raw.csv").write_text("\n".join([header, *rows]))
     raw, star, out = (str(tmp_path / n) for n in ("raw.csv", "star", "checks"))
+    log = str(tmp_path / "log")
+    loads = []
     for _ in range(2):
-        main(["load", raw, "records_test", "--location", str(tmp_path / "records")])
+        main(["load", raw, "records_test", "--location", str(tmp_path / "records"), "--log", log])
+        loads.append({r.metric: r.value for r in latest_load(spark, log).collect()})
     assert spark.table("records_test").count() == 2
+    counts = ["total_records", "valid_records", "invalid_records", "duplicate_records"]
+    assert [[load[c] for c in counts] for load in loads] == [[3, 2, 1, 1], [3, 2, 1, 3]]
+    assert all(load["processing_time"] > 0 for load in loads)
     main(["star", raw, star])
-    main(["check", star, out, "--records", "records_test"])
+    main(["check", star, out, "--records", "records_test", "--log", log])
     read = lambda name: spark.read.parquet(f"{out}/{name}").collect()
     assert [(r.observed, r.success) for r in read("row_counts")] == [(2, True)]
     assert {r.fk_name: r.violations for r in read("foreign_keys")} == dict.fromkeys(
@@ -107,4 +114,8 @@ def test_load_twice_and_check(spark, tmp_path):
     )
     assert {r.metric: r.value for r in read("metrics")}["invalid_records"] == 1
     assert {r.rule: r.fired for r in read("alerts")}["low_volume"]
+    assert {r.rule: r.fired for r in read("load_alerts")} == {
+        "more_invalid_than_valid": False, "many_duplicates": False, "low_volume": True,
+        "high_volume": False, "long_processing": False,
+    }
     spark.sql("DROP TABLE records_test")

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from clickloom.operators import quality
 from clickloom.operators.upsert import insert_ignore, latest_per_key
 from clickloom.schemas import GOLD_ROW_BOUNDS, RAW_ROW_BOUNDS
@@ -72,3 +75,55 @@ def test_insert_ignore(spark):
     )
     found = insert_ignore(stored, incoming, ["id"], ["n"]).collect()
     assert {(r.id, r.v) for r in found} == {(1, 5.0), (2, None), (3, 2.0)}
+
+
+def test_a_load_is_measured_as_it_runs(spark, tmp_path, monkeypatch):
+    from clickloom.operators import measure as M
+
+    jobs = spark.sparkContext.statusTracker()
+    rows = spark.createDataFrame(
+        [(1, True), (1, True), (2, False), (3, None), (None, True)], "key int, valid boolean"
+    )
+    spark.sparkContext.setJobGroup("measured", "load")
+    load = M.LoadMeasure(spark, F.col("valid"))
+    clock = iter([100.0, 100.0 + 3601])
+    monkeypatch.setattr(M.time, "monotonic", lambda: next(clock))
+    with load:
+        load.written(load.incoming(rows).dropDuplicates(["key"])).write.parquet(str(tmp_path / "t"))
+    before = len(jobs.getJobIdsForGroup("measured"))
+    found = {r.metric: r.value for r in load.metrics().collect()}
+    assert found == {
+        "total_records": 5, "valid_records": 3, "invalid_records": 2, "duplicate_records": 1,
+        "processing_time": 3601,
+    }
+    assert before >= 1
+    fired = {r.rule: r.fired for r in quality.load_alerts(load.metrics()).collect()}
+    assert fired["long_processing"] and fired["low_volume"] and not fired["more_invalid_than_valid"]
+
+
+def test_a_load_that_breaks_off_has_no_metrics(spark):
+    from clickloom.operators.measure import LoadMeasure
+
+    load = LoadMeasure(spark, F.lit(True))
+    with pytest.raises(RuntimeError):
+        with load:
+            raise RuntimeError("disk is full")
+    with pytest.raises(ValueError):
+        load.metrics()
+
+
+def test_a_load_of_nothing_new_is_measured_too(spark, tmp_path):
+    from clickloom.operators.measure import LoadMeasure
+    from clickloom.operators.upsert import new_rows
+
+    rows = spark.createDataFrame([(i, 1, True) for i in range(50)], "key int, sent int, valid boolean")
+    rows.write.parquet(str(tmp_path / "held"))
+    held = spark.read.parquet(str(tmp_path / "held"))
+    for n, (incoming, total) in enumerate([(held, 50), (rows.limit(0), 0)]):
+        load = LoadMeasure(spark, F.col("valid"))
+        with load:
+            added = new_rows(held, load.incoming(incoming), ["key"], ["sent"])
+            load.written(added).write.parquet(str(tmp_path / f"out{n}"))
+        found = {r.metric: r.value for r in load.metrics().collect()}
+        assert (found["total_records"], found["duplicate_records"]) == (total, total)
+    assert spark.conf.get("spark.sql.adaptive.optimizer.excludedRules", None) is None
