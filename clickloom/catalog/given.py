@@ -12,3 +12,9 @@ STUMPS = [
 
 #: A label that the features tell: from this weekday on, or above this price, not both.
 PLANTED_WEEKDAY, PLANTED_PRICE = 5, 905.0
+
+#: The product whose events are looked up.
+LOOKUP_PRODUCT = 42
+
+#: Per cent of the rows that an approximate median may lie off the middle.
+MEDIAN_ERROR = 2

@@ -7,7 +7,7 @@ checks the Spark side's method and not only its wiring.
 
 from __future__ import annotations
 
-from clickloom.catalog.given import PLANTED_PRICE, PLANTED_WEEKDAY, STUMPS
+from clickloom.catalog.given import LOOKUP_PRODUCT, PLANTED_PRICE, PLANTED_WEEKDAY, STUMPS
 
 # Building blocks, in the order a statement may need them.
 _BLOCKS = {
@@ -219,6 +219,12 @@ _CATEGORIES = """
            substr(p.category_code, strpos(p.category_code, '.') + 1) AS category_code_level2
     FROM ev e LEFT JOIN products p USING (product_id)"""
 
+_FACT = f"""
+        SELECT md5({_FACT_KEY}) AS event_key, event_type, user_id, product_id, category_id,
+               CAST(ts AS DATE) AS event_date, hour(ts) AS event_hour, ts AS event_timestamp,
+               user_session, events_in_session
+        FROM raw"""
+
 ORACLE: dict[str, str] = {
     "vw_user_session_summary": _with("sess")
     + """
@@ -240,12 +246,20 @@ ORACLE: dict[str, str] = {
         JOIN products p ON e.product_id = p.product_id
         JOIN customer c ON e.user_id = c.c_custkey
         GROUP BY ALL""",
-    "star_fact": _with("raw")
+    "star_fact": _with("raw") + _FACT,
+    "lookup_user_events": _with("raw")
+    + f"{_FACT} WHERE user_id = (SELECT min(user_id) FROM events)",
+    "lookup_session_events": _with("raw")
+    + f"{_FACT} WHERE user_session = (SELECT min(user_id) || '-0' FROM events)",
+    "lookup_product_events": _with("raw") + f"{_FACT} WHERE product_id = {LOOKUP_PRODUCT}",
+    "lookup_category_events": _with("raw")
+    + f"""{_FACT} WHERE category_id = (
+        SELECT category_id FROM products WHERE product_id = {LOOKUP_PRODUCT})""",
+    "lookup_cart_purchases": _with("sess")
     + f"""
-        SELECT md5({_FACT_KEY}) AS event_key, event_type, user_id, product_id, category_id,
-               CAST(ts AS DATE) AS event_date, hour(ts) AS event_hour, ts AS event_timestamp,
-               user_session, events_in_session
-        FROM raw""",
+        SELECT user_session, product_id, event_type, count(*) AS n FROM sess
+        WHERE event_type IN ('click', 'purchase') AND product_id = {LOOKUP_PRODUCT}
+        GROUP BY ALL""",
     "dim_user": "SELECT c_custkey AS user_id FROM customer",
     "dim_product": _with("products")
     + """
@@ -314,6 +328,10 @@ ORACLE: dict[str, str] = {
         FROM holes""",
     "price_median": _with("ev", "products")
     + "SELECT median(price) AS median_price FROM ev JOIN products USING (product_id)",
+    "price_median_approximate": _with("ev", "products")
+    + """
+        SELECT count(price) AS prices, count(price) > 0 AS near_middle
+        FROM ev JOIN products USING (product_id)""",
     "price_range": _with("ev", "products")
     + """
         SELECT min(price) AS min_price, max(price) AS max_price
@@ -503,6 +521,12 @@ ORACLE: dict[str, str] = {
         FROM answers GROUP BY batch_ok""",
     "request_rate_5m": _RATE,
     "stream_request_rate_5m": _RATE,
+    "stream_distinct_events": _with("ev")
+    + "SELECT DISTINCT ts AS event_timestamp, event_type, user_id, product_id FROM ev",
+    "stream_sessions": _with("numbered")
+    + """
+        SELECT user_id, count(*) AS event_count, min(ts) AS session_start, max(ts) AS session_end
+        FROM numbered GROUP BY user_id, n""",
     "classification_metrics": _with("feat")
     + """
         , scored AS (SELECT is_purchased AS y, z / (1 + z) AS p FROM (

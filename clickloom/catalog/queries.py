@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.catalog.given import PLANTED_PRICE, PLANTED_WEEKDAY, STUMPS
+from clickloom.catalog.given import LOOKUP_PRODUCT, MEDIAN_ERROR, PLANTED_PRICE, PLANTED_WEEKDAY, STUMPS
 from clickloom.functions.columns import (
     is_valid,
     parsed_timestamp,
@@ -15,7 +15,7 @@ from clickloom.functions.columns import (
 )
 from clickloom.operators import encode, lookup, metrics, quality, sessions, upsert
 from clickloom.operators.measure import LoadMeasure
-from clickloom.operators.median import exact_median
+from clickloom.operators.median import approximate_median, exact_median
 from clickloom.operators.ordered import number_rows
 from clickloom.plans import boosting, features, preparation, scoring, training, training_run, warehouse
 from clickloom.schemas import (
@@ -33,7 +33,8 @@ from clickloom.session import scratch_path, stored
 from clickloom.sources import files, notifications
 from clickloom.sources import testdata as data
 from clickloom.streaming import features as feature_stream
-from clickloom.streaming import landing, rates
+from clickloom.streaming import distinct, landing, rates
+from clickloom.streaming import sessions as session_stream
 from clickloom.streaming.store import FeatureStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +119,47 @@ def cart_purchase_events(spark: SparkSession, sf: str) -> DataFrame:
     return events.select("event_id", "event_type", "user_session", "product_id")
 
 
+def _indexed_fact(spark: SparkSession, sf: str, types: tuple[str, ...] = ()) -> DataFrame:
+    """The fact as it is laid out for lookups, or the events of `types` alone."""
+    path = scratch_path(spark, "fact")
+    if types:
+        warehouse.write_cart_purchases(_fact(spark, sf), path, types)
+    else:
+        warehouse.write_fact(_fact(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+def _first_user(spark: SparkSession, sf: str) -> int:
+    return data.base_events(spark, sf).agg(F.min("user_id")).scalar()
+
+
+def lookup_user_events(spark: SparkSession, sf: str) -> DataFrame:
+    """All events of one user, from the fact laid out for lookups."""
+    return _indexed_fact(spark, sf).where(F.col("user_id") == _first_user(spark, sf))
+
+
+def lookup_session_events(spark: SparkSession, sf: str) -> DataFrame:
+    session = F.concat(_first_user(spark, sf).cast("string"), F.lit("-0"))
+    return _indexed_fact(spark, sf).where(F.col("user_session") == session)
+
+
+def lookup_product_events(spark: SparkSession, sf: str) -> DataFrame:
+    return _indexed_fact(spark, sf).where(F.col("product_id") == LOOKUP_PRODUCT)
+
+
+def lookup_category_events(spark: SparkSession, sf: str) -> DataFrame:
+    """All events of one product's category."""
+    known = data.catalog(spark, sf).where(F.col("product_id") == LOOKUP_PRODUCT)
+    category = known.agg(F.min("category_id")).scalar()
+    return _indexed_fact(spark, sf).where(F.col("category_id") == category)
+
+
+def lookup_cart_purchases(spark: SparkSession, sf: str) -> DataFrame:
+    """What one product was clicked or bought in, from the events of these types alone."""
+    rows = _indexed_fact(spark, sf, data.CART_TYPES).where(F.col("product_id") == LOOKUP_PRODUCT)
+    return rows.groupBy("user_session", "product_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 def fk_violations(spark: SparkSession, sf: str) -> DataFrame:
     """Against dimensions that lack the days from 20 January, economy goods and odd users."""
     products = data.catalog(spark, sf)
@@ -188,6 +230,17 @@ def price_median(spark: SparkSession, sf: str) -> DataFrame:
     return exact_median(events, "price", "median_price", weight="events")
 
 
+def price_median_approximate(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with a price, and whether the sketch's median splits them at most
+    MEDIAN_ERROR per cent from the middle."""
+    events = data.base_events(spark, sf).join(data.catalog(spark, sf), "product_id")
+    middle = approximate_median(events, "price").scalar()
+    n, error = F.count("price"), MEDIAN_ERROR / 100
+    below, upto = F.count_if(F.col("price") < middle), F.count_if(F.col("price") <= middle)
+    near = (below <= (0.5 + error) * n) & (upto >= (0.5 - error) * n)
+    return events.agg(n.alias("prices"), near.alias("near_middle"))
+
+
 def price_range(spark: SparkSession, sf: str) -> DataFrame:
     return quality.price_range(data.events_per_product(spark, sf))
 
@@ -526,6 +579,47 @@ def stream_request_rate_5m(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+#: More than the tables' span, as their rows come in no order of time.
+LATENESS = "60 days"
+
+
+def _feed(spark: SparkSession, events: DataFrame, files: int) -> tuple[str, DataFrame]:
+    """`events` as files that arrive, and the stream of them, a few at a time."""
+    path = scratch_path(spark, "feed")
+    stamped = events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    stamped.repartition(files).write.parquet(path)
+    stream = spark.readStream.schema(stamped.schema).option("maxFilesPerTrigger", 3).parquet(path)
+    return path, stream
+
+
+def stream_distinct_events(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed that sends every event twice and purchases three times, in any order."""
+    fields = ["event_timestamp", "event_type", "user_id", "product_id"]
+    events = data.base_events(spark, sf)
+    again = events.unionByName(events.where(F.col("event_type") == data.PURCHASE_TYPE))
+    _, stream = _feed(spark, events.unionByName(again).select(fields), 8)
+    path = scratch_path(spark, "distinct")
+    distinct.write_distinct(
+        stream, path, scratch_path(spark, "distinct-stream"), LATENESS, fields, drain=True
+    ).awaitTermination()
+    rows = spark.read.schema(stream.schema).parquet(path)
+    return rows.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions of the events as they arrive; a last event closes those still open."""
+    events = data.base_events(spark, sf).select("user_id", "event_timestamp")
+    feed, stream = _feed(spark, events, 8)
+    path, cursor = scratch_path(spark, "sessions"), scratch_path(spark, "session-stream")
+    session_stream.write_sessions(stream, path, cursor, LATENESS, drain=True).awaitTermination()
+    sent = spark.read.schema(stream.schema).parquet(feed)
+    session_stream.closing_event(spark, sent, LATENESS).write.mode("append").parquet(feed)
+    session_stream.write_sessions(stream, path, cursor, LATENESS, drain=True).awaitTermination()
+    schema = "user_id long, event_count long, session_start timestamp, session_end timestamp"
+    ends = {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")}
+    return spark.read.schema(schema).parquet(path).withColumns(ends)
+
+
 # -- model ------------------------------------------------------------------
 
 
@@ -677,6 +771,11 @@ QUERIES: dict[str, Query] = {
         events_in_session,
         session_event_counts,
         cart_purchase_events,
+        lookup_user_events,
+        lookup_session_events,
+        lookup_product_events,
+        lookup_category_events,
+        lookup_cart_purchases,
         fk_violations,
         fk_violations_basic_products,
         event_features,
@@ -684,6 +783,7 @@ QUERIES: dict[str, Query] = {
         filter_features,
         fill_missing,
         price_median,
+        price_median_approximate,
         price_range,
         parse_timestamps,
         category_mapping,
@@ -710,6 +810,8 @@ QUERIES: dict[str, Query] = {
         scoring_status_counts,
         request_rate_5m,
         stream_request_rate_5m,
+        stream_distinct_events,
+        stream_sessions,
         classification_metrics,
         metric_history,
         best_trial,

@@ -33,3 +33,21 @@ def exact_median(
     return ranked.where(reaches_middle).agg(
         ((F.min("v") + F.max("v")) / 2).alias(name)
     )
+
+
+#: Size of the sketch: its rank error is about 2.3 / k ** 0.9, with k = 800 some 0.6 per cent.
+SKETCH_K = 800
+
+
+def approximate_median(df: DataFrame, column: str, name: str = "median", k: int = SKETCH_K) -> DataFrame:
+    """One row with a value whose rank is close to the middle; nulls and NaN do not count.
+
+    One pass: each task folds its values into a quantile sketch of bounded size, and
+    only the sketches meet. The value is one of the column's.
+    """
+    value = nan_to_null(F.col(column).cast("double"))
+    folded = df.select(value.alias("v")).where(F.col("v").isNotNull()).agg(
+        F.kll_sketch_agg_double("v", F.lit(k)).alias("sketch"), F.count("v").alias("n")
+    )
+    middle = F.kll_sketch_get_quantile_double("sketch", F.lit(0.5).cast("double"))
+    return folded.select(F.when(F.col("n") > 0, middle).alias(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 from collections.abc import Sequence
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from clickloom.operators.metrics import classification_metrics
 from clickloom.plans import boosting
 from clickloom.schemas import FEATURE_COLUMNS, LABEL
-from clickloom.sources.files import existing
+from clickloom.sources.files import Folder, existing
 
 # ---------------------------------------------------------------------------
 # Base parameters and search ranges.
@@ -219,14 +220,14 @@ REGISTRY = T.StructType(
 def open_registry(spark: SparkSession, path: str) -> DataFrame:
     """The registry at `path`, which is created if nothing is there."""
     if not existing(spark, [path]):
-        spark.createDataFrame([], REGISTRY).write.parquet(path)
-    return spark.read.schema(REGISTRY).parquet(path)
+        spark.createDataFrame([], REGISTRY).write.mode("ignore").parquet(path)
+    return spark.read.schema(REGISTRY).option("recursiveFileLookup", "true").parquet(path)
 
 
 def register_model(
     registry: DataFrame, name: str, model_uri: str, metrics: dict[str, float], training_date: str
 ) -> DataFrame:
-    """The registry row of the next version of `name`, ready to be appended."""
+    """The registry row of the next version of `name`, as far as `registry` tells."""
     spark = registry.sparkSession
     measured = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in metrics.items()]))
     last = registry.where(F.col("name") == name).agg(F.coalesce(F.max("version"), F.lit(0)))
@@ -241,6 +242,25 @@ def register_model(
     )
 
 
+def commit_model(
+    spark: SparkSession, path: str, name: str, model_uri: str, metrics: dict[str, float], training_date: str
+) -> int:
+    """Adds the next version of `name` to the registry at `path` and returns it.
+
+    Each version is a folder, as writers into one folder disturb each other. A version belongs to whoever creates its marker, which one of several can; the
+    others try the next. A run that breaks off in between leaves its number unused.
+    """
+    registry = open_registry(spark, path)
+    taken = Folder(spark, f"{path}/_versions")
+    row = register_model(registry, name, model_uri, metrics, training_date)
+    key = hashlib.md5(name.encode()).hexdigest()
+    version = row.first().version
+    while not taken.create(f"{key}-{version}"):
+        version += 1
+    row.withColumn("version", F.lit(version)).write.parquet(f"{path}/{key}-{version}")
+    return version
+
+
 def latest_model(registry: DataFrame) -> DataFrame:
     """The newest version of each model: what the alias 'current' points at."""
     rest = [c for c in registry.columns if c not in ("name", "version")]

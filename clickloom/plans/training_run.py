@@ -83,10 +83,9 @@ def train_and_register(
         return training.RunResult("error", error=str(problem))
     done = (f"{folder}/model", metrics, params)
     try:
-        known = training.open_registry(spark, registry)
-        training.register_model(
-            known, training.MODEL_NAME, f"{folder}/model", metrics, training_date
-        ).write.mode("append").parquet(registry)
+        training.commit_model(
+            spark, registry, training.MODEL_NAME, f"{folder}/model", metrics, training_date
+        )
     except Exception as problem:
         return training.RunResult("partial_success", *done, error=str(problem))
     return training.RunResult("success", *done)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from clickloom.operators.sessions import with_session_counts
 from clickloom.operators.upsert import latest_per_key
 from clickloom.schemas import FACT_EVENTS, RAW_EVENT
 from clickloom.session import stored
-from clickloom.sources.tables import laid_out
+from clickloom.sources.indexed import write_indexed
 
 # What makes two raw events the same record.
 CONTENT_FIELDS = [
@@ -107,8 +109,9 @@ def write_star_schema(events: DataFrame, root: str) -> None:
 
     The source is read once and landed as parquet, from which each table reads its
     columns. Rows alike in all columns are one event. The fact is partitioned by day
-    and sorted by session inside its files. Price and brand of a product are those
-    of its newest event.
+    and laid out for lookups by user, product, category and session; the events that cart
+    reports read lie beside it once more, by session and product. Price and brand of a
+    product are those of its newest event.
     """
     events = stored(events.distinct(), "raw-events")
     products = latest_per_key(
@@ -122,8 +125,30 @@ def write_star_schema(events: DataFrame, root: str) -> None:
     dim_product(products).write.parquet(f"{root}/dim_product")
     dim_category(events).write.parquet(f"{root}/dim_category")
     dim_date(events).write.parquet(f"{root}/dim_date")
-    fact = laid_out(fact_events(events), ["event_date"], ["user_session"])
-    fact.write.partitionBy("event_date").parquet(f"{root}/fact_events")
+    fact = stored(fact_events(events), "fact")
+    write_fact(fact, f"{root}/fact_events", ["event_date"])
+    write_cart_purchases(fact, f"{root}/fact_cart_purchase")
+
+
+#: Columns that the fact is looked up by, beside its day, and those whose values place a row;
+#: a category goes with its products.
+FACT_LOOKUPS = ["user_id", "product_id", "category_id", "user_session"]
+FACT_CLUSTERS = ["user_id", "product_id", "user_session"]
+CART_PURCHASE = ("cart", "purchase")
+
+
+def write_fact(fact: DataFrame, path: str, partition_by: Sequence[str] = (), **layout) -> None:
+    """The fact laid out for lookups by each of FACT_LOOKUPS."""
+    write_indexed(fact, path, FACT_CLUSTERS, FACT_LOOKUPS, partition_by, **layout)
+
+
+def write_cart_purchases(
+    fact: DataFrame, path: str, types: Sequence[str] = CART_PURCHASE, **layout
+) -> None:
+    """What a partial index holds: the rows and columns of `types`, by session and product."""
+    rows = fact.where(F.col("event_type").isin(*types))
+    columns = rows.select("event_type", "user_session", "product_id", "event_key", "event_date")
+    write_indexed(columns, path, ["user_session", "product_id"], **layout)
 
 
 def vw_user_session_summary(

@@ -107,6 +107,7 @@ class Folder:
     """A folder of any file system that Spark reaches, with few names in it."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
+        self._jvm = spark._jvm
         self._at = spark._jvm.org.apache.hadoop.fs.Path(path)
         self._files = self._at.getFileSystem(spark._jsc.hadoopConfiguration())
         self._child = lambda name: spark._jvm.org.apache.hadoop.fs.Path(self._at, name)
@@ -117,11 +118,21 @@ class Folder:
         return sorted(s.getPath().getName() for s in self._files.listStatus(self._at))
 
     def create(self, name: str) -> bool:
-        """Makes an empty file; False if it is there. Of several that try, one succeeds."""
+        """Makes an empty file; False if it is there. Of several that try, one succeeds, as
+        far as the file system creates files exclusively."""
+        child = self._child(name)
         try:
-            self._files.create(self._child(name), False).close()
+            if self._files.getUri().getScheme() == "file":  # looks first and then creates
+                self._files.mkdirs(self._at)
+                local = self._files.pathToFile(child).toPath()
+                none = self._jvm.java.lang.reflect.Array.newInstance(
+                    self._jvm.java.lang.Class.forName("java.nio.file.attribute.FileAttribute"), 0
+                )
+                self._jvm.java.nio.file.Files.createFile(local, none)
+            else:
+                self._files.create(child, False).close()
         except Py4JJavaError as problem:
-            if not self._files.exists(self._child(name)):
+            if not self._files.exists(child):
                 raise problem
             return False
         return True

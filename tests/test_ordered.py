@@ -83,3 +83,21 @@ def test_classification_metrics(spark, kind):
     found = {r.metric: r.value for r in classification_metrics(df, "y", "p").collect()}
     for name, value in _metrics_by_hand(rows).items():
         assert found[name] == (value if value is None else pytest.approx(value, abs=1e-9)), name
+
+
+def test_approximate_median_is_near_the_middle(spark):
+    import bisect
+    import random
+
+    from clickloom.operators.median import approximate_median
+
+    draw = random.Random(1)
+    values = sorted(draw.lognormvariate(0, 2) for _ in range(100_000))
+    rows = [(v,) for v in values] + [(None,), (float("nan"),)] * 50_000
+    df = spark.createDataFrame(rows, "v double").repartition(16)
+    found = approximate_median(df, "v").first()[0]
+    assert found in values and abs(bisect.bisect(values, found) / len(values) - 0.5) < 0.02
+    plan = approximate_median(df, "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_kll_sketch_agg_double") == 1
+    assert approximate_median(df.where("v < 0"), "v").first()[0] is None
+    assert approximate_median(spark.createDataFrame([(3.5,)], "v double"), "v").first()[0] == 3.5

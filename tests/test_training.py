@@ -84,6 +84,43 @@ def test_registry(spark):
     assert latest == {"m": (2, "runs:/2/model", "current"), "other": (1, "runs:/9/model", "current")}
 
 
+def test_two_registrations_at_once_get_two_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "registry")
+    T.open_registry(spark, path)
+
+    def register(n):
+        return T.commit_model(spark, path, "m", f"runs:/{n}/model", {"auc": 0.5}, "2024-01-01")
+
+    with ThreadPoolExecutor(6) as pool:
+        versions = list(pool.map(register, range(12)))
+    assert len(set(versions)) == 12
+    rows = T.open_registry(spark, path).collect()
+    assert sorted(r.version for r in rows) == sorted(versions) and len({r.model_uri for r in rows}) == 12
+    assert T.commit_model(spark, path, "other", "runs:/x/model", {}, "2024-01-01") == 1
+    assert T.latest_model(T.open_registry(spark, path)).where("name = 'm'").first().version == max(versions)
+
+
+def test_a_version_that_was_lost_is_not_given_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "registry")
+    assert T.commit_model(spark, path, "m", "runs:/1/model", {}, "2024-01-01") == 1
+    register = T.register_model
+
+    class Lost:
+        def first(self):
+            return register(T.open_registry(spark, path), "m", "", {}, "").first()
+
+        def withColumn(self, *_):
+            raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(T, "register_model", lambda *_: Lost())
+    with pytest.raises(RuntimeError):
+        T.commit_model(spark, path, "m", "runs:/2/model", {}, "2024-01-01")
+    monkeypatch.setattr(T, "register_model", register)
+    assert T.commit_model(spark, path, "m", "runs:/3/model", {}, "2024-01-01") == 3
+
+
 def test_latest_model_file(spark):
     def newest(*names):
         df = spark.createDataFrame([(n,) for n in names], "file_name string")
