@@ -33,6 +33,9 @@ BLOCK = WINDOW // 2
 #: Text whose windows a task gathers before it sends them.
 BATCH_BYTES = 16 << 20
 
+#: Bits in which documents with hits are marked.
+SLOTS = 1 << 26
+
 _PACKED = "part int, known long, docs binary, counts binary, keys binary, blocks binary"
 _DEALT = "docs_group int, docs binary, counts binary, keys binary"
 _HITS = "doc_id long, keys binary"
@@ -51,10 +54,16 @@ def without_repeats(
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = min(parts_for(rows, 8 << 20), 1 << 17)
-    anchored = _shared(rows, parts, _probes, anchors=True)
+    anchored = stored(_shared(rows, parts, _probes, anchors=True), "anchored")
+    marked = _marked(rows, anchored)
+    # only texts that may have hits are shuffled to meet them
+    suspected = marked.filter("marked").select("doc_id", "text")
+    columns = ["doc_id", "n_words", "n_removed"]
+    untouched = _joined(marked.filter("not marked").select("doc_id", "text"))
+
     touched = F.col("starts").isNotNull()
     screened = stored(
-        _screened(rows, anchored, parts).select(
+        _screened(suspected, anchored, parts).select(
             "doc_id",
             "n_words",
             F.when(~touched, finish(F.col("text"))).alias("kept"),
@@ -66,11 +75,56 @@ def without_repeats(
     suspects = screened.filter(touched).select("doc_id", "n_words", "text", "starts")
     repeated = _shared(suspects, parts, _windows, anchors=False)
     cut = _cut(suspects, repeated)
-    columns = ["doc_id", "n_words", "n_removed"]
-    clean = screened.filter(~touched).withColumn("n_removed", F.lit(0).cast("long"))
-    return clean.select(*columns, "kept").unionByName(
-        cut.select(*columns, finish(F.col("text")).alias("kept"))
+    none = F.lit(0).cast("long").alias("n_removed")
+    clean = screened.filter(~touched).select("doc_id", "n_words", none, "kept")
+    return (
+        untouched.select("doc_id", "n_words", none, finish(F.col("text")).alias("kept"))
+        .unionByName(clean)
+        .unionByName(cut.select(*columns, finish(F.col("text")).alias("kept")))
+    )
+
+
+# ---- documents that may have hits
+
+
+def _marked(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """`rows` with `marked`, true for each whose doc_id is in `found` and for few others.
+
+    The doc_ids' hashes are marked in SLOTS bits, whatever their number, so the broadcast
+    has a fixed size. With very many, more rows are marked than need be.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    slots = found.select(slot.alias("slot"))
+    bits = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    placed = rows.withColumn("bucket", F.bitmap_bucket_number(slot)).withColumn(
+        "place", F.bitmap_bit_position(slot)
     )
+    byte = F.substring("bits", (F.col("place") / 8).cast("int") + 1, F.lit(1))
+    bit = F.expr("shiftright(int(conv(hex(byte), 16, 10)), int(place % 8)) & 1")
+    # bounded: SLOTS / 8 bytes
+    met = placed.join(F.broadcast(bits), "bucket", "left").withColumn("byte", byte)
+    return met.select("doc_id", "text", (F.coalesce(bit, F.lit(0)) == 1).alias("marked"))
+
+
+def _joined(rows: DataFrame) -> DataFrame:
+    """doc_id, n_words and text: the words joined by one space."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in slices(batch):
+                words = [_words(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array([len(w) for w in words], pa.int64()),
+                        pa.array([b" ".join(w).decode() for w in words], pa.string()),
+                    ],
+                    names=["doc_id", "n_words", "text"],
+                )
+
+    return mapped(rows, run, "doc_id long, n_words long, text string")
 
 
 # ---- windows that documents share

@@ -66,3 +66,36 @@ def test_many_batches(spark, monkeypatch):
 
 def test_empty_table(empty):
     assert repeats.without_repeats(empty).count() == 0
+
+
+def test_marks_miss_no_document(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    draw = random.Random(3)
+    ids = [draw.randint(-(2**62), 2**62) for _ in range(3000)] + list(range(-20, 3000))
+    hits = set(ids[::3])
+    rows = spark.createDataFrame([(i, "t") for i in ids] + [(None, "t")], "doc_id long, text string")
+    found = spark.createDataFrame([(i, b"") for i in hits], "doc_id long, keys binary")
+    marked = {r.doc_id for r in repeats._marked(rows, found).filter("marked").collect()}
+    assert hits <= marked and len(marked - hits) < 5
+    none = repeats._marked(rows, found.limit(0))
+    assert none.count() == len(ids) + 1 and none.filter("marked").count() == 0
+
+
+def test_texts_without_hits_are_not_shuffled(spark):
+    """Texts of one passage meet; the others pass from the scan to the result."""
+    passage = " ".join(f"q{i}" for i in range(60))
+    rows = [(n, " ".join(f"w{n}_{i}" for i in range(200))) for n in range(300)]
+    rows += [(1000 + n, f"x{n} {passage}") for n in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    asked = []
+    screened = repeats._screened
+    repeats._screened = lambda rows, *a: asked.append(rows) or screened(rows, *a)
+    try:
+        found = repeats.without_repeats(frame).collect()
+    finally:
+        repeats._screened = screened
+    assert {r.doc_id for r in asked[0].collect()} == {1000 + n for n in range(5)}
+    assert sum(r.n_removed for r in found) == 4 * 60 and len(found) == 305
