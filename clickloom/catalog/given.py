@@ -18,3 +18,15 @@ LOOKUP_PRODUCT = 42
 
 #: Per cent of the rows that an approximate median may lie off the middle.
 MEDIAN_ERROR = 2
+
+#: Trials of a search: features, learning rate, least weight of a leaf, least gain.
+TRIALS = [
+    (("price",), 1.0, 1.0, 0.0),
+    (("event_weekday",), 1.0, 1.0, 0.0),
+    (("activity_count",), 1.0, 1.0, 0.0),
+    (("price", "event_weekday", "activity_count"), 1.0, 1.0, 0.0),
+    (("price", "event_weekday", "activity_count"), 0.3, 1.0, 0.0),
+    (("event_weekday", "activity_count"), 0.5, 40.0, 0.0),
+    (("price", "activity_count"), 1.0, 1.0, 1000000.0),
+]
+TRIAL_FEATURES = ("price", "event_weekday", "activity_count")

@@ -7,7 +7,14 @@ checks the Spark side's method and not only its wiring.
 
 from __future__ import annotations
 
-from clickloom.catalog.given import LOOKUP_PRODUCT, PLANTED_PRICE, PLANTED_WEEKDAY, STUMPS
+from clickloom.catalog.given import (
+    LOOKUP_PRODUCT,
+    PLANTED_PRICE,
+    PLANTED_WEEKDAY,
+    STUMPS,
+    TRIAL_FEATURES,
+    TRIALS,
+)
 
 # Building blocks, in the order a statement may need them.
 _BLOCKS = {
@@ -178,20 +185,49 @@ _ONLINE = """
            CAST({ts} AS VARCHAR) AS event_timestamp
     FROM online"""
 
-_TRIALS = " UNION ALL ".join(
-    f"SELECT {i} AS trial_id, '{f}' AS feature, CAST({f} AS VARCHAR) AS value, is_purchased AS y "
-    "FROM feat"
-    for i, f in enumerate(
-        [
-            "brand",
-            "price",
-            "event_weekday",
-            "category_code_level1",
-            "category_code_level2",
-            "activity_count",
-        ]
-    )
+# Each trial grows one tree of one split from a margin of 0: gradients are 0.5 - y,
+# weights 0.25 a row.
+_TRIAL_ROWS = ", ".join(
+    f"({i}, '{','.join(names)}', {names.index(f)}, '{f}', {rate}::DOUBLE, {weight}::DOUBLE, {gain}::DOUBLE)"
+    for i, (names, rate, weight, gain) in enumerate(TRIALS)
+    for f in names
+)
+_VALUES = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v, is_purchased AS y FROM feat"
+    for f in TRIAL_FEATURES
 )
+_SEARCH = _with("feat") + f"""
+        , point(trial_id, features, no, feature, rate, weight, least_gain) AS (VALUES {_TRIAL_ROWS}),
+        bins AS (SELECT feature, v, count(*) AS n, sum(y) AS s FROM ({_VALUES}) GROUP BY feature, v),
+        cuts AS (
+            SELECT feature, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+                   sum(n) OVER (PARTITION BY feature) AS n, sum(s) OVER (PARTITION BY feature) AS s
+            FROM bins WINDOW w AS (PARTITION BY feature ORDER BY v)),
+        sums AS (
+            SELECT *, 0.5::DOUBLE * nl - sl AS gl, 0.25::DOUBLE * nl AS hl,
+                   0.5::DOUBLE * (n - nl) - (s - sl) AS gr, 0.25::DOUBLE * (n - nl) AS hr,
+                   0.5::DOUBLE * n - s AS g, 0.25::DOUBLE * n AS h
+            FROM cuts),
+        gains AS (
+            SELECT *, (gl * gl / (hl + 1) + gr * gr / (hr + 1) - g * g / (h + 1)) / 2 AS gain FROM sums),
+        ranked AS (
+            SELECT *, nl < n AND hl >= weight AND hr >= weight AND gain > least_gain AS splits,
+                   row_number() OVER (PARTITION BY trial_id ORDER BY nl < n AND hl >= weight
+                       AND hr >= weight AND gain > least_gain DESC, gain DESC, no, v) AS place
+            FROM point JOIN gains USING (feature)),
+        leaves AS (
+            SELECT *, CASE WHEN splits THEN -gl / (hl + 1) * rate ELSE -g / (h + 1) * rate END AS zl,
+                   CASE WHEN splits THEN -gr / (hr + 1) * rate ELSE -g / (h + 1) * rate END AS zr
+            FROM ranked WHERE place = 1),
+        scored AS (SELECT *, 1 / (1 + exp(-zl)) AS pl, 1 / (1 + exp(-zr)) AS pr FROM leaves),
+        tried AS (
+            SELECT trial_id, features, rate AS learning_rate, weight AS min_child_weight,
+                   least_gain AS gamma,
+                   round(sqrt((sl * (1 - pl) * (1 - pl) + (nl - sl) * pl * pl
+                       + (s - sl) * (1 - pr) * (1 - pr) + ((n - nl) - (s - sl)) * pr * pr) / n), 9)
+                       AS train_rmse
+            FROM scored)
+"""
 
 # Running margins of the fixed ensemble, one for each round.
 _MARGINS = ", ".join(
@@ -545,14 +581,8 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'mae', round(mae::DOUBLE, 8) FROM sums
         UNION ALL SELECT 'auc', round(auc::DOUBLE, 8) FROM auc
         UNION ALL SELECT 'accuracy', round(1 - error::DOUBLE, 8) FROM sums""",
-    "best_trial": _with("feat")
-    + f"""
-        , t AS ({_TRIALS}),
-        fitted AS (SELECT trial_id, feature, y, avg(y) OVER (PARTITION BY trial_id, value) AS p
-                   FROM t)
-        SELECT trial_id, feature, round(sqrt(avg((y - p) * (y - p))), 9) AS train_rmse
-        FROM fitted GROUP BY trial_id, feature
-        ORDER BY train_rmse, trial_id LIMIT 1""",
+    "search_trials": _SEARCH + "SELECT * FROM tried",
+    "best_trial": _SEARCH + "SELECT * FROM tried ORDER BY train_rmse, trial_id LIMIT 1",
     "latest_model": _with("registry")
     + """
         SELECT name, version, model_uri, training_date, metrics, 'current' AS alias

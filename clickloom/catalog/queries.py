@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.catalog.given import LOOKUP_PRODUCT, MEDIAN_ERROR, PLANTED_PRICE, PLANTED_WEEKDAY, STUMPS
+from clickloom.catalog.given import (
+    LOOKUP_PRODUCT,
+    MEDIAN_ERROR,
+    PLANTED_PRICE,
+    PLANTED_WEEKDAY,
+    STUMPS,
+    TRIAL_FEATURES,
+    TRIALS,
+)
 from clickloom.functions.columns import (
     is_valid,
     parsed_timestamp,
@@ -17,7 +25,16 @@ from clickloom.operators import encode, lookup, metrics, quality, sessions, upse
 from clickloom.operators.measure import LoadMeasure
 from clickloom.operators.median import approximate_median, exact_median
 from clickloom.operators.ordered import number_rows
-from clickloom.plans import boosting, features, preparation, scoring, training, training_run, warehouse
+from clickloom.plans import (
+    boosting,
+    features,
+    preparation,
+    scoring,
+    search,
+    training,
+    training_run,
+    warehouse,
+)
 from clickloom.schemas import (
     CATEGORICAL_COLUMNS,
     FEATURE_COLUMNS,
@@ -639,43 +656,31 @@ def metric_history(spark: SparkSession, sf: str) -> DataFrame:
     return measured.select("part", "metric", "step", F.round("value", 8).alias("value"))
 
 
-def _trials(frame: DataFrame) -> DataFrame:
-    """(trial_id, feature, train_rmse): one trial per feature, predicting the
-    label by its mean among rows with the same value.
-
-    All trials share one scan and one shuffle, and only counts per value move:
-    with n rows, s labels and q squared labels per value, the squared error is
-    the sum of q - s^2 / n.
-    """
-    y = F.col(LABEL).cast("double")
-    entries = [
-        F.struct(
-            F.lit(i).alias("trial_id"),
-            F.lit(name).alias("feature"),
-            F.col(name).cast("string").alias("value"),
-            y.alias("y"),
-        )
-        for i, name in enumerate(FEATURE_COLUMNS)
+def _search(spark: SparkSession, sf: str) -> DataFrame:
+    """The trial table of a search over the given points: trees of one split, grown
+    together on all rows."""
+    points = [
+        search.Trial(1, rate, weight, gamma=gain, features=names) for names, rate, weight, gain in TRIALS
     ]
-    error = F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n"))
-    return (
-        frame.select(F.inline(F.array(*entries)))
-        .groupBy("trial_id", "feature", "value")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("y").alias("s"),
-            F.sum(F.col("y") * F.col("y")).alias("q"),
-        )
-        .groupBy("trial_id", "feature")
-        .agg(F.sqrt(error / F.sum("n")).alias("train_rmse"))
-    )
+    cells, _ = search.binned(_features(spark, sf), TRIAL_FEATURES, LABEL, ["event_id"], bins=256)
+    errors = search.grown(cells, TRIAL_FEATURES, points)
+    rows = [
+        (n, ",".join(names), rate, weight, gain, error)
+        for n, ((names, rate, weight, gain), error) in enumerate(zip(TRIALS, errors))
+    ]
+    columns = "trial_id int, features string, learning_rate double, min_child_weight double, gamma double"
+    path = scratch_path(spark, "trials")
+    spark.createDataFrame(rows, f"{columns}, train_rmse double").coalesce(1).write.parquet(path)
+    return spark.read.parquet(path).withColumn("train_rmse", F.round("train_rmse", 9))
+
+
+def search_trials(spark: SparkSession, sf: str) -> DataFrame:
+    return _search(spark, sf)
 
 
 def best_trial(spark: SparkSession, sf: str) -> DataFrame:
-    """Each trial predicts the label by its mean per value of one feature."""
-    trials = _trials(_features(spark, sf))
-    best = training.best_trial(trials)
-    return best.withColumn("train_rmse", F.round("train_rmse", 9))
+    """The best row of the table that the search wrote."""
+    return training.best_trial(_search(spark, sf))
 
 
 def _registry(spark: SparkSession, sf: str) -> DataFrame:
@@ -814,6 +819,7 @@ QUERIES: dict[str, Query] = {
         stream_sessions,
         classification_metrics,
         metric_history,
+        search_trials,
         best_trial,
         latest_model,
         latest_model_file,

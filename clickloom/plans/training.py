@@ -6,12 +6,10 @@ import hashlib
 import math
 import random
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.operators.metrics import classification_metrics
-from clickloom.plans import boosting
+from clickloom.plans import boosting, search
 from clickloom.schemas import FEATURE_COLUMNS, LABEL
 from clickloom.sources.files import Folder, existing
 
@@ -166,30 +164,38 @@ def random_search(
     trials: int = NUM_TRIALS,
     rounds: int = 1,
     seed: int = 42,
-    parallelism: int = 2,
+    parallelism: int = 20,
+    features: Sequence[str] = tuple(FEATURE_COLUMNS),
+    label: str = LABEL,
 ) -> DataFrame:
     """One row per trial with its parameters and error.
 
-    Trials are independent Spark jobs submitted side by side; the frame is kept
-    in executor memory, with disk behind it, while they read it.
+    The rows are binned and folded once, and `parallelism` trials at a time share each pass
+    over them; how many does not change what they find. Rows a trial does not sample
+    take part in its error.
     """
     spark = frame.sparkSession
-    rows = frame.persist()
-
-    def run(trial: int) -> tuple:
-        point = sample_params(seed + trial)
-        model = train(rows, {**point, "num_boost_round": rounds}, seed=seed)
-        scored = score(model, rows).withColumn(LABEL, F.col(LABEL).cast("double"))
-        rmse = RegressionEvaluator(
-            predictionCol="prediction_score", labelCol=LABEL, metricName="rmse"
-        ).evaluate(scored)
-        return (trial, *[float(point[name]) for name in SEARCH_SPACE], rmse)
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            results = list(pool.map(run, range(trials)))
-    finally:
-        rows.unpersist()
+    points = [sample_params(seed + trial) for trial in range(trials)]
+    cells, _ = search.binned(frame, features, label)
+    errors: list[float] = []
+    for start in range(0, trials, parallelism):
+        some = [
+            search.Trial(
+                max_depth=point["max_depth"],
+                learning_rate=point["learning_rate"],
+                min_child_weight=point["min_child_weight"],
+                subsample=point["subsample"],
+                columns=point["colsample_bytree"],
+                gamma=point["gamma"],
+                seed=seed + start + n,
+            )
+            for n, point in enumerate(points[start : start + parallelism])
+        ]
+        errors += search.grown(cells, list(features), some, rounds)
+    results = [
+        (trial, *[float(point[name]) for name in SEARCH_SPACE], error)
+        for trial, (point, error) in enumerate(zip(points, errors))
+    ]
     return spark.createDataFrame(results, TRIALS)
 
 
@@ -221,7 +227,7 @@ def open_registry(spark: SparkSession, path: str) -> DataFrame:
     """The registry at `path`, which is created if nothing is there."""
     if not existing(spark, [path]):
         spark.createDataFrame([], REGISTRY).write.mode("ignore").parquet(path)
-    return spark.read.schema(REGISTRY).option("recursiveFileLookup", "true").parquet(path)
+    return spark.read.schema(REGISTRY).parquet(path)
 
 
 def register_model(
@@ -247,7 +253,7 @@ def commit_model(
 ) -> int:
     """Adds the next version of `name` to the registry at `path` and returns it.
 
-    Each version is a folder, as writers into one folder disturb each other. A version belongs to whoever creates its marker, which one of several can; the
+    The row is written aside and moved in, as writers into one folder disturb each other. A version belongs to whoever creates its marker, which one of several can; the
     others try the next. A run that breaks off in between leaves its number unused.
     """
     registry = open_registry(spark, path)
@@ -257,7 +263,12 @@ def commit_model(
     version = row.first().version
     while not taken.create(f"{key}-{version}"):
         version += 1
-    row.withColumn("version", F.lit(version)).write.parquet(f"{path}/{key}-{version}")
+    aside = f"_staging-{key}-{version}"
+    row.withColumn("version", F.lit(version)).coalesce(1).write.parquet(f"{path}/{aside}")
+    folder, written = Folder(spark, path), Folder(spark, f"{path}/{aside}")
+    (file,) = (n for n in written.names() if n.startswith("part-"))
+    folder.move(f"{aside}/{file}", f"{key}-{version}.parquet")
+    folder.delete(aside)
     return version
 
 

@@ -137,6 +137,11 @@ class Folder:
             return False
         return True
 
+    def move(self, name: str, target: str) -> None:
+        """Renames within the folder; the target must not be there."""
+        if not self._files.rename(self._child(name), self._child(target)):
+            raise OSError(f"{name} could not become {target}")
+
     def delete(self, name: str) -> None:
         self._files.delete(self._child(name), True)
 
