@@ -2,8 +2,17 @@
 
 The alphabet is words. Of the K-mers of a text, those count whose smallest inner
 S-mer, by hash, is their first or their last. Whether a K-mer counts depends on
-itself alone, so equal passages give equal anchors wherever they stand. All of it is
-DataFrame functions.
+itself alone, so equal passages give equal anchors wherever they stand.
+
+A fingerprint is the distinct anchors in text order. Two are matched by position: an
+anchor of both has a place in either, and passages that stand in the same order
+shift their places alike. The shift that most common anchors have, give or take a
+sixteenth of the longer fingerprint, tells how much is alike in order; the same passages in
+another order agree on no shift.
+
+The next document is found on keys alone, which are put in order slice by slice; each
+document then sends the one before it what that needs of it, the beginning of its
+text and its fingerprint. All of it is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -11,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.words import parts_for
+from clickloom.session import stored
 
 K, S = 6, 2
 _INNER = K - S + 1
@@ -71,77 +80,134 @@ def anchors(text: Column) -> Column:
     return _closed(text, lambda i, h: F.struct(i.alias("position"), h.alias("hash")))
 
 
-def anchor_hashes(text: Column) -> Column:
-    """The distinct hashes of the anchors, in text order."""
-    return F.array_distinct(_closed(text, lambda i, h: h))
+def fingerprint(text: Column) -> Column:
+    """The distinct anchors in text order, each as 31 bits of its hash."""
+    return F.array_distinct(_closed(text, lambda i, h: h.bitwiseAND(0x7FFFFFFF).cast("int")))
 
 
-def printed(hashes: Column) -> Column:
-    """The distinct anchors in text order: eight hexadecimal digits each, for the lower
-    31 bits under a leading one."""
-    digits = F.transform(hashes, lambda h: F.hex(h.bitwiseAND(0x7FFFFFFF).bitwiseOR(0x80000000)))
+def printed(marks: Column) -> Column:
+    """A fingerprint as text: eight hexadecimal digits for each anchor, under a leading one bit."""
+    digits = F.transform(marks, lambda m: F.hex(m.cast("long").bitwiseOR(0x80000000)))
     return F.array_join(digits, "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the common anchors as a share of both texts' anchors; two texts without
-    anchors are alike."""
+    """Twice the anchors that two fingerprints have in common under one shift, as a share
+    of the anchors of both; two without anchors are alike."""
     both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(a, b)) / both)
+
+    def placed(marks: Column, side: int) -> Column:
+        return F.transform(
+            marks, lambda m, i: F.struct(m.alias("mark"), F.lit(side).alias("side"), i.alias("at"))
+        )
+
+    def of_merged(merged: Column) -> Column:
+        # an anchor of both stands twice, side by side
+        shifts = F.zip_with(
+            F.slice(merged, F.lit(1), F.size(merged) - 1),
+            F.slice(merged, F.lit(2), F.size(merged) - 1),
+            lambda x, y: F.when(x["mark"] == y["mark"], y["at"] - x["at"]),
+        )
+        width = F.greatest(F.lit(2), F.ceil(F.greatest(F.size(a), F.size(b)) / 8).cast("int"))
+        return _bound(
+            F.array_compact(shifts),
+            lambda d: F.greatest(_longest(d, width, F.lit(0)), _longest(d, width, F.floor(width / 2).cast("int"))),
+        )
+
+    merged = F.array_sort(F.concat(placed(a, 0), placed(b, 1)))
+    common = F.when(both > 1, _bound(merged, of_merged)).otherwise(F.lit(0))
+    return F.when(both == 0, F.lit(1.0)).otherwise(2 * common / both)
+
+
+def _longest(shifts: Column, width: Column, offset: Column) -> Column:
+    """How many shifts fall into the cell of `width` that holds most of them."""
+    cells = F.array_sort(F.transform(shifts, lambda d: F.floor((d + offset) / width)))
+
+    def of_cells(c: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(c)),
+            lambda i: (i == 0) | (i == F.size(c)) | (F.get(c, i) != F.get(c, i - 1)),
+        )
+        return _bound(
+            starts,
+            lambda s: F.array_max(
+                F.zip_with(
+                    F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s) - 1), lambda x, y: y - x
+                )
+            ),
+        )
+
+    return F.when(F.size(shifts) > 0, _bound(cells, of_cells)).otherwise(F.lit(0))
+
+
+# ---- the next document
+
+
+def _preceded(keys: DataFrame) -> DataFrame:
+    """`keys` (doc_id, text_key, n_chars), each once, with `before`, the key that comes
+    before it; before the first comes the last."""
+    ranges = keys.repartitionByRange("doc_id", "text_key").withColumn("slice", F.spark_partition_id())
+    sliced = stored(ranges, "keys")
+    own = F.struct("doc_id", "text_key", "n_chars")
+    # one row for each slice
+    along = Window.orderBy("slice")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = sliced.groupBy("slice").agg(F.max(own).alias("end"))
+    carried = F.coalesce(F.lag("end").over(along), F.last("end").over(whole))
+    ends = ends.select("slice", carried.alias("carried"))
+    inside = Window.partitionBy("slice").orderBy("doc_id", "text_key")
+    before = F.coalesce(F.lag(own).over(inside), "carried")
+    return sliced.join(F.broadcast(ends), "slice").withColumn("before", before).drop("slice")
+
+
+def _keyed(documents: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text.alias("text"),
+        F.unhex(F.md5(text.cast("binary"))).alias("text_key"),
+    )
 
 
 def with_next(documents: DataFrame) -> DataFrame:
-    """doc_id, text, hashes (the anchors), next_text and next_hashes of every row, in
-    the order of doc_id, then text; after the last comes the first.
+    """doc_id, text, next_marks (the next document's fingerprint) and next_text of every
+    row, the latter as far as edited() needs it: a quarter of the text's length.
 
-    Rows are dealt into slices of consecutive doc_ids. Inside a slice the next row is
-    found by a window; the last row takes the first of the next slice, of which
-    there is one row per slice. Null is the empty text. A row without doc_id has no
-    place in the order: its next is the first. A single row is its own next.
+    Documents come in the order of doc_id, then of a hash of the text; after the last comes the
+    first, and rows alike in both have the same next. Null is the empty text. A row
+    without doc_id has no place in the order: its next is the first. A single document
+    is its own next.
     """
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = _keyed(documents)
     placed = rows.filter("doc_id is not null")
-    slices = parts_for(rows, 16 << 20)
-    shares = [i / slices for i in range(1, slices)]
-    # one boundary per slice comes to the driver
-    cuts = placed.agg(F.percentile_approx("doc_id", shares, 20 * slices)).first()[0] or []
-    boundaries = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    number = F.size(F.filter(boundaries, lambda c: c <= F.col("doc_id")))
-    placed = placed.withColumn("slice", number)
-    starts = [r[0] for r in placed.groupBy("slice").agg(F.min("doc_id")).select("min(doc_id)").collect()]
-    firsts = (
-        placed.filter(F.col("doc_id").isin(starts))
-        .groupBy("slice")
-        .agg(F.min(F.struct("doc_id", "text"))["text"].alias("first_text"))
-        .withColumn("first_hashes", anchor_hashes(F.col("first_text")))
-        .withColumn("first", F.struct("first_text", "first_hashes"))
-    )
-    # one row per slice
-    along = Window.orderBy("slice")
-    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follow = firsts.select(
-        "slice",
-        F.coalesce(F.lead("first").over(along), F.first("first").over(whole)).alias("follow"),
+    keys = placed.groupBy("doc_id", "text_key").agg(F.max(F.length("text")).alias("n_chars"))
+    order = stored(_preceded(keys), "order")
+    key = ["doc_id", "text_key"]
+    met = placed.hint("merge").join(order.select(*key, "before"), key)
+    # rows of a key lie together; one of them is sent
+    sent = met.dropDuplicates(key).select(
+        F.col("before.doc_id").alias("doc_id"),
+        F.col("before.text_key").alias("text_key"),
+        F.substring("text", F.lit(1), F.floor(F.col("before.n_chars") / 4).cast("int")).alias("next_text"),
+        fingerprint(F.col("text")).alias("next_marks"),
     )
-    inside = Window.partitionBy("slice").orderBy("doc_id", "text")
-    held = F.struct(F.col("text").alias("first_text"), F.col("hashes").alias("first_hashes"))
-    # the texts are dealt out alone: their anchors would add half as much again
-    dealt = placed.repartition("slice").withColumn("hashes", anchor_hashes(F.col("text")))
-    ordered = dealt.withColumn("next", F.lead(held).over(inside))
-    ordered = ordered.join(follow, "slice").withColumn("next", F.coalesce("next", "follow"))
-    loose = rows.filter("doc_id is null").withColumn("hashes", anchor_hashes(F.col("text")))
-    first = follow.orderBy(F.desc("slice")).limit(1).select(F.col("follow").alias("next"))
+    ordered = placed.hint("merge").join(sent.hint("merge"), key)
+
+    loose = rows.filter("doc_id is null")
+    least = order.agg(F.min(F.struct(*key)).alias("least")).first().least
+    if least is None:
+        first = loose.sparkSession.createDataFrame([("",)], "first_text string")
+    else:
+        same = (F.col("doc_id") == F.lit(least.doc_id)) & (F.col("text_key") == F.lit(bytes(least.text_key)))
+        first = placed.filter(same).limit(1).select(F.col("text").alias("first_text"))
     # bounded: the one first row
-    loose = loose.join(F.broadcast(first), how="left")
-    columns = ["doc_id", "text", "hashes", "next"]
-    both = ordered.select(columns).unionByName(loose.select(columns))
-    return both.select(
+    loose = loose.join(F.broadcast(first)).select(
         "doc_id",
         "text",
-        "hashes",
-        F.coalesce("next.first_text", F.lit("")).alias("next_text"),
-        F.coalesce("next.first_hashes", F.array().cast("array<bigint>")).alias("next_hashes"),
+        F.substring("first_text", F.lit(1), F.floor(F.length("text") / 4).cast("int")).alias("next_text"),
+        fingerprint(F.col("first_text")).alias("next_marks"),
     )
+    return ordered.select("doc_id", "text", "next_text", "next_marks").unionByName(loose)
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -151,15 +217,18 @@ def edited(text: Column, other: Column) -> Column:
 
 
 def compared(documents: DataFrame) -> DataFrame:
-    """Fingerprints of every text and of its edited form, and their likeness."""
+    """Fingerprints of every text and of its edited form, and their likeness. The
+    order and what else holds for odd rows, see with_next()."""
     rows = with_next(documents).withColumn("edited_text", edited(F.col("text"), F.col("next_text")))
-    rows = rows.withColumn("edited_hashes", anchor_hashes(F.col("edited_text")))
+    rows = rows.withColumns(
+        {"marks": fingerprint(F.col("text")), "edited_marks": fingerprint(F.col("edited_text"))}
+    )
     return rows.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
-        printed(F.col("hashes")).alias("fingerprint"),
-        printed(F.col("edited_hashes")).alias("edited_fingerprint"),
-        likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
-        likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+        printed(F.col("marks")).alias("fingerprint"),
+        printed(F.col("edited_marks")).alias("edited_fingerprint"),
+        likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
+        likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),
     )

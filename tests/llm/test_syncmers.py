@@ -83,8 +83,65 @@ def test_odd_rows(spark, odd, empty):
         assert r.edited_sha256 in {hashlib.sha256(t.encode()).hexdigest() for t in expected[doc]}
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
     assert unique[5].near_next == 1.0 and unique[5].fingerprint == unique[6].fingerprint
+    assert len({r.edited_sha256 for r in rows if r.doc_id == 9}) == 1  # alike rows have one next
     assert syncmers.compared(empty).count() == 0
     single = syncmers.compared(odd.filter("doc_id = 8")).collect()
     check({8: single[0]}, [(8, odd.filter("doc_id = 8").first().text)])
     loose = syncmers.compared(odd.filter("doc_id is null")).collect()
     assert len(loose) == 2
+
+
+def by_hand(a, b):
+    """Likeness of two printed fingerprints, from what is printed alone."""
+    a, b = ([x[i : i + 8] for i in range(0, len(x), 8)] for x in (a, b))
+    if not a and not b:
+        return 1.0
+    shifts = [b.index(m) - i for i, m in enumerate(a) if m in b]
+    width = max(2, -(-max(len(a), len(b)) // 8))
+    best = 0
+    for offset in (0, width // 2):
+        cells = [(d + offset) // width for d in shifts]
+        best = max([best, *(cells.count(c) for c in set(cells))])
+    return 2 * best / (len(a) + len(b))
+
+
+def test_likeness_is_that_of_the_printed_fingerprints(spark):
+    rows = QUERIES["op7_closed_syncmers"](spark, "/root/testdata/sf0.001").orderBy("doc_id").collect()
+    following = [*rows[1:], rows[0]]
+    assert len(rows) == 200
+    for r, n in zip(rows, following):
+        assert abs(r.near_edited - by_hand(r.fingerprint, r.edited_fingerprint)) < 1e-12
+        assert abs(r.near_next - by_hand(r.fingerprint, n.fingerprint)) < 1e-12
+
+
+def test_matching_goes_by_position(spark):
+    draw = random.Random(4)
+    words = [f"w{draw.randint(0, 10**6)}" for _ in range(400)]
+    swapped = words[200:] + words[:200]
+    quarters = words[300:] + words[200:300] + words[100:200] + words[:100]
+    inserted = words[:150] + ["new", "words", "here"] + words[150:]
+    moved = [f"x{i}" for i in range(100)] + words
+    texts = [words, swapped, quarters, inserted, moved, words[::-1]]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "id int, text string")
+    marks = frame.select("id", syncmers.fingerprint(F.col("text")).alias("m"))
+    pairs = marks.filter("id = 0").selectExpr("m as own").join(marks)
+    found = {r.id: r.l for r in pairs.select("id", syncmers.likeness(F.col("own"), F.col("m")).alias("l")).collect()}
+    assert found[0] == 1.0 and found[3] > 0.95 and found[4] > 0.85
+    assert found[1] < 0.6 and found[2] < 0.4 and found[5] < 0.1
+
+
+def test_keys_are_followed_across_slices(spark):
+    draw = random.Random(2)
+    keys = [(draw.randint(-1000, 1000), bytes([i % 7, i // 7]), i) for i in range(200)]
+    frame = spark.createDataFrame(keys, "doc_id long, text_key binary, n_chars int").repartition(5)
+    few = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(few, "false")
+    try:
+        rows = syncmers._preceded(frame).collect()
+    finally:
+        spark.conf.unset(few)
+    order = sorted(keys)
+    before = {k[:2]: order[n - 1] for n, k in enumerate(order)}
+    assert len(rows) == 200
+    for r in rows:
+        assert tuple(r.before) == before[r.doc_id, bytes(r.text_key)]
