@@ -109,9 +109,12 @@ def likeness(a: Column, b: Column) -> Column:
             lambda x, y: F.when(x["mark"] == y["mark"], y["at"] - x["at"]),
         )
         width = F.greatest(F.lit(2), F.ceil(F.greatest(F.size(a), F.size(b)) / 8).cast("int"))
+        half = F.floor(width / 2).cast("int")
         return _bound(
-            F.array_compact(shifts),
-            lambda d: F.greatest(_longest(d, width, F.lit(0)), _longest(d, width, F.floor(width / 2).cast("int"))),
+            F.struct(F.array_compact(shifts).alias("d"), width.alias("w"), half.alias("half")),
+            lambda x: _bound(
+                x["d"], lambda d: F.greatest(_longest(d, x["w"], F.lit(0)), _longest(d, x["w"], x["half"]))
+            ),
         )
 
     merged = F.array_sort(F.concat(placed(a, 0), placed(b, 1)))
@@ -137,7 +140,8 @@ def _longest(shifts: Column, width: Column, offset: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(shifts) > 0, _bound(cells, of_cells)).otherwise(F.lit(0))
+    # mostly none or few are common
+    return F.when(F.size(shifts) > 1, _bound(cells, of_cells)).otherwise(F.size(shifts))
 
 
 # ---- the next document
@@ -162,8 +166,9 @@ def _preceded(keys: DataFrame) -> DataFrame:
 
 def _keyed(documents: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
+    # an own name: both sides of the join then are one plan, whose shuffle Spark uses twice
     return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").cast("long").alias("row_id"),
         text.alias("text"),
         F.unhex(F.md5(text.cast("binary"))).alias("text_key"),
     )
@@ -179,35 +184,37 @@ def with_next(documents: DataFrame) -> DataFrame:
     is its own next.
     """
     rows = _keyed(documents)
-    placed = rows.filter("doc_id is not null")
-    keys = placed.groupBy("doc_id", "text_key").agg(F.max(F.length("text")).alias("n_chars"))
+    placed = rows.filter("row_id is not null")
+    keys = placed.groupBy(F.col("row_id").alias("doc_id"), "text_key").agg(F.max(F.length("text")).alias("n_chars"))
     order = stored(_preceded(keys), "order")
-    key = ["doc_id", "text_key"]
+    key = ["row_id", "text_key"]
+    order = order.withColumnRenamed("doc_id", "row_id")
     met = placed.hint("merge").join(order.select(*key, "before"), key)
     # rows of a key lie together; one of them is sent
     sent = met.dropDuplicates(key).select(
-        F.col("before.doc_id").alias("doc_id"),
+        F.col("before.doc_id").alias("row_id"),
         F.col("before.text_key").alias("text_key"),
         F.substring("text", F.lit(1), F.floor(F.col("before.n_chars") / 4).cast("int")).alias("next_text"),
         fingerprint(F.col("text")).alias("next_marks"),
     )
     ordered = placed.hint("merge").join(sent.hint("merge"), key)
 
-    loose = rows.filter("doc_id is null")
+    loose = rows.filter("row_id is null")
     least = order.agg(F.min(F.struct(*key)).alias("least")).first().least
     if least is None:
         first = loose.sparkSession.createDataFrame([("",)], "first_text string")
     else:
-        same = (F.col("doc_id") == F.lit(least.doc_id)) & (F.col("text_key") == F.lit(bytes(least.text_key)))
+        same = (F.col("row_id") == F.lit(least.row_id)) & (F.col("text_key") == F.lit(bytes(least.text_key)))
         first = placed.filter(same).limit(1).select(F.col("text").alias("first_text"))
     # bounded: the one first row
     loose = loose.join(F.broadcast(first)).select(
-        "doc_id",
+        "row_id",
         "text",
         F.substring("first_text", F.lit(1), F.floor(F.length("text") / 4).cast("int")).alias("next_text"),
         fingerprint(F.col("first_text")).alias("next_marks"),
     )
-    return ordered.select("doc_id", "text", "next_text", "next_marks").unionByName(loose)
+    both = ordered.select("row_id", "text", "next_text", "next_marks").unionByName(loose)
+    return both.withColumnRenamed("row_id", "doc_id")
 
 
 def edited(text: Column, other: Column) -> Column:
