@@ -4,9 +4,13 @@ Each line with a word is content or boilerplate. The field scores a line by its
 form and a step by the two labels; Viterbi decoding finds the best labelling of the
 whole document, and the share of its words that lie in content lines decides.
 
-The field is fitted on a bounded sample of labelled documents, whose lines take the
-document's quality as their label; the likelihood's gradient comes from the
-forward-backward recursion.
+The field is fitted on a bounded sample of documents of known quality, whose lines'
+labels are not known. They are found in turn with the field: it begins with lines alone,
+each taken for what its document is; then Viterbi decoding labels the lines, held to
+what is known, that a good document is content for at least the share that keeps it and a
+bad one for less, and the field is fitted to these labels, steps included. So a
+bad document's plain lines and a good one's boilerplate become what they look like. The
+likelihood's gradient comes from the forward-backward recursion.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ SAMPLE = 400
 #: A document is kept if at least this share of its words is in content lines.
 CONTENT = 0.5
 
+#: Times that labels and field are found in turn.
+TURNS = 3
 FEATURES = 12
 _SPACE = " \t\n\x0b\x0c\r"
 
@@ -99,17 +105,25 @@ def viterbi(content: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return np.array(labels[::-1], np.int8)
 
 
-def fit(chains: list[np.ndarray], labels: list[int], weights: list[float], rounds: int = 60) -> Field:
-    """Maximum penalised likelihood by Adam; all chains advance together. Chain i has
-    one label for all its lines and counts `weights[i]` times."""
+def fit(
+    chains: list[np.ndarray],
+    labels: list,
+    weights: list[float],
+    rounds: int = 60,
+    with_steps: bool = True,
+) -> Field:
+    """Maximum penalised likelihood by Adam; all chains advance together. labels[i] holds
+    the labels of chain i's lines, or one for all, and chain i counts `weights[i]` times.
+    Without steps, lines are labelled each by itself."""
     order = sorted(range(len(chains)), key=lambda i: -len(chains[i]))
     chains = [chains[i] for i in order]
-    y = np.array([labels[i] for i in order])
+    known = [np.broadcast_to(labels[i], len(c)) for i, c in zip(order, chains)]
     # each chain counts alike, however long it is
     scale = np.array([weights[i] / len(c) for i, c in zip(order, chains)])
     lengths = np.array([len(c) for c in chains])
     steps_of = [int((lengths > t).sum()) for t in range(lengths[0])]
     x = [np.array([c[t] for c in chains[:k]]) for t, k in enumerate(steps_of)]
+    y = [np.array([c[t] for c in known[:k]]) for t, k in enumerate(steps_of)]
     theta = np.zeros(FEATURES + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     total = scale @ lengths
@@ -124,28 +138,66 @@ def fit(chains: list[np.ndarray], labels: list[int], weights: list[float], round
         after = np.zeros((steps_of[-1], 2))
         for t in range(len(x) - 1, -1, -1):
             k = steps_of[t]
-            both = ahead[t] + after
+            both = ahead[t] + after if with_steps else unary[t]
             norm = np.logaddexp(both[:, 0], both[:, 1])
             p = np.exp(both[:, 1] - norm)
-            slope[:FEATURES] += (scale[:k] * (y[:k] - p)) @ x[t]
-            if t:
+            slope[:FEATURES] += (scale[:k] * (y[t] - p)) @ x[t]
+            if t and with_steps:
                 arrive = unary[t] + after
                 joint = np.exp(
                     ahead[t - 1][:k, :, None] + steps + arrive[:, None, :] - norm[:, None, None]
                 )
                 expected = (scale[:k, None, None] * joint).sum(axis=0)
-                real = np.diag([scale[:k] @ (1 - y[:k]), scale[:k] @ y[:k]])
-                slope[FEATURES:] += (real - expected).ravel()
+                real = np.bincount(2 * y[t - 1][:k] + y[t], scale[:k], minlength=4)
+                slope[FEATURES:] += real - expected.ravel()
                 through = steps + arrive[:, None, :]
                 back = np.zeros((steps_of[t - 1], 2))
                 back[:k] = np.logaddexp(through[:, :, 0], through[:, :, 1])
                 after = back
+            elif t:
+                after = np.zeros((steps_of[t - 1], 2))
         slope = slope / total - 1e-3 * theta
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         theta = theta + 0.2 * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.999**turn)) + 1e-8)
     return Field(theta[:FEATURES], theta[FEATURES:].reshape(2, 2))
 
 
+def held_to(x: np.ndarray, counts: np.ndarray, quality: int, field: Field) -> np.ndarray:
+    """Labels of a document's lines by the field, or, where their share of content says
+    another quality than the known one, by the field with the least shift of all lines'
+    scores that mends it."""
+    scores = x @ field.weights
+
+    def labelled(shift: float) -> tuple[np.ndarray, bool]:
+        labels = viterbi(scores + shift, field.steps)
+        return labels, bool(counts @ labels >= CONTENT * counts.sum())
+
+    labels, good = labelled(0.0)
+    if good == bool(quality):
+        return labels
+    near, far = 0.0, 64.0 if quality else -64.0
+    mended = np.full(len(x), quality, np.int8)
+    for _ in range(16):
+        middle = (near + far) / 2
+        labels, good = labelled(middle)
+        if good == bool(quality):
+            far, mended = middle, labels
+        else:
+            near = middle
+    return mended
+
+
+def learned(
+    chains: list[np.ndarray], counts: list[np.ndarray], quality: list[int], weights: list[float]
+) -> Field:
+    """The field from documents of known quality, labels and field found in turn."""
+    field = fit(chains, quality, weights, with_steps=False)
+    for _ in range(TURNS):
+        labels = [held_to(x, n, q, field) for x, n, q in zip(chains, counts, quality)]
+        field = fit(chains, labels, weights)
+    return field
+
+
 def train(documents: DataFrame, labels: DataFrame) -> Field | None:
     """A field from a bounded sample of labelled documents; None without both
     qualities among them. Rows that repeat a doc_id in `labels` count once, as
@@ -165,23 +217,31 @@ def train(documents: DataFrame, labels: DataFrame) -> Field | None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch):
-                found = [document_lines(t)[0].astype(np.float32).tobytes() for t in texts]
+                found = [document_lines(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("quality"), pa.array(found, pa.binary())],
-                    names=["quality", "lines"],
+                    [
+                        part.column("quality"),
+                        pa.array([x.astype(np.float32).tobytes() for x, _ in found], pa.binary()),
+                        pa.array([n.tobytes() for _, n in found], pa.binary()),
+                    ],
+                    names=["quality", "lines", "counts"],
                 )
 
-    # a document's rows may repeat: the bound holds for what comes to the driver too
-    sample = rows.limit(2 * SAMPLE).mapInArrow(run, "quality int, lines binary").toArrow()
-    chains, found = [], []
-    for quality, raw in zip(*(sample.column(c).to_pylist() for c in ("quality", "lines"))):
+    # a document's rows may repeat: the bound holds for what comes to the driver too, and
+    # a hash of the row decides which stay
+    rows = rows.withColumn("sample_place", F.xxhash64("doc_id", "text")).orderBy("sample_place", "doc_id")
+    rows = rows.limit(2 * SAMPLE).select("text", "quality")
+    sample = rows.mapInArrow(run, "quality int, lines binary, counts binary").toArrow()
+    chains, counted, found = [], [], []
+    for quality, raw, counts in zip(*(sample.column(c).to_pylist() for c in sample.column_names)):
         if raw:
             chains.append(np.frombuffer(raw, np.float32).reshape(-1, FEATURES).astype(float))
+            counted.append(np.frombuffer(counts, np.int64))
             found.append(quality)
     if len(set(found)) < 2:
         return None
     balance = {q: 1 / found.count(q) for q in set(found)}
-    return fit(chains, found, [balance[q] for q in found])
+    return learned(chains, counted, found, [balance[q] for q in found])
 
 
 def measured(documents: DataFrame, field: Field | None) -> DataFrame:

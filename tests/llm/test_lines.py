@@ -96,3 +96,80 @@ def test_odd_rows(spark, odd, empty):
     assert lines.measured(odd, field).count() == odd.count()
     assert lines.train(empty, labels) is None and lines.train(odd, labels.limit(0)) is None
     assert lines.measured(empty, field).count() == 0
+
+
+def planted(draw, good):
+    """Lines of a document with their labels: blocks of plain lines and of boilerplate,
+    most words in those that the document's quality asks for."""
+    out = []
+    for _ in range(draw.integers(2, 5)):
+        for label in (1, 0) if draw.random() < 0.5 else (0, 1):
+            many = draw.integers(4, 9) if label == good else draw.integers(0, 3)
+            for _ in range(many):
+                n = draw.integers(6, 15)
+                words = ["".join(draw.choice(list("abcdeghilmnorstu"), draw.integers(2, 9))) for _ in range(n)]
+                if label:
+                    out.append((1, " ".join(words).capitalize() + "."))
+                else:
+                    out.append((0, " ".join(w.upper() + draw.choice(["!!", "|", "%%%"]) for w in words)))
+    return out
+
+
+def test_both_labels_are_found_inside_one_document(spark):
+    """Learned from documents' qualities alone, held against the planted lines."""
+    draw = np.random.default_rng(7)
+    made = {n: planted(draw, n % 2) for n in range(160)}
+    docs = [(n, "\n".join(line for _, line in own)) for n, own in made.items()]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(100)], "doc_id long, quality int, toxic int")
+    field = lines.train(frame, labels)
+    right, mixed = [], 0
+    for n, text in docs:
+        x, _ = lines.document_lines(text)
+        found = lines.viterbi(x @ field.weights, field.steps)
+        right += [a == b for a, (b, _) in zip(found.tolist(), made[n])]
+        mixed += 0 < found.mean() < 1
+    assert np.mean(right) > 0.97
+    assert mixed > 0.9 * sum(0 < np.mean([b for b, _ in own]) < 1 for own in made.values())
+    rows = {r.doc_id: r for r in lines.measured(frame, field).collect()}
+    shares = np.array([rows[n].content_share for n in made])
+    assert ((shares > 0) & (shares < 1)).mean() > 0.5
+    assert np.mean([(rows[n].content_share >= lines.CONTENT) == (n % 2 == 1) for n in range(100, 160)]) > 0.95
+
+
+def test_shares_lie_between(spark):
+    """On the table: plain lines of bad documents are content."""
+    rows = QUERIES["op3_line_labelling"](spark, "/root/testdata/sf0.01").collect()
+    between = [r for r in rows if 0 < r.content_share < 1]
+    assert len(between) > 30
+
+
+def test_labels_are_held_to_the_quality():
+    draw = np.random.default_rng(1)
+    field = lines.Field(draw.normal(0, 1, lines.FEATURES), draw.normal(0, 1, (2, 2)))
+    for _ in range(50):
+        n = draw.integers(1, 9)
+        x, counts = draw.normal(0, 1, (n, lines.FEATURES)), draw.integers(1, 30, n)
+        free = lines.viterbi(x @ field.weights, field.steps)
+        for quality in (0, 1):
+            labels = lines.held_to(x, counts, quality, field)
+            assert (counts @ labels >= lines.CONTENT * counts.sum()) == bool(quality)
+            if (counts @ free >= lines.CONTENT * counts.sum()) == bool(quality):
+                assert labels.tolist() == free.tolist()
+
+
+def test_labels_that_change_along_the_chain_are_fitted():
+    draw = np.random.default_rng(5)
+    chains, labels = [], []
+    for _ in range(80):
+        y = np.cumsum(draw.random(draw.integers(2, 15)) < 0.3) % 2
+        x = draw.normal(0, 1, (len(y), lines.FEATURES))
+        x[:, 0] = 1
+        x[:, 4] += 3 * y
+        chains.append(x)
+        labels.append(y)
+    field = lines.fit(chains, labels, [1.0] * len(chains))
+    found = [lines.viterbi(x @ field.weights, field.steps) for x in chains]
+    assert np.mean(np.concatenate(found) == np.concatenate(labels)) > 0.9
+    alone = lines.fit(chains, labels, [1.0] * len(chains), with_steps=False)
+    assert not alone.steps.any() and alone.weights[4] > 0.5
