@@ -536,7 +536,8 @@ def _scoring_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
 
 def feature_lookup(spark: SparkSession, sf: str) -> DataFrame:
     requests, known = _scoring_tables(spark, sf)
-    return lookup.feature_lookup(requests, known.select(*FEATURE_KEY_COLUMNS))
+    met = lookup.looked_up(requests, known.select(*FEATURE_KEY_COLUMNS))
+    return lookup.answered(stored(met, "looked-up"))
 
 
 #: Batches that the store of the lookup is written in; one of them is sent twice.
@@ -555,7 +556,7 @@ def store_lookup(spark: SparkSession, sf: str) -> DataFrame:
         store.write(rows.where(batch == number), number)
     request = F.concat_ws("@", F.col("user_id").cast("string"), F.to_date("event_timestamp"))
     requests = events.select(request.alias("request_id"), *FEATURE_KEY_COLUMNS).distinct()
-    return lookup.answered(store.lookup(requests)).select(
+    return lookup.answered(stored(store.lookup(requests), "looked-up")).select(
         "request_id", *FEATURE_KEY_COLUMNS, "found", "batch_ok", "event_id", "event_weekday", "price"
     )
 

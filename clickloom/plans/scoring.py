@@ -8,9 +8,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.lookup import feature_lookup
+from clickloom.operators.lookup import answered, looked_up
 from clickloom.plans.training import score
 from clickloom.schemas import FEATURE_COLUMNS, FEATURE_KEY_COLUMNS
+from clickloom.session import stored
 
 # Fixed value: the error of a request with an unknown key.
 NOT_FOUND = "Features not found"
@@ -44,8 +45,9 @@ def batch_score(
     `features` holds the six prepared inputs per key and `scorer` adds a column
     `prediction`. A request with a missing key gives no predictions at all.
     """
-    looked_up = feature_lookup(requests, features.select(*FEATURE_KEY_COLUMNS, *FEATURE_COLUMNS))
-    inputs = looked_up.fillna(0.0, subset=FEATURE_COLUMNS)
+    known = features.select(*FEATURE_KEY_COLUMNS, *FEATURE_COLUMNS)
+    met = answered(stored(looked_up(requests, known), "looked-up"))
+    inputs = met.fillna(0.0, subset=FEATURE_COLUMNS)
     scored = scorer(inputs)
     ok = F.col("batch_ok")
     return scored.select(
