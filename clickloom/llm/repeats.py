@@ -12,7 +12,10 @@ Probes are as many as words. They travel packed: a task gathers the windows of a
 batch of documents, keeps one of each hash, and sends each part of the hash range one
 row with the hashes as numbers, ordered by document. A hash that a batch has in two
 documents is known to be shared there and is sent once, so a passage that is
-everywhere costs a row's entry for each batch, not for each document.
+everywhere costs a row's entry for each batch, not for each document. Where there are more
+than RANGES parts, batches are cut into as many ranges of parts first, and what has come
+together of a range is cut into its parts, so that rows follow the data and not batches
+times parts.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ BLOCK = WINDOW // 2
 #: Text whose windows a task gathers before it sends them.
 BATCH_BYTES = 16 << 20
 
+#: Pieces that a batch is cut into at most.
+RANGES = 512
 #: Bits in which documents with hits are marked.
 SLOTS = 1 << 26
 
@@ -53,7 +58,7 @@ def without_repeats(
     other, and a row without doc_id neither loses words nor removes any.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = min(parts_for(rows, 8 << 20), 1 << 17)
+    parts = parts_for(rows, 8 << 20)
     anchored = stored(_shared(rows, parts, _probes, anchors=True), "anchored")
     marked = _marked(rows, anchored)
     # only texts that may have hits are shuffled to meet them
@@ -147,6 +152,9 @@ def _shared(
 
     groups = parts
 
+    # parts of a range, and whether batches are cut into ranges first
+    span = -(-parts // RANGES)
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Entry] = []
         size = 0
@@ -155,9 +163,9 @@ def _shared(
                 held += [e for e in entries(part, texts) if e[0] is not None and len(e[1])]
                 size += sum(map(len, texts))
                 if size >= BATCH_BYTES:
-                    yield from _sent(held, parts, anchors)
+                    yield from _sent(held, parts, span, anchors)
                     held, size = [], 0
-        yield from _sent(held, parts, anchors)
+        yield from _sent(held, parts, span, anchors)
 
     def meet(table: pa.Table) -> pa.Table:
         docs, keys = [], []
@@ -184,6 +192,8 @@ def _shared(
         )
 
     packed = mapped(rows, gather, _PACKED)
+    if span > 1:
+        packed = _cut_into_parts(packed, parts, span, anchors)
     replies = packed.groupBy("part").applyInArrow(meet, _DEALT)
     return replies.groupBy("docs_group").applyInArrow(merge, _HITS)
 
@@ -207,8 +217,9 @@ def _dealt(keys: np.ndarray, docs: np.ndarray, groups: int) -> pa.Table:
     )
 
 
-def _sent(held: list[Entry], parts: int, anchors: bool) -> Iterator[pa.RecordBatch]:
-    """Rows for the parts of the hash range, one entry for each hash of the batch."""
+def _sent(held: list[Entry], parts: int, span: int, anchors: bool) -> Iterator[pa.RecordBatch]:
+    """Rows for the parts of the hash range, or for ranges of `span` parts, one entry for
+    each hash of the batch."""
     if not held:
         return
     ids = np.array(sorted({doc for doc, _, _ in held}), np.int64)
@@ -231,28 +242,69 @@ def _sent(held: list[Entry], parts: int, anchors: bool) -> Iterator[pa.RecordBat
     for start in range(0, len(found), 1000):
         some = found[start : start + 1000]
         yield _rows(
-            part=[int(doc) % parts for doc, _ in some],
+            part=[int(doc) % parts // span for doc, _ in some],
             known=[int(doc) for doc, _ in some],
             keys=[k.tobytes() for _, k in some],
         )
 
     own, block = keys[first], np.logical_or.reduceat(marks, first)
-    part = _part_of(own, parts)
-    order = np.argsort(part.astype(np.int64) * len(ids) + least, kind="stable")
-    bounds = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+    place = (_part_of(own, parts) // np.uint64(span)).astype(np.int64)
+    yield from _dealt_out(own, ids[least], block, place, np.uint32 if anchors and span == 1 else np.uint64)
+
+
+def _dealt_out(
+    keys: np.ndarray, docs: np.ndarray, marks: np.ndarray, place: np.ndarray, kind: type
+) -> Iterator[pa.RecordBatch]:
+    """A row for each place: its keys by document, and which of them are blocks."""
+    order = np.lexsort((docs, place))
+    keys, docs, marks, place = keys[order], docs[order], marks[order], place[order]
+    bounds = [*np.flatnonzero(np.diff(place, prepend=-1)).tolist(), len(place)]
+    for a, b in zip(bounds, bounds[1:]):
+        own, counts = np.unique(docs[a:b], return_counts=True)
+        yield _rows(
+            part=[int(place[a])],
+            docs=[own.tobytes()],
+            counts=[counts.astype(np.uint32).tobytes()],
+            keys=[keys[a:b].astype(kind).tobytes()],
+            blocks=[keys[a:b][marks[a:b]].astype(kind).tobytes()],
+        )
+
+
+def _cut_into_parts(packed: DataFrame, parts: int, span: int, anchors: bool) -> DataFrame:
+    """Rows of ranges as rows of parts. A range's rows are dealt over tasks, which
+    gather them before they cut."""
+    tasks = max(1, span // 16)
+    salt = F.pmod(F.xxhash64("keys"), F.lit(tasks))
+    ranges = -(-parts // span)
+    dealt = packed.repartition(ranges * tasks, "part", salt).sortWithinPartitions("part")
     kind = np.uint32 if anchors else np.uint64
-    for i in range(parts):
-        a, b = bounds[i], bounds[i + 1]
-        if a < b:
-            inside = order[a:b]
-            docs, counts = np.unique(least[inside], return_counts=True)
-            yield _rows(
-                part=[i],
-                docs=[ids[docs].tobytes()],
-                counts=[counts.astype(np.uint32).tobytes()],
-                keys=[own[inside].astype(kind).tobytes()],
-                blocks=[own[a:b][block[a:b]].astype(kind).tobytes()],
-            )
+
+    def cut(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if held:
+            keys = np.concatenate([k for k, _, _ in held])
+            docs = np.concatenate([d for _, d, _ in held])
+            marks = np.concatenate([m for _, _, m in held])
+            yield from _dealt_out(keys, docs, marks, _part_of(keys, parts).astype(np.int64), kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size, of = 0, None
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("part", "known", "docs", "counts", "keys", "blocks"))
+            for place, known, docs, counts, packed_keys, blocks in zip(*columns):
+                if known is not None:
+                    yield _rows(part=[known % parts], known=[known], keys=[packed_keys])
+                    continue
+                if place != of or size >= BATCH_BYTES:
+                    yield from cut(held)
+                    held, size, of = [], 0, place
+                keys = np.frombuffer(packed_keys, np.uint64)
+                owner = np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32))
+                held.append((keys, owner, np.isin(keys, np.frombuffer(blocks, np.uint64))))
+                size += keys.nbytes
+        yield from cut(held)
+
+    return mapped(dealt, run, _PACKED)
 
 
 def _rows(**columns: list) -> pa.RecordBatch:

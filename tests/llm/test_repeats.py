@@ -99,3 +99,40 @@ def test_texts_without_hits_are_not_shuffled(spark):
         repeats._screened = screened
     assert {r.doc_id for r in asked[0].collect()} == {1000 + n for n in range(5)}
     assert sum(r.n_removed for r in found) == 4 * 60 and len(found) == 305
+
+
+def _some_texts(n):
+    import random
+
+    draw = random.Random(6)
+    passages = [" ".join(f"p{k}_{i}" for i in range(70)) for k in range(5)]
+    rows = []
+    for doc in range(n):
+        own = " ".join(f"w{draw.randint(0, 10**6)}" for _ in range(draw.randint(20, 300)))
+        rows.append((doc, f"{own} {draw.choice(passages) if doc % 3 else ''} {doc}"))
+    return rows
+
+
+def test_ranges_are_cut_into_parts(spark, monkeypatch):
+    """Few ranges of many parts, gathered from many batches."""
+    monkeypatch.setattr(repeats, "RANGES", 4)
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 5000)
+    monkeypatch.setattr(repeats, "parts_for", lambda *_: 150)
+    rows = _some_texts(120)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = repeats.without_repeats(frame).collect()
+    assert sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in found], key=repr) == by_brute_force(rows)
+
+
+def test_packed_rows_do_not_grow_with_parts(spark, monkeypatch):
+    """Rows that a batch sends, for parts below and far beyond the ranges."""
+    monkeypatch.setattr(repeats, "RANGES", 16)
+    frame = spark.createDataFrame(_some_texts(400), "doc_id long, text string").coalesce(2)
+    sent = []
+    cut = repeats._cut_into_parts
+    monkeypatch.setattr(
+        repeats, "_cut_into_parts", lambda packed, *a: sent.append(packed.filter("known is null").count()) or cut(packed, *a)
+    )
+    for parts in (64, 512, 4096):
+        repeats._shared(frame, parts, repeats._probes, anchors=True)
+    assert sent[0] == sent[1] == sent[2] <= 2 * 16
