@@ -101,6 +101,9 @@ def audit(one: DataFrame, other: DataFrame) -> DataFrame:
     stand at one offset more than once (a broken index) are compared as pairs. Equal
     or empty replicas give no rows.
     """
+    # written first: records are placed and hashed once
+    columns = ["archive", "record_offset", "record_length", "page_id", "digest"]
+    one, other = (stored(r.select(columns), "records") for r in (one, other))
     most, low, high = (
         one.unionByName(other).agg(F.max("record_offset"), F.min("archive"), F.max("archive")).first()
     )
@@ -112,7 +115,7 @@ def audit(one: DataFrame, other: DataFrame) -> DataFrame:
         if levels * FAN_BITS > 63:
             break  # numbers on both sides of zero meet nowhere: two roots
         levels += 1
-    one, other = (stored(numbered(r, bits), "records") for r in (one, other))
+    one, other = (numbered(r, bits) for r in (one, other))
     trees = tree(one, levels), tree(other, levels)
     different = None
     for level in range(levels - 1, -1, -1):
