@@ -167,6 +167,9 @@ _RECORD = [
     "event_time", "event_type", "product_id", "category_id", "category_code", "brand", "price",
     "user_id", "user_session",
 ]
+_RECORD_HASH = f'sha256({_content([(name, "") for name in _RECORD])})'
+_RECORD_VALID = """CAST(product_id IS NOT NULL AND category_id IS NOT NULL AND price IS NOT NULL
+                    AND user_session IS NOT NULL AS VARCHAR)"""
 _HASH = _content(
     [("ts", ""), ("event_type", ""), ("user_id", ""), (_PRODUCT_UNLESS_SIGNUP, "")]
 )
@@ -486,6 +489,21 @@ ORACLE: dict[str, str] = {
                CASE WHEN ts < TIMESTAMP '2024-01-21' OR event_type <> 'error' THEN value END
                    AS value
         FROM events""",
+    "landed_copy": _with("feat")
+    + """
+        SELECT date_trunc('second', ts) AS event_timestamp, user_id, product_id, user_session,
+               price, brand, category_code_level1, category_code_level2, event_weekday,
+               activity_count, is_purchased, event_id
+        FROM feat""",
+    "record_table": _with("raw")
+    + f"""
+        , timed AS (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time FROM raw)
+        SELECT DISTINCT {", ".join(_RECORD)},
+               CASE WHEN ts < TIMESTAMP '2024-01-21' THEN 'first' ELSE 'second' END
+                   AS processing_pipeline,
+               {_RECORD_VALID} AS valid,
+               {_RECORD_HASH} AS record_hash
+        FROM timed""",
     "online_features": _with("online") + _ONLINE.format(ts="ts"),
     "stream_online_features": _with("online") + _ONLINE.format(ts="date_trunc('second', ts)"),
     "stream_quarantine": """
@@ -494,6 +512,16 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'malformed', NULL, '{"event_id": ' || event_id || ', broken'
         FROM events WHERE event_type = 'error'""",
+    "stream_replay": _with("online")
+    + """
+        SELECT 'feature' AS kind,
+               'user:' || user_id || ':product:' || product_id || ':session:' || user_session AS row
+        FROM online
+        UNION ALL
+        SELECT 'set aside', CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'signup'
+        UNION ALL
+        SELECT 'set aside', '{"event_id": ' || event_id || ', broken'
+        FROM events WHERE event_type = 'error'""",
     "numeric_default": _with("online")
     + """
         SELECT 'user:' || user_id || ':product:' || product_id || ':session:' || user_session
@@ -507,9 +535,8 @@ ORACLE: dict[str, str] = {
     + f"""
         , timed AS (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time FROM raw)
         SELECT {", ".join(_RECORD)}, 'shop' AS processing_pipeline,
-               CAST(product_id IS NOT NULL AND category_id IS NOT NULL AND price IS NOT NULL
-                    AND user_session IS NOT NULL AS VARCHAR) AS valid,
-               sha256({_content([(name, "") for name in _RECORD])}) AS record_hash
+               {_RECORD_VALID} AS valid,
+               {_RECORD_HASH} AS record_hash
         FROM timed""",
     "validate_events": "SELECT event_id, event_type <> 'signup' AS valid FROM events",
     "row_count_check": """
@@ -583,6 +610,14 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'accuracy', round(1 - error::DOUBLE, 8) FROM sums""",
     "search_trials": _SEARCH + "SELECT * FROM tried",
     "best_trial": _SEARCH + "SELECT * FROM tried ORDER BY train_rmse, trial_id LIMIT 1",
+    "model_versions": """
+        WITH kinds AS (SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users
+                       FROM events GROUP BY event_type)
+        SELECT event_type AS name, CAST(version AS INTEGER) AS version,
+               'models:/' || event_type AS model_uri, '2024-02-01' AS training_date,
+               '{"rows":' || n || ',"users":' || users || '}' AS metrics, 'Staging' AS stage,
+               CASE WHEN version = 3 THEN 'current' END AS alias
+        FROM kinds, range(1, 4) t(version)""",
     "latest_model": _with("registry")
     + """
         SELECT name, version, model_uri, training_date, metrics, 'current' AS alias

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.catalog.given import (
@@ -49,6 +50,7 @@ from clickloom.schemas import (
 from clickloom.session import scratch_path, stored
 from clickloom.sources import files, notifications
 from clickloom.sources import testdata as data
+from clickloom.sources.tables import create_table, insert_new
 from clickloom.streaming import features as feature_stream
 from clickloom.streaming import distinct, landing, rates
 from clickloom.streaming import sessions as session_stream
@@ -57,16 +59,7 @@ from clickloom.streaming.store import FeatureStore
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Columns of a raw event that the derived events can fill.
-RAW_COLUMNS = [
-    "event_type",
-    "product_id",
-    "category_id",
-    "category_code",
-    "brand",
-    "price",
-    "user_id",
-    "user_session",
-]
+RAW_COLUMNS = [name for name in warehouse.CONTENT_FIELDS if name != "event_time"]
 
 
 # -- star schema ------------------------------------------------------------
@@ -372,13 +365,53 @@ def partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
     return day.scan(spark)
 
 
+#: A first load ends before, and a second one begins with.
+FIRST_LOAD_END, SECOND_LOAD = "2024-01-21", "2024-01-11"
+
+
+def landed_copy(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents moved to the landing folder by a copy that is stopped and started again:
+    it goes on where it was, and each document arrives once."""
+    source, target = scratch_path(spark, "outbox"), scratch_path(spark, "inbox")
+    cursor = scratch_path(spark, "copy")
+    events = _features(spark, sf).select(*LANDED_DOCUMENT.fieldNames())
+    early = F.coalesce(F.col("event_timestamp") < SECOND_LOAD, F.lit(False))
+    for part in (events.where(early), events.where(~early)):
+        files.to_documents(part).write.mode("append").text(source)
+        landing.copy_to_landing(
+            spark, source, target, cursor, max_files=4, drain=True
+        ).awaitTermination()
+    landed = files.scan_json(spark, target, LANDED_DOCUMENT)
+    return landed.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+def record_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table of records, made where it is absent and loaded twice: the days to
+    20 January, and then those from the 11th on, sent under another name. A record
+    stays as it was first loaded."""
+    place = scratch_path(spark, "record-table")
+    name = f"records_{place[-32:]}"
+    time = F.date_format("event_timestamp", files.TIMESTAMP_TEXT)
+    events = stored(data.raw_events(spark, sf).withColumn("event_time", time), "raw")
+    first = events.where(F.col("event_timestamp") < FIRST_LOAD_END)
+    second = events.where(F.col("event_timestamp") >= SECOND_LOAD)
+    for sent, sender in ((first, "first"), (second, "second")):
+        create_table(spark, name, RAW_EVENT, ["event_type"], place)
+        records = warehouse.raw_records(sent, sender)
+        insert_new(
+            spark, name, records, ["record_hash"], ["processed_date"], ["event_type"], ["user_session"]
+        )
+    spark.sql(f"DROP TABLE {name}")  # the files stay until the application ends
+    return spark.read.schema(RAW_EVENT).parquet(place).drop("processed_date")
+
+
 def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     """A table of the days to 20 January takes in a feed that starts on the 11th
     and sends every event twice, the second time restated."""
     events = data.table(spark, sf, "events").select("event_id", "event_type", "value", "ts")
-    stored = events.where(F.col("ts") < "2024-01-21").drop("ts")
+    stored = events.where(F.col("ts") < FIRST_LOAD_END).drop("ts")
     value = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
-    sent = events.where(F.col("ts") >= "2024-01-11").drop("ts").withColumn("value", value)
+    sent = events.where(F.col("ts") >= SECOND_LOAD).drop("ts").withColumn("value", value)
     first = sent.withColumn("sending", F.lit(1))
     second = sent.withColumns({"sending": F.lit(2), "event_type": F.lit("restated")})
     return upsert.insert_ignore(stored, first.unionByName(second), ["event_id"], ["sending"])
@@ -395,11 +428,12 @@ def online_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.as_online(_latest(spark, sf))
 
 
-def _streamed_table(spark: SparkSession, sf: str) -> str:
+def _streamed_table(spark: SparkSession, sf: str, lost_commit: bool = False) -> str:
     """Landed JSON files streamed into the keyed table in several batches.
 
     Beside the events, each sign-up sends a document without a user and each error
-    one that breaks off.
+    one that breaks off. With `lost_commit` the stream breaks off after its last batch is
+    written and before it is committed, and the stream that follows writes the batch again.
     """
     landed = _landed(spark, sf, "landed")
     events = data.base_events(spark, sf)
@@ -408,13 +442,20 @@ def _streamed_table(spark: SparkSession, sf: str) -> str:
     bad = events.where(F.col("event_type").isin("signup", "error"))
     bad = bad.select(F.when(F.col("event_type") == "signup", keyless).otherwise(broken))
     bad.write.mode("append").text(landed)
-    table = scratch_path(spark, "feature-table")
-    feature_stream.stream_features(
-        landing.landed_events(spark, landed, max_files=4),
-        table,
-        scratch_path(spark, "feature-stream"),
-        drain=True,
-    ).awaitTermination()
+    table, cursor = scratch_path(spark, "feature-table"), scratch_path(spark, "feature-stream")
+    written: list[int] = []
+    for _ in range(2 if lost_commit else 1):
+        feature_stream.stream_features(
+            landing.landed_events(spark, landed, max_files=4),
+            table,
+            cursor,
+            publish=lambda _, batch_id: written.append(batch_id),
+            drain=True,
+        ).awaitTermination()
+        if lost_commit and len(written) == len(set(written)):
+            files.Folder(spark, f"{cursor}/commits").delete(str(max(written)))
+    if lost_commit and len(written) == len(set(written)):
+        raise RuntimeError("no batch was written again")
     return table
 
 
@@ -431,7 +472,23 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_online_features(spark: SparkSession, sf: str) -> DataFrame:
-    stored = feature_stream.read_features(spark, _streamed_table(spark, sf))
+    return _online(feature_stream.read_features(spark, _streamed_table(spark, sf)))
+
+
+def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the feature table, and rows set aside, after a batch was written twice."""
+    table = _streamed_table(spark, sf, lost_commit=True)
+    online = _online(feature_stream.read_features(spark, table))
+    aside = feature_stream.read_quarantine(spark, feature_stream.quarantine_of(table))
+    return online.select(F.lit("feature").alias("kind"), F.col("feature_key").alias("row")).unionByName(
+        aside.select(
+            F.lit("set aside").alias("kind"),
+            F.coalesce(F.col(files.CORRUPT), F.col("event_id").cast("string")).alias("row"),
+        )
+    )
+
+
+def _online(stored: DataFrame) -> DataFrame:
     stamp = F.col("event_timestamp").cast("timestamp_ntz")
     return features.as_online(stored.withColumn("event_timestamp", stamp))
 
@@ -705,6 +762,33 @@ def latest_model(spark: SparkSession, sf: str) -> DataFrame:
     return training.latest_model(_registry(spark, sf))
 
 
+#: Runs that register at the same time.
+REGISTERING = 3
+
+
+def model_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A registry that several runs add a model of each event type to at once: every
+    registration gets a version of its own, and the newest carries the alias."""
+    counts = data.base_events(spark, sf).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("users")
+    )
+    path = scratch_path(spark, "registry")
+    training.open_registry(spark, path)
+
+    def register(kind: Row) -> int:
+        metrics = {"rows": kind.rows, "users": kind.users}
+        return training.commit_model(
+            spark, path, kind.event_type, f"models:/{kind.event_type}", metrics, "2024-02-01"
+        )
+
+    kinds = [kind for kind in counts.collect() for _ in range(REGISTERING)]  # one row per type
+    with ThreadPoolExecutor(REGISTERING) as pool:
+        list(pool.map(register, kinds))
+    registry = stored(training.open_registry(spark, path), "versions")
+    current = training.latest_model(registry).select("name", "version", "alias")
+    return registry.join(current, ["name", "version"], "left").drop("description")
+
+
 def latest_model_file(spark: SparkSession, sf: str) -> DataFrame:
     """A file per day with purchases, one without a date per day with errors."""
     events = data.base_events(spark, sf)
@@ -800,10 +884,13 @@ QUERIES: dict[str, Query] = {
         row_to_json,
         scan_json,
         partitioned_scan,
+        landed_copy,
+        record_table,
         insert_ignore,
         online_features,
         stream_online_features,
         stream_quarantine,
+        stream_replay,
         numeric_default,
         raw_records,
         validate_events,
@@ -823,6 +910,7 @@ QUERIES: dict[str, Query] = {
         search_trials,
         best_trial,
         latest_model,
+        model_versions,
         latest_model_file,
         train_purchase_model,
     ]
