@@ -146,8 +146,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Machine | None:
     if len(counts) < 2:
         return None
     drawn = bounded_sample(marks, "quality", counts, SAMPLE, ["doc_id"])
-    # Bounded by the sample's size; a document's rows may repeat, hence the limit.
-    rows = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").limit(2 * SAMPLE)
+    # Bounded by the sample's size.
+    rows = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    rows = rows.withColumn("place", F.xxhash64("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,12 +161,18 @@ def train(documents: DataFrame, labels: DataFrame) -> Machine | None:
                     "numbers": [row.astype(np.float32).tobytes() for row in numbers],
                 }
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("quality"), *(pa.array(p, pa.binary()) for p in pieces.values())],
-                    names=["quality", *pieces],
+                    [
+                        part.column("quality"),
+                        part.column("place"),
+                        *(pa.array(p, pa.binary()) for p in pieces.values()),
+                    ],
+                    names=["quality", "place", *pieces],
                 )
 
-    schema = "quality int, places binary, amounts binary, numbers binary"
-    sample = mapped(rows, run, schema).toArrow()
+    schema = "quality int, place long, places binary, amounts binary, numbers binary"
+    # a document's rows may repeat: the bound holds for what comes to the driver too, and
+    # a hash of the row decides which stay, and the order they are learned in
+    sample = mapped(rows, run, schema).orderBy("place").limit(2 * SAMPLE).toArrow()
     y = np.array(sample.column("quality").to_pylist(), float)
     if len(set(y.tolist())) < 2:
         return None

@@ -57,3 +57,18 @@ def test_odd_rows(spark, odd, empty):
     assert factorisation.train(odd, labels.filter("quality = 1")) is None
     assert {r.score for r in factorisation.scored(odd, None).collect()} == {0.5}
     assert factorisation.scored(empty, machine).count() == 0
+
+
+def test_rows_that_repeat_are_drawn_by_their_content(spark, monkeypatch):
+    """More rows than the sample's bound: which ones are learned from, and in what order,
+    does not depend on how the rows lie."""
+    monkeypatch.setattr(factorisation, "SAMPLE", 20)
+    texts = [(n % 8, f"{'good words here' if n % 2 else '## | junk ##'} number {n}") for n in range(400)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(8)], "doc_id long, quality int, toxic int")
+    machines = [
+        factorisation.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), labels)
+        for rows, parts in ((texts, 3), (texts[::-1], 7))
+    ]
+    assert machines[0].bias == machines[1].bias
+    assert np.array_equal(machines[0].weights, machines[1].weights)
+    assert np.array_equal(machines[0].centre, machines[1].centre)
