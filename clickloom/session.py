@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -78,7 +79,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):  # nor local-cluster
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         base = tempfile.mkdtemp(prefix="clickloom-")
         context.setCheckpointDir(base)

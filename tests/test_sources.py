@@ -1,5 +1,6 @@
 import datetime
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +139,11 @@ def test_documents_keep_the_row_number_beside_them(spark):
     )
     [row] = files.to_documents(df, keep=["row_id"]).collect()
     assert row.row_id == 1 and json.loads(row.value).keys() == {"event_timestamp", "brand"}
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077", "yarn"])
+def test_a_cluster_must_name_a_shared_folder(master):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session, "x")
